@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +59,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table ``name`` in ``folder``."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package: its source goes to them as a zip file, once a SparkContext."""
+    sc = spark.sparkContext
+    if getattr(sc, "_corpusmill_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="corpusmill-zip-")  # read by the driver only, which serves the file
+    name = os.path.join(folder, "corpusmill_src.zip")
+    with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as z:
+        for at, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(at, f)
+                    z.write(path, os.path.join("corpusmill", os.path.relpath(path, root)))
+    sc.addPyFile(name)
+    sc._corpusmill_shipped = True
