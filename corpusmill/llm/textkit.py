@@ -36,7 +36,7 @@ NOTICE_AT = (
     "filed under", "posted on", "posted by", "zuletzt geändert", "mis à jour", "última actualización", "última atualização", "ultimo aggiornamento", "laatst bijgewerkt", "laatst gewijzigd", "ostatnia aktualizacja", "ostatnia zmiana", "обновлено",
     "text and pictures", "nachdruck",
 )
-_BYLINE = re.compile(r"(?:by|von|par|por|di|door|autora?:?|автор:?) (?:.{3,60}\d{4}\W*|[^\W\d_][\w'’-]+(?: [\w.'’-]+){1,2})$")
+_BYLINE = re.compile(r"(?:by|von|par|por|di|door|autora?:?|автор:?) (?:.{3,60}\d{4}[\d\W]*|[^\W\d_][\w'’-]+(?: [\w.'’-]+){1,2})$")
 _BY = ("by ", "von ", "par ", "por ", "di ", "door ", "autor", "автор")
 
 _notices = ahocorasick.Automaton()
