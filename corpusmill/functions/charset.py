@@ -38,7 +38,9 @@ def _letters(text: str) -> float:
     for c in text:
         if c >= "\x80":
             if c.isalpha():
-                score += 1.0 if c.islower() or not before.isalpha() else -1.0
+                # accented Latin letters seldom stand side by side; those of other scripts do
+                crowded = c < "\u0250" and before >= "\x80" and before.isalpha()
+                score += -0.5 if crowded else 1.0 if c.islower() or not before.isalpha() else -1.0
             elif c < "\xa0" or c in "¤¦¬¯´¸":
                 score -= 2.0
             elif before.isalpha():

@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,13 +17,23 @@ _JUNK = re.compile(r"https?://\S+|[\w.+-]+@[\w.-]+|<[^>]*>")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+@lru_cache(maxsize=200_000)
+def word_grams(word: str) -> tuple[str, ...]:
+    """The 1- to 3-grams of a word, blanks standing for its ends."""
+    padded = f" {word} "
+    return tuple(padded[i : i + n] for n in (1, 2, 3) for i in range(len(padded) - n + 1) if padded[i : i + n] != " ")
+
+
+def words_of(text: str) -> Counter:
+    return Counter(_WORD.findall(_JUNK.sub(" ", text.lower()) if "@" in text or "<" in text or "://" in text else text.lower()))
+
+
 def grams(text: str) -> Counter:
-    """Counts of the 1- to 3-grams of the words of a text, blanks standing for their ends."""
+    """Counts of the n-grams of the words of a text."""
     out: Counter = Counter()
-    for word in _WORD.findall(_JUNK.sub(" ", text.lower())):
-        padded = f" {word} "
-        for n in (1, 2, 3):
-            out.update(padded[i : i + n] for i in range(len(padded) - n + 1) if padded[i : i + n] != " ")
+    for word, n in words_of(text).items():
+        for g in word_grams(word):
+            out[g] += n
     return out
 
 
@@ -47,10 +59,20 @@ class Identifier:
         self.langs = sorted(profiles)
         self.threshold, self.weight = threshold, weight
         vocabulary = {g for p in profiles.values() for g in p}
-        self.table: dict[str, list[float]] = {}
+        self.table: dict[str, np.ndarray] = {}
         totals = {(k, n): sum(c for g, c in p.items() if len(g) == n) + len(vocabulary) * weight for k, p in profiles.items() for n in (1, 2, 3)}
         for g in vocabulary:
-            self.table[g] = [math.log((profiles[k].get(g, 0) + weight) / totals[k, len(g)]) for k in self.langs]
+            self.table[g] = np.array([math.log((profiles[k].get(g, 0) + weight) / totals[k, len(g)]) for k in self.langs])
+        self.known: dict[str, np.ndarray | None] = {}
+
+    def word_scores(self, word: str) -> np.ndarray | None:
+        """The log likelihoods of a word, kept for the next text; None if no language has any of its n-grams."""
+        if word not in self.known:
+            if len(self.known) >= 200_000:
+                self.known.clear()
+            rows = [self.table[g] for g in word_grams(word) if g in self.table]
+            self.known[word] = sum(rows) if rows else None
+        return self.known[word]
 
     @classmethod
     def of(cls, profiles: DataFrame, most: int = 300, **options) -> Identifier:
@@ -62,22 +84,16 @@ class Identifier:
         return cls(out, **options)
 
     def probabilities(self, text: str | None) -> dict[str, float]:
-        found = grams(text or "")
-        if not found or not self.langs:
-            return {}
-        scores = [0.0] * len(self.langs)
-        seen = 0
-        for g, n in found.items():
-            row = self.table.get(g)
-            if row:
-                seen += 1
-                for i, x in enumerate(row):
-                    scores[i] += n * x
-        if not seen:
+        scores, seen = np.zeros(len(self.langs)), False
+        for word, n in words_of(text or "").items():
+            row = self.word_scores(word)
+            if row is not None:
+                scores += n * row
+                seen = True
+        if not seen or not self.langs:
             return {}
-        top = max(scores)
-        odds = [math.exp(max(-700.0, s - top)) for s in scores]
-        return {k: o / sum(odds) for k, o in zip(self.langs, odds)}
+        odds = np.exp(np.maximum(scores - scores.max(), -700.0))
+        return dict(zip(self.langs, (odds / odds.sum()).tolist()))
 
     def identify(self, text: str | None) -> str:
         """The likeliest language, or ``unknown`` for no text and where none has more than the threshold."""

@@ -127,7 +127,7 @@ def _beta(x: float, a: float, b: float) -> float:
         total *= c * d
         if i and abs(c * d - 1) < 1e-14:
             break
-    return front * total
+    return front * (total - 1)
 
 
 def vocabulary_correlation(gold: DataFrame, other: DataFrame, n: int) -> DataFrame:

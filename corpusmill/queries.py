@@ -35,7 +35,7 @@ def query(sql: str | None = None):
 
 _LINES = r"unnest(list_filter(regexp_split_to_array({0}, '\r\n|\n|\r'), lambda x: x <> ''))"
 _HASHES = """
-u AS (SELECT doc_id, list_transform(string_split(text, ''), lambda c: unicode(c)::UBIGINT) AS c FROM documents WHERE text IS NOT NULL),
+u AS (SELECT doc_id, list_transform(list_filter(string_split(text, ''), lambda c: c <> ''), lambda c: unicode(c)::UBIGINT) AS c FROM documents WHERE text IS NOT NULL),
 h AS (SELECT doc_id, CASE WHEN len(c) < 7 THEN [] ELSE list_distinct(list_transform(range(1, len(c) - 5), lambda i:
   (c[i]*887503681 + c[i+1]*28629151 + c[i+2]*923521 + c[i+3]*29791 + c[i+4]*961 + c[i+5]*31 + c[i+6]) & 4294967295)) END AS hs FROM u),
 v AS (SELECT doc_id, unnest(hs) AS x FROM h),

@@ -27,7 +27,7 @@ def whole_texts(spark: SparkSession, paths: str) -> DataFrame:
 
 def url_list(spark: SparkSession, path: str) -> DataFrame:
     """(url): the different second fields of tab-separated lines."""
-    return spark.read.text(path).select(F.split("value", "\t")[1].alias("url")).where("url is not null").distinct()
+    return spark.read.text(path).select(F.get(F.split("value", "\t"), 1).alias("url")).where("url is not null").distinct()
 
 
 def format_documents(docs: Column) -> Column:
@@ -48,11 +48,11 @@ def parse_documents(line: Column) -> Column:
 
     def new(x: Column) -> Column:
         p = F.split(F.trim(x), ";")
-        return make(p[0], p[1], p[2], F.nullif(p[3], F.lit("")))
+        return make(F.get(p, 0), F.get(p, 1), F.get(p, 2), F.nullif(F.get(p, 3), F.lit("")))
 
     def old(x: Column) -> Column:
         p = F.split(F.trim(x), ",")
-        return make(p[0], p[1], p[2], F.lit(None).cast("string"))
+        return make(F.get(p, 0), F.get(p, 1), F.get(p, 2), F.lit(None).cast("string"))
 
     return F.when(is_old, F.transform(older, old)).otherwise(F.transform(newer, new))
 

@@ -2,7 +2,8 @@
 
 Reading: one partition a file (gzip members are a stream); paths may be several, separated by commas, with globs. A file
 that ends within a record ends there. ``mode``: FAILFAST (default) raises on a malformed record, PERMISSIVE drops the rest
-of that file. Filters on warc_type, content_type and content_length are applied before a record's content is kept.
+of that file. A session may hand filters on warc_type, content_type and content_length to the reader (see ``register``), which
+then holds no content of records that they leave out.
 
 Writing: segments ``<prefix>.seg-00000.warc.gz``, a new one once ``segmentSize`` bytes are written (compressed, as they
 lie on disk). Content-Length is always that of the content. A column ``prefix`` names the output of each record.
@@ -323,7 +324,11 @@ class WarcDataSource(DataSource):
         return WarcWriter(schema, self.options, overwrite)
 
 
-def register(spark: SparkSession) -> None:
-    """Make the format known to a session, with filters handed to it."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+def register(spark: SparkSession, push_filters: bool = False) -> None:
+    """Make the format known to a session.
+
+    ``push_filters`` hands filters to the reader. Spark keeps them with the loaded DataFrame, so with it each load must be filtered in one
+    way only; without it a DataFrame may be used freely and Spark filters the records that were read.
+    """
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", str(push_filters).lower())
     spark.dataSource.register(WarcDataSource)
