@@ -2,8 +2,9 @@
 
 Reading: one partition a file (gzip members are a stream); paths may be several, separated by commas, with globs. A file
 that ends within a record ends there. ``mode``: FAILFAST (default) raises on a malformed record, PERMISSIVE drops the rest
-of that file. A session may hand filters on warc_type, content_type and content_length to the reader (see ``register``), which
-then holds no content of records that they leave out.
+of that file. With ``pushFilters`` true, filters on warc_type, content_type and content_length go to the reader, which then
+holds no content of records that they leave out; Spark keeps them with the loaded DataFrame, so such a DataFrame must be
+filtered in one way only.
 
 Writing: segments ``<prefix>.seg-00000.warc.gz``, a new one once ``segmentSize`` bytes are written (compressed, as they
 lie on disk). Content-Length is always that of the content. A column ``prefix`` names the output of each record.
@@ -176,16 +177,6 @@ class WarcReader(DataSourceReader):
         self.equal: dict[str, str] = {}
         self.below: int | None = None
 
-    def pushFilters(self, filters):
-        for f in filters:
-            name = ".".join(f.attribute) if hasattr(f, "attribute") else None
-            if isinstance(f, EqualTo) and name in ("warc_type", "content_type"):
-                self.equal[name] = f.value
-            elif isinstance(f, (LessThan, LessThanOrEqual)) and name == "content_length":
-                limit = f.value + isinstance(f, LessThanOrEqual)
-                self.below = limit if self.below is None else min(self.below, limit)
-            yield f  # Spark tests again; here only contents are spared
-
     def partitions(self):
         return [FilePartition(p) for p in expand(self.paths)]
 
@@ -215,6 +206,18 @@ class WarcReader(DataSourceReader):
                     raise
 
 
+class PushingWarcReader(WarcReader):
+    def pushFilters(self, filters):
+        for f in filters:
+            name = ".".join(f.attribute) if hasattr(f, "attribute") else None
+            if isinstance(f, EqualTo) and name in ("warc_type", "content_type"):
+                self.equal[name] = f.value
+            elif isinstance(f, (LessThan, LessThanOrEqual)) and name == "content_length":
+                limit = f.value + isinstance(f, LessThanOrEqual)
+                self.below = limit if self.below is None else min(self.below, limit)
+            yield f  # Spark tests again; here only contents are spared
+
+
 @dataclass
 class Written(WriterCommitMessage):
     files: list[tuple[str, str]]
@@ -318,17 +321,13 @@ class WarcDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema):
-        return WarcReader(self.options)
+        return PushingWarcReader(self.options) if self.options.get("pushFilters", "false").lower() == "true" else WarcReader(self.options)
 
     def writer(self, schema, overwrite):
         return WarcWriter(schema, self.options, overwrite)
 
 
-def register(spark: SparkSession, push_filters: bool = False) -> None:
-    """Make the format known to a session.
-
-    ``push_filters`` hands filters to the reader. Spark keeps them with the loaded DataFrame, so with it each load must be filtered in one
-    way only; without it a DataFrame may be used freely and Spark filters the records that were read.
-    """
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", str(push_filters).lower())
+def register(spark: SparkSession) -> None:
+    """Make the format known to a session."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
