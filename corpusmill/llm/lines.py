@@ -5,8 +5,8 @@ many different records of a source a line key occurs. A new partition of records
 merges it and tells which (source, key) crossed the threshold in either direction; ``rebuild`` touches only documents
 that hold a crossed line.
 
-Defined results: null and empty texts have no lines; a line without letters or digits counts by its own characters;
-a null source is a source of its own; rows without a record id are left out; repeated rows of an id count once.
+Defined results: null and empty texts have no lines; lines without letters and digits, which are all separators, are the same; a null
+source is a source of its own; rows without a record id are left out; repeated rows of an id count once.
 """
 
 from __future__ import annotations
@@ -35,7 +35,10 @@ MONTHS = {
     "ru": "января февраля марта апреля мая июня июля августа сентября октября ноября декабря",
 }
 
-_MONTH = r"(?<!\p{L})(?:" + "|".join(sorted({m for v in MONTHS.values() for m in v.split()}, key=lambda m: (-len(m), m))) + r")(?!\p{L})\.?"
+_NAMES = "|".join(sorted({m for v in MONTHS.values() for m in v.split()}, key=lambda m: (-len(m), m)))
+_MONTH = rf"(?<!\p{{L}})(?:{_NAMES})(?!\p{{L}})\.?"
+#: After a number only, which is where it stands in running text; a search that begins with a mark is far quicker.
+_MONTH_AFTER = rf"#[.ºª]? (?:de )?(?:{_NAMES})(?!\p{{L}})\.?"
 
 #: Wording around a slot that holds a name, a site or a section, as lower-case text with numbers already written #.
 _SLOTS = [
@@ -53,15 +56,14 @@ def line_key(line: Column) -> Column:
     """The fixed wording of a line: case, spacing, invisible characters, separators and closing marks do not count,
     and what is filled in (numbers, dates, times, names, sites, sections) is one mark. Null stays null."""
     t = F.translate(F.lower(line), BLANKS + INVISIBLE, " " * len(BLANKS))
-    dated = F.regexp_replace(F.regexp_replace(t, r"\p{Nd}+", "#"), _MONTH, "#")
-    t = F.when(F.regexp_like(t, F.lit(r"\p{Nd}")), dated).otherwise(t)
-    short = F.regexp_replace(t, r" {2,}", " ")
+    numbered = F.regexp_replace(t, r"\p{Nd}+", "#")
+    short = F.regexp_replace(F.regexp_replace(numbered, _MONTH, "#"), r" {2,}", " ")
     for pattern, by in _SLOTS:
         short = F.regexp_replace(short, pattern, by)
-    t = F.when(F.length(t) <= 200, short).otherwise(t)
+    t = F.when(F.length(line) <= 200, short).otherwise(F.regexp_replace(numbered, _MONTH_AFTER, "#"))
     t = F.trim(F.regexp_replace(t, r"[^\p{L}\p{M}\p{Nd}#~]+", " "))
-    t = F.regexp_replace(t, r"#(?: (?:(?:de|do|di|st|nd|rd|th) )?#)+", "#")
-    return F.when(t == "", F.concat(F.lit("!"), F.trim(line))).otherwise(t)
+    # each step appears once in the expression, so nothing is computed twice
+    return F.regexp_replace(t, r"#(?: (?:(?:de|do|di|st|nd|rd|th) )?#)+", "#")
 
 
 def line_table(docs: DataFrame, source: str = "source_path", record: str = "record_id", text: str = "text") -> DataFrame:
