@@ -3,8 +3,8 @@
 Method: compression classification. For each language a zstandard raw-content dictionary is made from lang_samples;
 a text goes to the language whose dictionary makes it smallest, and to none where the margin to the next is narrow.
 
-A page's language is that of most of its characters: the sizes of all its lines, notices and lists included, under
-each dictionary are added up. A line is first tried with the page's own dictionary and only if it stays
+A page's language is that of most of its characters: the sizes of its lines, notices aside, under each dictionary are
+added up. A line is first tried with the page's own dictionary and only if it stays
 larger than such lines do in prose of that language, with the others: the same rule, as a line that the page's own
 dictionary packs well cannot be packed much better by another one.
 
@@ -22,7 +22,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.textkit import NOTE, WORD, batches, parts
+from corpusmill.llm.textkit import WORD, batches, clean, notice
 
 #: ISO 639-2 codes of the languages, both forms where there are two.
 THREE = {"eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa": "es", "ita": "it", "por": "pt", "nld": "nl", "dut": "nl", "pol": "pl", "rus": "ru"}
@@ -52,6 +52,7 @@ def dictionaries(rows: Iterable, most: int = 110_000) -> dict[str, bytes]:
 
 _NOT_LETTERS = re.compile(r"[^\w\s'’]+|\d+")
 _SPACES = re.compile(r"\s+")
+_BLANKS = re.compile(r"[^\S\n]+")
 
 
 def normal(text: str) -> bytes:
@@ -105,14 +106,29 @@ class Classifier:
         return (lang if lead >= margin and b - a >= 3 else None), round(confidence, 6)
 
 
-def classify_page(record_id: str, text: str | None, c: Classifier, ratios: dict[str, float]) -> list[dict]:
+def lines_of(text: str | None) -> list[tuple[int, bytes, int]]:
+    """(line number from 1, what is compressed, letters) of the lines that have words and are no notices."""
+    if not text:
+        return []
+    text = clean(text)
+    plain = _BLANKS.sub(" ", _NOT_LETTERS.sub(" ", text.lower())).split("\n")
+    out = []
+    for no, (raw, line) in enumerate(zip(text.split("\n"), plain), 1):
+        line = line.strip()
+        if len(line) >= 4 and not (len(raw) <= 210 and notice(raw.strip().lower())):
+            out.append((no, f" {line} ".encode(), len(line) - line.count(" ")))
+    return out
+
+
+def confirmed(lines: list[tuple[int, bytes, int]], lang: str, c: Classifier, ratios: dict[str, float]) -> bool:
+    """Whether the dictionary of a language packs every line of a page as well as it packs its own language."""
+    limit = ratios.get(lang, 0.0)
+    return bool(lines) and all(c.size(data, lang) <= limit * len(data) + 8 for _, data, n in lines if n >= 12)
+
+
+def classify_page(record_id: str, text: str | None, c: Classifier, ratios: dict[str, float], lines: list[tuple[int, bytes, int]] | None = None) -> list[dict]:
     """Row 0 has the page's language, further rows the lines in another one."""
-    lines = []
-    for no, line, kind in parts(text):
-        if kind != NOTE:
-            data = normal(line)
-            if len(data) >= 6:
-                lines.append((no, data, sum(map(len, WORD.findall(line)))))
+    lines = lines_of(text) if lines is None else lines
     if not lines:
         return []
     total = sum(n for _, _, n in lines)
@@ -180,9 +196,7 @@ def own_ratios(dicts: dict[str, bytes], texts: list[tuple[str, str]]) -> dict[st
 
 def languages(corpus: DataFrame, lang_samples: DataFrame, text: str = "text", record: str = "record_id") -> DataFrame:
     """(record_id, line_no, lang, confidence, chars): line_no 0 for the page, and a row a line in another language."""
-    texts = samples(lang_samples)
-    dicts = dictionaries(texts)
-    ratios = own_ratios(dicts, texts)
+    dicts, ratios = _model(lang_samples)
     schema = pa.schema([("record_id", pa.string()), ("line_no", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("chars", pa.int32())])
     cache: dict = {}
 
@@ -195,9 +209,39 @@ def languages(corpus: DataFrame, lang_samples: DataFrame, text: str = "text", re
     return rows.mapInArrow(batches(run, schema), SCHEMA)
 
 
-def wrong_labels(found: DataFrame, corpus: DataFrame) -> DataFrame:
-    """Rows of ``languages`` that correct a label (line_no 0) or mark a foreign line, one each."""
-    given = corpus.where("record_id is not null").select(F.col("record_id"), label(F.col("language")).alias("given")).groupBy("record_id").agg(F.min("given").alias("given"))
-    pages = found.where((F.col("line_no") == 0) & F.col("lang").isNotNull()).join(given, "record_id", "left")
-    pages = pages.where(F.col("given").isNull() | (F.col("given") != F.col("lang"))).select("record_id", "line_no", "lang", "confidence")
-    return pages.unionByName(found.where("line_no > 0").select("record_id", "line_no", "lang", "confidence")).dropDuplicates(["record_id", "line_no"])
+def _model(lang_samples: DataFrame):
+    texts = samples(lang_samples)
+    dicts = dictionaries(texts)
+    return dicts, own_ratios(dicts, texts)
+
+
+def wrong_labels(corpus: DataFrame, lang_samples: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A row a page whose label is missing or wrong or that has lines in another language: record_id, the columns
+    named by ``keep``, and found, an array of (line_no, lang, confidence) with line_no 0 for the label.
+
+    A page whose every line its label's dictionary packs as well as text of that language is right as it is and needs no other dictionary.
+    """
+    dicts, ratios = _model(lang_samples)
+    spark_types = {f.name: f.dataType.simpleString() for f in corpus.schema}
+    arrow = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
+    found = pa.list_(pa.struct([("line_no", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64())]))
+    schema = pa.schema([("record_id", pa.string()), *((k, arrow[spark_types[k]]) for k in keep), ("found", found)])
+    cache: dict = {}
+
+    def run(batch: list[dict]) -> list[dict]:
+        if "c" not in cache:
+            cache["c"] = Classifier(dicts)
+        c, out = cache["c"], []
+        for r in batch:
+            given, lines = r["_given"], lines_of(r["text"])
+            if given in dicts and confirmed(lines, given, c, ratios):
+                continue
+            rows = classify_page(r["record_id"], None, c, ratios, lines)
+            wrong = [x for x in rows if x["lang"] is not None and (x["line_no"] > 0 or x["lang"] != given)]
+            if wrong:
+                out.append({"record_id": r["record_id"], **{k: r[k] for k in keep}, "found": [{k: x[k] for k in ("line_no", "lang", "confidence")} for x in wrong]})
+        return out
+
+    rows = corpus.where("record_id is not null").select("record_id", *(k for k in dict.fromkeys((*keep, "text"))), label(F.col("language")).alias("_given"))
+    columns = "".join(f", `{k}` {spark_types[k]}" for k in keep)
+    return rows.mapInArrow(batches(run, schema), f"record_id string{columns}, found array<struct<line_no:int,lang:string,confidence:double>>")

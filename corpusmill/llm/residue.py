@@ -34,16 +34,16 @@ def _labelled(batch: list[dict]) -> list[dict]:
 _SCHEMA = pa.schema([("record_id", pa.string()), ("host", pa.string()), ("line_no", pa.int32()), ("line", pa.string()), ("note", pa.bool_()), ("what", pa.string())])
 
 
-def residue(corpus: DataFrame, profiles: DataFrame, least: int = 8, share: float = 0.05) -> DataFrame:
+def residue(corpus: DataFrame, profiles: DataFrame, among: DataFrame | None = None, least: int = 8, share: float = 0.05) -> DataFrame:
     """(record_id, slots, said, residual) of the records found.
 
-    Only records with some evidence in their profile can be found, so only their lines are looked at one by one; the
+    ``among``: the rows of the corpus that the profiles are of, where they are not of all. Only records with some evidence in their profile can be found, so only their lines are looked at one by one; the
     lines of all records of their hosts are counted.
     """
     suspects = profiles.where((F.col("slots") > 0) | (F.col("said") + F.col("filler") > 0)).select("record_id", "slots", "said", "filler")
     suspects = materialize(suspects, "suspects")
     docs = corpus.select("record_id", host_of().alias("host"), "text")
-    theirs = docs.join(suspects.select("record_id").distinct(), "record_id", "left_semi").dropDuplicates(["record_id"])
+    theirs = (docs if among is None else among.select("record_id", host_of().alias("host"), "text")).join(suspects.select("record_id").distinct(), "record_id", "left_semi").dropDuplicates(["record_id"])
     labelled = theirs.mapInArrow(batches(_labelled, _SCHEMA), "record_id string, host string, line_no int, line string, note boolean, what string")
     labelled = materialize(labelled.withColumn("key", F.xxhash64(line_key(F.col("line")))).withColumn("chars", F.length("line")).withColumn("source", F.xxhash64("host")).drop("line"), "residue")
     hosts = labelled.select("host").distinct()
