@@ -133,6 +133,11 @@ def classify_page(record_id: str, text: str | None, c: Classifier, ratios: dict[
         return []
     total = sum(n for _, _, n in lines)
     lang, confidence = c.best_of([d for _, d, _ in lines])
+    if lang is None and len(lines) > 1:
+        # two languages in nearly equal parts: the one that most of the letters stand in, line by line
+        each = [(c.best(d, 0.05), n) for _, d, n in lines if n >= 12]
+        sums = {k: sum(n for (x, _), n in each if x == k) for k in {x for (x, _), _ in each if x is not None}}
+        lang = max(sums, key=lambda k: (sums[k], k)) if sums and max(sums.values()) >= 0.5 * total else None
     if lang is None:
         return [{"record_id": record_id, "line_no": 0, "lang": None, "confidence": confidence, "chars": total}]
     out = []

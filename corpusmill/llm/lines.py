@@ -132,7 +132,7 @@ def rebuild(docs: DataFrame, repeated: DataFrame, record: str = "record_id", tex
     A document whose lines all go has the empty text.
     """
     gone = repeated.groupBy("record_id").agg(F.collect_set("line_no").alias("gone")).withColumnRenamed("record_id", "__id")
-    hit = docs.join(gone, docs[record] == gone["__id"])
+    hit = docs.select(F.col(record).alias("__record"), F.col(text).alias("__text")).join(gone, F.col("__record") == F.col("__id"))
     # F.filter has the position as the second argument, from 0
-    kept = F.filter(F.split(F.col(text), "\n"), lambda line, at: ~F.array_contains(F.col("gone"), at + 1))
-    return hit.select(F.col(record), F.array_join(kept, "\n").alias("text")).dropDuplicates([record])
+    kept = F.filter(F.split(F.col("__text"), "\n"), lambda line, at: ~F.array_contains(F.col("gone"), at + 1))
+    return hit.select(F.col("__record").alias(record), F.array_join(kept, "\n").alias("text")).dropDuplicates([record])
