@@ -2,12 +2,12 @@
 
 
 def queries():
-    from corpusmill.llm.queries import QUERIES
+    from corpusmill.llm.problems import QUERIES
 
     return dict(QUERIES)
 
 
 def oracle_sql():
-    from corpusmill.llm.queries import SQL
+    from corpusmill.llm.problems import SQL
 
     return dict(SQL)

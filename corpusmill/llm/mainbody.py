@@ -47,6 +47,7 @@ TOP = frozenset("back to top|nach oben|haut de page|volver arriba|torna su|torna
 _AD = re.compile(r"^(?:advertisement|anzeige|werbung|publicité|publicidad|pubblicità|publicidade|advertentie|reklama|реклама|sponsored)\s*:", re.I)
 _CRUMB = re.compile(r"^[^\n>»›/]{1,30}(?: [>»›/] [^\n>»›/]{1,60}){1,6}$")
 _MENU = re.compile(r"^[^|\n]{1,32}(?: \| [^|\n]{1,32}){2,}$")
+_ITEM = re.compile(r"^(?:[-–*•·]|\d{1,3}[.)])\s\S")
 _HEADING = re.compile(r"h[1-6]\.$")
 
 
@@ -105,7 +106,8 @@ def costs(blocks: list[dict]) -> list[float]:
         if b["recurs"]:
             s -= 5.0 if n >= 60 else 2.0 if dense > 0 else 0.7
         if n < 40 and not b["is_heading"] and dense < 0.2:
-            s -= 0.6
+            # an item of a list without links belongs to the text around it
+            s += 1.2 if _ITEM.match(text) and dense == 0 and under is None else -0.6
         out.append(s)
     return out
 
