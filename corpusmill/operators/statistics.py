@@ -136,12 +136,11 @@ def vocabulary_correlation(gold: DataFrame, other: DataFrame, n: int) -> DataFra
     Words that ``other`` lacks share the last rank. Ranks in ``other`` are by its counts over the whole vocabulary; equal ranks are averaged.
     """
     best = ranks(gold, n)
-    have = best.agg(F.count("*").alias("have"))
     # the rank of a word in the other vocabulary orders just as its count does, so counts are ranked among these words only
     both = best.join(other.select("token", F.col("n").alias("m")), "token", "left")
     by = W.orderBy(F.desc(F.coalesce("m", F.lit(-1))), F.when(F.col("m").isNotNull(), F.col("token")))  # n rows
     x = both.withColumn("x", F.col("rank") + 1.0).withColumn("low", F.rank().over(by))
     y = x.withColumn("y", F.col("low") + (F.count("*").over(W.partitionBy("low")) - 1) / 2.0)
-    out = y.agg(F.count("*").alias("words"), F.corr("x", "y").alias("rho")).crossJoin(have)  # one row each
-    short = F.raise_error(F.format_string("the gold vocabulary has only %d words", F.col("have"))).cast("double")
-    return out.select("words", F.when(F.col("have") < n, short).otherwise(F.col("rho")).alias("rho"))
+    out = y.agg(F.count("*").alias("words"), F.corr("x", "y").alias("rho"))
+    short = F.raise_error(F.format_string("the gold vocabulary has only %d words", F.col("words"))).cast("double")
+    return out.select("words", F.when(F.col("words") < n, short).otherwise(F.col("rho")).alias("rho"))
