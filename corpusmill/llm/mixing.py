@@ -92,13 +92,12 @@ def mix(tokens: DataFrame, targets: DataFrame, total: float | None = None, seed:
     times = placed.withColumn("times", F.col("passes") + last)
     uses = times.where("times > 0").withColumn("use", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc_id", "source", F.col("use").cast("int"), "tokens")
     got = times.groupBy("source").agg(F.sum(F.col("tokens") * F.col("times")).alias("mixed_tokens"), F.max("times").alias("most_uses"), F.count(F.when(F.col("times") > 0, 1)).alias("records"))
-    whole = got.agg(F.sum("mixed_tokens").alias("whole"))
+    whole = max(1, got.agg(F.sum("mixed_tokens").alias("whole")).first()["whole"] or 0)
     report = (
         goal.join(F.broadcast(got), "source", "left")
         .join(F.broadcast(plans.select("source", "budget")), "source", "left")
-        .crossJoin(F.broadcast(whole))  # one row
         .select(
-            "source", "target_share", "max_repeats", F.coalesce("mixed_tokens", F.lit(0)).alias("mixed_tokens"), F.coalesce(F.col("mixed_tokens") / F.col("whole"), F.lit(0.0)).alias("actual_share"),
+            "source", "target_share", "max_repeats", F.coalesce("mixed_tokens", F.lit(0)).alias("mixed_tokens"), F.coalesce(F.col("mixed_tokens") / F.lit(whole), F.lit(0.0)).alias("actual_share"),
             F.coalesce("most_uses", F.lit(0)).alias("most_uses"), F.coalesce("records", F.lit(0)).alias("records"), F.lit(exponent).alias("exponent"), F.lit(entropy).alias("entropy"),
         )
     )

@@ -54,13 +54,14 @@ def against_prose(fitted: DataFrame, least: int = 20) -> DataFrame:
     rows = fitted.withColumn("size", F.floor(F.log2(F.greatest(F.col("n_words"), F.lit(1)))).cast("int")).withColumn("lang", F.coalesce("lang", F.lit("?")))
     prose = rows.where((F.col("prose") >= 0.8 * F.col("chars")) & (F.col("closed") >= 0.5) & (F.col("n_words") >= 8))
     near = prose.groupBy("lang", "size").agg(*_quartiles()).where(F.col("pages") >= least)
-    every = prose.agg(*_quartiles())
-    ref = rows.join(F.broadcast(near), ["lang", "size"], "left").crossJoin(F.broadcast(every.select(*(F.col(f"q_{k}").alias(f"a_{k}") for k in FIGURES))))  # one row
+    every = prose.agg(*_quartiles()).first()  # one row: three numbers a figure
+    ref = rows.join(F.broadcast(near), ["lang", "size"], "left")
     z = []
     for k in FIGURES:
-        q = F.coalesce(f"q_{k}", f"a_{k}")
+        overall = F.array(*(F.lit(float(x)) for x in every[f"q_{k}"])) if every[f"q_{k}"] else F.lit(None).cast("array<double>")
+        q = F.coalesce(F.col(f"q_{k}"), overall)
         z.append(F.coalesce(F.abs(F.col(k) - q[1]) / F.greatest((q[2] - q[0]) / 1.349, F.lit(0.01)), F.lit(99.0)))
-    return ref.withColumn("off", F.greatest(*z)).drop(*(f"q_{k}" for k in FIGURES), *(f"a_{k}" for k in FIGURES), "pages", "size")
+    return ref.withColumn("off", F.greatest(*z)).drop(*(f"q_{k}" for k in FIGURES), "pages", "size")
 
 
 def consists_of_spam() -> Column:

@@ -138,14 +138,15 @@ def parts(text: str | None) -> Iterator[tuple[int, str, str]]:
             yield no, line, form(line)
 
 
-def batches(fn: Callable[[list[dict]], list[dict]], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A mapInArrow function from one over lists of rows; at most a batch is held at a time."""
+def batches(fn: Callable[[list[dict]], list[dict]], schema: pa.Schema, rows: int = 500) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A mapInArrow function from one over lists of rows. Only ``rows`` of a batch are Python objects at a time."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            out = fn(batch.to_pylist())
-            if out:
-                yield pa.RecordBatch.from_pylist(out, schema=schema)
+            for at in range(0, batch.num_rows, rows):
+                out = fn(batch.slice(at, rows).to_pylist())
+                if out:
+                    yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return run
 
