@@ -29,19 +29,24 @@ def session(name: str = "corpusmill", cores: int | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+#: Folders made for sessions of one process that name none, by application.
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``.
 
-    Only where the session has none and runs in one process, as in tests, a folder of this machine is made and set.
+    Only where the session has none and runs in one process, as in tests, a folder of this machine is made.
     """
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if known:
         return known
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="corpusmill-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="corpusmill-")
+    return _own[app]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -57,8 +62,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The Parquet table ``name`` in ``folder``."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """The Parquet table ``name`` in ``folder``, in as many partitions as there are cores at least."""
+    return busy(spark.read.parquet(f"{folder}/{name}.parquet"))
+
+
+def busy(scan: DataFrame, least: int = 1 << 20, part: int = 1 << 18) -> DataFrame:
+    """A scan that would leave cores idle, such as one of a single row group, in more partitions; others as they are.
+
+    Files of at least ``least`` bytes in fewer partitions than cores are dealt out in parts of about ``part`` bytes. That is a shuffle of
+    a few megabytes a core at most; a large table has more partitions than cores and is never shuffled here.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < least or size > (cores << 27) or scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(max(1, min(cores, size // part)))
 
 
 def ship(spark: SparkSession) -> None:
