@@ -85,7 +85,8 @@ def form(line: str) -> str:
         return TAGS
     if line.count("#") >= 2 and sum(len(x) for x in _HASHTAG.findall(line)) > 0.6 * n:
         return TAGS
-    solid = sum(map(str.isalnum, line))
+    # a character that was lost stood in a word
+    solid = sum(map(str.isalnum, line)) + line.count("\ufffd")
     blank = line.count(" ")
     worded = n > 60 and solid >= 0.8 * (n - blank) and blank >= n / 12
     if not worded and (_LOG.search(line) or _CODE.search(line)):
@@ -119,7 +120,7 @@ def form(line: str) -> str:
     if n >= 20:
         letters = WORD.findall(line)
         size = sum(map(len, letters))
-        if size and len(_VOWEL.findall(line)) < 0.15 * size:
+        if size and "\ufffd" not in line and len(_VOWEL.findall(line)) < 0.15 * size:
             return JUNK
         # encoded text: long words in which case and digits change inside
         odd = sum(len(w) for w in words if len(w) >= 12 and re.search(r"[a-z][A-Z].*[a-z][A-Z]|\d[A-Za-z]+\d|[A-Z][a-z]+\d", w))
