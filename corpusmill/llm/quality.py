@@ -85,8 +85,9 @@ def distances(stats: DataFrame, models: dict[str, tuple[np.ndarray, np.ndarray]]
     return df.withColumn("distance2", total).drop("_d", "mean", "inv", "m_lang")
 
 
-def quality(profiles: DataFrame, off2: float = 30.0) -> DataFrame:
-    """One row a record: the statistics, the distance with its parts, and natural by form."""
+def quality(profiles: DataFrame, off2: float = 30.0, of: DataFrame | None = None) -> DataFrame:
+    """One row a record: the statistics, the distance with its parts, and natural by form. The prose compared with is
+    that of the profiles ``of``, where they are others than those judged."""
     stats = statistics(profiles)
-    scored = distances(stats, fit(stats))
+    scored = distances(stats, fit(stats if of is None else statistics(of)))
     return scored.withColumn("natural", ~((F.col("distance2") > off2) & (F.col("shaped") > 0.5)))

@@ -45,14 +45,18 @@ def _quartiles() -> list[Column]:
     return [F.percentile_approx(k, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q_{k}") for k in FIGURES] + [F.count("*").alias("pages")]
 
 
-def against_prose(fitted: DataFrame, least: int = 20) -> DataFrame:
+def _sized(fitted: DataFrame) -> DataFrame:
+    return fitted.withColumn("size", F.floor(F.log2(F.greatest(F.col("n_words"), F.lit(1)))).cast("int")).withColumn("lang", F.coalesce("lang", F.lit("?")))
+
+
+def against_prose(fitted: DataFrame, least: int = 20, of: DataFrame | None = None) -> DataFrame:
     """Adds ``off``: the largest distance of a figure from prose of the language and length, in robust deviations.
 
     The reference has a row per language (those of common_words) and power of two of the length: at most some hundred
-    rows however large the corpus, hence the broadcast.
+    rows however large the corpus, hence the broadcast. It is fitted on the pages ``of``, or else on those judged.
     """
-    rows = fitted.withColumn("size", F.floor(F.log2(F.greatest(F.col("n_words"), F.lit(1)))).cast("int")).withColumn("lang", F.coalesce("lang", F.lit("?")))
-    prose = rows.where((F.col("prose") >= 0.8 * F.col("chars")) & (F.col("closed") >= 0.5) & (F.col("n_words") >= 8))
+    rows = _sized(fitted)
+    prose = (rows if of is None else _sized(of)).where((F.col("prose") >= 0.8 * F.col("chars")) & (F.col("closed") >= 0.5) & (F.col("n_words") >= 8))
     near = prose.groupBy("lang", "size").agg(*_quartiles()).where(F.col("pages") >= least)
     every = prose.agg(*_quartiles()).first()  # one row: three numbers a figure
     ref = rows.join(F.broadcast(near), ["lang", "size"], "left")
@@ -75,7 +79,8 @@ def consists_of_spam() -> Column:
     return half | partly | dressed | bare
 
 
-def spam(profiles: DataFrame, off: float = 3.0) -> DataFrame:
-    """The profiles with the curve's figures, ``off`` and ``is_spam``; profiles hold one row a record."""
-    scored = against_prose(curves(profiles))
+def spam(profiles: DataFrame, off: float = 3.0, of: DataFrame | None = None) -> DataFrame:
+    """The profiles with the curve's figures, ``off`` and ``is_spam``; profiles hold one row a record. The prose compared
+    with is that of the profiles ``of``, where they are others than those judged."""
+    scored = against_prose(curves(profiles), of=None if of is None else curves(of))
     return scored.withColumn("is_spam", (F.col("chars") > 0) & (F.col("off") >= off) & consists_of_spam())

@@ -312,3 +312,18 @@ def test_every_page_has_a_language(spark, labelled):
 
 def test_word_table():
     assert word_table([{"lang": "EN", "word": "The"}, {"lang": None, "word": "x"}]) == {"the": ("en",)}
+
+
+def test_labels_of_pages_that_are_no_prose_by_the_whole_corpus(spark, labelled, tmp_path):
+    from corpusmill.llm import problems
+
+    rng = random.Random(1)
+    rows = [(f"p{i}", "s", " ".join(rng.sample(PROSE.split() * 3, 60)) + ". " + PROSE * (1 + i % 4), "en") for i in range(120)]
+    # the only page with something to correct is no prose by what the sound pages look like
+    rows += [("refs", "s", HONEST["refs"], None)]
+    corpus(spark, rows).write.parquet(f"{tmp_path}/corpus.parquet")
+    labelled.write.parquet(f"{tmp_path}/lang_samples.parquet")
+    spark.createDataFrame(WORDS, "lang string, word string").write.parquet(f"{tmp_path}/common_words.parquet")
+    assert {r.record_id for r in langlabel.wrong_labels(spark.read.parquet(f"{tmp_path}/corpus.parquet"), labelled).collect()} >= {"refs"}
+    assert "refs" in {r.record_id for r in problems.p5_found(spark, str(tmp_path)).collect()}
+    assert {(r.record_id, r.line_no, r.lang) for r in problems.p4_found(spark, str(tmp_path)).collect() if r.line_no == 0} == set()
