@@ -118,18 +118,15 @@ def monotone(counts: Counter, total: int) -> bool:
 def profile(record_id: str, text: str | None, words: dict[str, tuple[str, ...]]) -> dict:
     size = dict.fromkeys((PROSE, NOTE, LINK, TAGS, LIST, TABLE, JUNK), 0)
     body: list[str] = []
-    found = list(parts(text))
-    closed = n_slots = said_lines = other = said = filler = 0
-    rest = sum(len(line) for _, line, kind in found if kind != NOTE)
-    for _, line, kind in found:
+    closed = n_slots = said_lines = told = said = filler = 0
+    for _, line, kind in parts(text):
         n = len(line)
-        # once more than half of the page is something else, no message can make up most of it
-        what = evidence(line) if other <= 0.5 * rest and kind in (PROSE, NOTE, LIST, JUNK) else None
-        if what:
-            if kind == NOTE:
-                rest += n
+        # whether messages make up most of the page is judged once its host's recurrent lines are known, not here
+        what = evidence(line)
+        if what and kind in (PROSE, NOTE, LIST, JUNK):
             kind = PROSE
             said_lines += 1
+            told += n
         size[kind] += n
         if kind == NOTE:
             continue
@@ -137,8 +134,6 @@ def profile(record_id: str, text: str | None, words: dict[str, tuple[str, ...]])
             said += n
         elif what == "filler":
             filler += n
-        else:
-            other += n
         closed += line[-1] in ".!?…”»\"'"
         if kind != LINK and kind != TAGS:
             n_slots += slots(line)
@@ -157,8 +152,8 @@ def profile(record_id: str, text: str | None, words: dict[str, tuple[str, ...]])
     digits = int(((codes >= 48) & (codes <= 57)).sum())
     upper = int(((codes >= 65) & (codes <= 90)).sum() + ((codes >= 0x410) & (codes <= 0x42F)).sum())
     plain = int((codes > 127).sum()) < 0.02 * len(whole)
-    if size[PROSE] - said - filler > 0.5 * len(whole) and n >= 8 and (monotone(counts, n) or n >= 20 and plain and pseudo(counts, n, hits, share, pair, closed, lines)):
-        filler = size[PROSE] - said
+    if size[PROSE] - told > 0.5 * len(whole) and n >= 8 and (monotone(counts, n) or n >= 20 and plain and pseudo(counts, n, hits, share, pair, closed, lines)):
+        filler += size[PROSE] - told
     return {
         "record_id": record_id,
         "lang": lang,

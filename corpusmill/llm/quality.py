@@ -34,7 +34,7 @@ def statistics(profiles: DataFrame) -> DataFrame:
 def fit(stats: DataFrame, least: int = 60, ridge: float = 1e-4) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Mean and inverse covariance of prose by language. Two aggregations over all rows; the driver gets a row a
     language of common_words, whatever the corpus."""
-    prose = stats.where((F.col("n_words") >= 8) & (F.col("prose") >= 0.8 * F.col("chars")) & (F.col("filler") + F.col("said") == 0))
+    prose = stats.where((F.col("n_words") >= 8) & (F.col("prose") >= 0.8 * F.col("chars")) & (F.col("filler") + F.col("said") <= 0.5 * F.col("chars")))
     half = [F.percentile_approx(k, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q_{k}") for k in STATS]
     middle = prose.groupBy("lang").agg(*half)
     near = prose.join(F.broadcast(middle), "lang")

@@ -73,7 +73,7 @@ def consists_of_spam() -> Column:
     listed = F.col("link") + F.col("tags")
     half = listed > 0.5 * F.col("chars")
     partly = (listed > 0.25 * F.col("chars")) & (F.col("common") < 0.15) & (F.col("list") + F.col("table") + F.col("junk") < 0.3 * F.col("chars"))
-    prosaic = (F.col("prose") > 0.5 * F.col("chars")) & (F.col("filler") == 0) & (F.col("said") == 0)
+    prosaic = (F.col("prose") > 0.5 * F.col("chars")) & (F.col("filler") + F.col("said") <= 0.5 * F.col("chars"))
     dressed = prosaic & (F.col("n_words") >= 40) & (F.col("top_pair") >= 0.11)
     bare = prosaic & (F.col("n_words") >= 50) & (F.col("common") < 0.35) & (F.col("n_types") < 0.35 * F.col("n_words")) & (F.col("closed") < 0.5) & (F.col("top_word") >= 0.025) & (F.col("digits") < 0.1)
     return half | partly | dressed | bare

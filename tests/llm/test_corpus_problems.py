@@ -214,6 +214,19 @@ def test_residue(spark):
     assert {r.record_id for r in residue.residue(docs, found).collect()} == {"msg", "slot", "asdf"}
 
 
+def residue_of(spark, rows):
+    docs = corpus(spark, rows)
+    found = pages.page_profiles(docs, spark.createDataFrame(WORDS, "lang string, word string")).dropDuplicates(["record_id"])
+    return {r.record_id for r in residue.residue(docs, found).collect()}
+
+
+def test_message_below_recurrent_lines(spark):
+    menu = "All the news from our long old street, every single day\nThe people of the village and all that they had by the mill"
+    rows = [(f"n{i}", "s", f"{menu}\n{PROSE * 2}", "en") for i in range(20)]
+    rows += [("late", "s", f"{menu}\nAccess denied", "en"), ("early", "s", f"Access denied\n{menu}", "en"), ("about", "s", f"{menu}\n{PROSE * 3}\nAccess denied", "en")]
+    assert residue_of(spark, rows) == {"late", "early"}
+
+
 # --- 3 ---------------------------------------------------------------------------------------------------------------
 
 TEXTS = {
