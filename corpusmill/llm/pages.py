@@ -32,6 +32,7 @@ SLOT = re.compile(
     rf"|%[A-Za-z]+(?:_[A-Za-z]+)*%|\$[a-z][a-z0-9_]+\$|(?<!\w)__[A-Z][A-Z0-9_]*?__(?!\w)|!!missing {_NAME}!!|\?\?\?{_NAME}\?\?\?|\[insert {_NAME} here\]|\[YOUR [A-Z_ ]+\]|\[object Object\]"
     r"|(?<![\w.])label\.\w+(?:\.\w+)+|(?<=\s)&[a-z]+_?[a-z]+;(?=[\s.,]|$)|(?<=\s)<[A-Z][A-Z_ ]+>(?=[\s.,]|$)|(?<!\w)undefined(?! behavio)(?!\w)"
 )
+_ESCAPED = re.compile("%[0-9A-Fa-f]{2}%[0-9A-Fa-f]{2}")
 _SLOT_HINT = ahocorasick.Automaton()
 for _x in ("{{", "{%", "<%", "${", "#{", "[[", "@@", "##", "%", "$", "__", "!!", "???", "[insert", "[YOUR", "[object", "label.", "&", "<", "undefined"):
     _SLOT_HINT.add_word(_x, 1)
@@ -86,6 +87,8 @@ def slots(line: str) -> int:
         return 0
     n = 0
     for m in SLOT.finditer(line):
+        if _ESCAPED.match(line, m.start()):  # bytes of an encoded address
+            continue
         start = max(line.rfind(". ", 0, m.start()), line.rfind("! ", 0, m.start()), line.rfind("? ", 0, m.start())) + 1
         end = min((x for x in (line.find(". ", m.end()), line.find("! ", m.end()), line.find("? ", m.end())) if x >= 0), default=len(line))
         if not ABOUT.search(line[start:end].replace(m[0], " ")):
@@ -96,8 +99,6 @@ def slots(line: str) -> int:
 def evidence(line: str) -> str | None:
     """'said' for an error or access message or a demand for browser features, 'filler' for text left to be replaced."""
     n = len(line)
-    if n > 400:
-        return None
     low = line.lower()
     for _, kind in _phrases.iter(low):
         return kind
@@ -110,6 +111,28 @@ def evidence(line: str) -> str | None:
     return None
 
 
+#: A sentence, or as much of one as may hold a message.
+_PIECE = re.compile(r"\S.{0,398}?(?:[.!?…](?=\s|$)|$)\s*|\S.{0,398}(?:\s+|$)|\S{1,400}")
+
+
+def evident(line: str, most: int = 400) -> tuple[str | None, int]:
+    """(kind of evidence, its characters). A line of up to ``most`` characters is evidence as a whole; of a longer one
+    the sentences are that have it, and its beginning up to ``most`` characters where it opens with one."""
+    what = evidence(line)
+    if what is None or len(line) <= most:
+        return what, len(line) if what else 0
+    sums = {"said": 0, "filler": 0}
+    opening = None
+    for m in _PIECE.finditer(line):
+        kind = evidence(m[0].strip())
+        if m.start() == 0:
+            opening = kind
+        if kind or opening and m.end() <= most:
+            sums[kind or opening] += len(m[0])
+    what = max(sums, key=lambda k: sums[k])
+    return (what, sum(sums.values())) if sums[what] else (None, 0)
+
+
 def monotone(counts: Counter, total: int) -> bool:
     """Whether a text says one or two things over and over, as typed filler does."""
     return total >= 8 and sum(n for _, n in counts.most_common(2)) >= 0.85 * total
@@ -122,21 +145,22 @@ def profile(record_id: str, text: str | None, words: dict[str, tuple[str, ...]])
     for _, line, kind in parts(text):
         n = len(line)
         # whether messages make up most of the page is judged once its host's recurrent lines are known, not here
-        what = evidence(line)
+        what, here = evident(line)
         if what and kind in (PROSE, NOTE, LIST, JUNK):
-            kind = PROSE
-            said_lines += 1
-            told += n
+            if here > 0.5 * n:
+                kind = PROSE
+                said_lines += 1
+            if kind == PROSE:
+                told += here
+        n_slots += slots(line)
         size[kind] += n
         if kind == NOTE:
             continue
         if what == "said":
-            said += n
+            said += here
         elif what == "filler":
-            filler += n
+            filler += here
         closed += line[-1] in ".!?…”»\"'"
-        if kind != LINK and kind != TAGS:
-            n_slots += slots(line)
         body.append(line)
     whole = "\n".join(body)
     low = whole.lower()

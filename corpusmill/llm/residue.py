@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.lines import delta, frequent, line_key
-from corpusmill.llm.pages import evidence
+from corpusmill.llm.pages import evident
 from corpusmill.llm.textkit import NOTE, batches, parts
 from corpusmill.plans.shared import materialize
 
@@ -27,11 +27,11 @@ def _labelled(batch: list[dict]) -> list[dict]:
     out = []
     for r in batch:
         for no, line, kind in parts(r["text"]):
-            out.append({"record_id": r["record_id"], "host": r["host"], "line_no": no, "line": line, "note": kind == NOTE, "what": evidence(line)})
+            out.append({"record_id": r["record_id"], "host": r["host"], "line_no": no, "line": line, "note": kind == NOTE, "told": evident(line)[1]})
     return out
 
 
-_SCHEMA = pa.schema([("record_id", pa.string()), ("host", pa.string()), ("line_no", pa.int32()), ("line", pa.string()), ("note", pa.bool_()), ("what", pa.string())])
+_SCHEMA = pa.schema([("record_id", pa.string()), ("host", pa.string()), ("line_no", pa.int32()), ("line", pa.string()), ("note", pa.bool_()), ("told", pa.int32())])
 
 
 def residue(corpus: DataFrame, profiles: DataFrame, among: DataFrame | None = None, least: int = 8, share: float = 0.05) -> DataFrame:
@@ -44,7 +44,7 @@ def residue(corpus: DataFrame, profiles: DataFrame, among: DataFrame | None = No
     suspects = materialize(suspects, "suspects")
     docs = corpus.select("record_id", host_of().alias("host"), "text")
     theirs = (docs if among is None else among.select("record_id", host_of().alias("host"), "text")).join(suspects.select("record_id").distinct(), "record_id", "left_semi").dropDuplicates(["record_id"])
-    labelled = theirs.mapInArrow(batches(_labelled, _SCHEMA), "record_id string, host string, line_no int, line string, note boolean, what string")
+    labelled = theirs.mapInArrow(batches(_labelled, _SCHEMA), "record_id string, host string, line_no int, line string, note boolean, told int")
     labelled = materialize(labelled.withColumn("key", F.xxhash64(line_key(F.col("line")))).withColumn("chars", F.length("line")).withColumn("source", F.xxhash64("host")).drop("line"), "residue")
     hosts = labelled.select("host").distinct()
     every = docs.where(F.col("record_id").isNotNull()).join(hosts, "host", "left_semi").select(
@@ -52,10 +52,9 @@ def residue(corpus: DataFrame, profiles: DataFrame, among: DataFrame | None = No
     )
     counted = every.select("source", "rec", F.xxhash64(line_key(F.col("line"))).alias("key"))
     recurrent = frequent(delta(counted), least, share).withColumn("recurs", F.lit(True))
-    left = labelled.join(recurrent, ["source", "key"], "left").where(F.col("what").isNotNull() | ~(F.col("note") | F.coalesce("recurs", F.lit(False))))
-    sums = left.groupBy("record_id").agg(
-        F.sum("chars").alias("residual"), F.sum(F.when(F.col("what").isNotNull(), F.col("chars")).otherwise(0)).alias("evident")
-    )
+    taken = F.col("note") | F.coalesce("recurs", F.lit(False))
+    left = labelled.join(recurrent, ["source", "key"], "left").where((F.col("told") > 0) | ~taken)
+    sums = left.groupBy("record_id").agg(F.sum(F.when(taken, F.col("told")).otherwise(F.col("chars"))).alias("residual"), F.sum("told").alias("evident"))
     judged = sums.join(suspects, "record_id", "right")
     mostly = F.coalesce(F.greatest(F.col("evident"), F.col("said") + F.col("filler")) > 0.5 * F.col("residual"), F.lit(False))
     return judged.where((F.col("slots") > 0) | mostly).select("record_id", "slots", "said", "filler", "residual")

@@ -227,6 +227,25 @@ def test_message_below_recurrent_lines(spark):
     assert residue_of(spark, rows) == {"late", "early"}
 
 
+@pytest.mark.parametrize("line", ["Posted by {{author}} on {{date}}", "(c) {{year}} {{site}}", "Tags: boots, {{tag_name}}, tent", "http://a.example/{{path}}/"])
+def test_slots_of_notices_and_links(line):
+    assert pages.profile("r", PROSE + "\n" + line, word_table([]))["slots"] >= 1
+
+
+@pytest.mark.parametrize("line", ["http://a.example/%D0%BC%D0%BA%D0%AA%BC%BC%D0", "https://a.example/%aa%bb%cc"])
+def test_encoded_addresses_have_no_slots(line):
+    assert pages.slots(line) == 0
+
+
+def test_messages_in_long_lines(spark):
+    message = "Access denied. You do not have permission to view this page. " + "The people of the mill had not said why it was so, and it was for all that they had done. " * 4
+    demand = "This content requires JavaScript to be on in what you read it with, and it is off. " * 7
+    about = PROSE * 4 + "The old page said access denied. " + PROSE * 2
+    assert min(map(len, (message, demand, about))) > 400
+    rows = [("message", "s", message.strip(), "en"), ("demand", "s", demand.strip(), "en"), ("about", "s", about.strip(), "en")]
+    assert residue_of(spark, rows) == {"message", "demand"}
+
+
 # --- 3 ---------------------------------------------------------------------------------------------------------------
 
 TEXTS = {
