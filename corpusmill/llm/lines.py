@@ -35,10 +35,21 @@ MONTHS = {
     "ru": "января февраля марта апреля мая июня июля августа сентября октября ноября декабря",
 }
 
-_NAMES = "|".join(sorted({m for v in MONTHS.values() for m in v.split()}, key=lambda m: (-len(m), m)))
-_MONTH = rf"(?<!\p{{L}})(?:{_NAMES})(?!\p{{L}})\.?"
-#: After a number only, which is where it stands in running text; a search that begins with a mark is far quicker.
-_MONTH_AFTER = rf"#[.ºª]? (?:de )?(?:{_NAMES})(?!\p{{L}})\.?"
+
+def _any_of(words: set[str]) -> str:
+    """A pattern for any of the words, by common beginnings, so that a search is done with most places after one letter."""
+    rest: dict[str, set[str]] = {}
+    for w in words:
+        if w:
+            rest.setdefault(w[0], set()).add(w[1:])
+    found = "|".join(c + _any_of(tails) for c, tails in sorted(rest.items()))
+    if not found:
+        return ""
+    return f"(?:{found}){'?' if '' in words else ''}" if len(rest) > 1 or "" in words else found
+
+
+_NAMES = {m for v in MONTHS.values() for m in v.split()}
+_MONTH = rf"(?<!\p{{L}})(?:{_any_of(_NAMES)})(?!\p{{L}})\.?"
 
 #: Wording around a slot that holds a name, a site or a section, as lower-case text with numbers already written #.
 _SLOTS = [
@@ -57,10 +68,9 @@ def line_key(line: Column) -> Column:
     and what is filled in (numbers, dates, times, names, sites, sections) is one mark. Null stays null."""
     t = F.translate(F.lower(line), BLANKS + INVISIBLE, " " * len(BLANKS))
     numbered = F.regexp_replace(t, r"\p{Nd}+", "#")
-    short = F.regexp_replace(F.regexp_replace(numbered, _MONTH, "#"), r" {2,}", " ")
+    t = F.regexp_replace(F.regexp_replace(numbered, _MONTH, "#"), r" {2,}", " ")
     for pattern, by in _SLOTS:
-        short = F.regexp_replace(short, pattern, by)
-    t = F.when(F.length(line) <= 200, short).otherwise(F.regexp_replace(numbered, _MONTH_AFTER, "#"))
+        t = F.regexp_replace(t, pattern, by)
     t = F.trim(F.regexp_replace(t, r"[^\p{L}\p{M}\p{Nd}#~]+", " "))
     # each step appears once in the expression, so nothing is computed twice
     return F.regexp_replace(t, r"#(?: (?:(?:de|do|di|st|nd|rd|th) )?#)+", "#")

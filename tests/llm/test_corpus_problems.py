@@ -41,6 +41,30 @@ def test_same_wording(spark, a, b):
     assert key(spark, a) == key(spark, b)
 
 
+LEGAL = " No part of what is shown here may be copied, kept or passed on in any form without the written word of the owner, who answers for no loss that comes of its use, be it direct or not, and who may change these terms at any time."
+
+
+@pytest.mark.parametrize(
+    "a, b",
+    [
+        ("© 2016 Old Mill." + LEGAL, "© 2011 New Post." + LEGAL),
+        ("Registered office of Old Mill;" + LEGAL, "Registered office of Far Post;" + LEGAL),
+        ("These terms hold from March 5, 2021 on." + LEGAL, "These terms hold from June 17, 2009 on." + LEGAL),
+        ("Diese Fassung gilt ab dem 3. Mai 2014." + LEGAL, "Diese Fassung gilt ab dem 03.11.2012." + LEGAL),
+    ],
+)
+def test_same_wording_of_long_lines(spark, a, b):
+    assert min(len(a), len(b)) > 200
+    assert key(spark, a) == key(spark, b)
+
+
+@pytest.mark.parametrize("word", sorted({m for v in lines.MONTHS.values() for m in v.split()}))
+def test_every_month_is_known(word):
+    # the pattern is one for Java, but for the letter class
+    pattern = re.compile(lines._MONTH.replace(r"\p{L}", r"[^\W\d_]"))
+    assert pattern.sub("#", f"{word}, x{word} {word}x") == f"#, x{word} {word}x"
+
+
 def test_other_wording(spark):
     assert len({key(spark, x) for x in ("Share this", "Share that", "Print", "The mill by the river is old.", "The bridge by the river is old.")}) == 5
     assert key(spark, None) is None
