@@ -183,8 +183,11 @@ def own_ratios(dicts: dict[str, bytes], texts: list[tuple[str, str]]) -> dict[st
     c = Classifier(half)
     own: dict[str, list[float]] = {}
     foreign: dict[str, list[float]] = {}
-    for lang, text in texts[-len(texts) // 3 :]:
-        lang = lang.strip().lower()[:2]
+    by_lang: dict[str, list[str]] = {}
+    for lang, text in texts:
+        by_lang.setdefault(lang.strip().lower()[:2], []).append(text)
+    # the last third of each language, which its half of a dictionary doesn't have
+    for lang, text in ((k, t) for k, v in by_lang.items() for t in v[-max(1, len(v) // 3) :]):
         for line in text.split("\n"):
             data = normal(line)
             if len(data) < 40:

@@ -366,6 +366,14 @@ def test_every_page_has_a_language(spark, labelled):
     assert got == {k: k for k in SAMPLES}
 
 
+def test_limits_do_not_depend_on_the_order_of_the_languages():
+    rng = random.Random(2)
+    texts = [(k, " ".join(rng.sample(v.split(), 20))) for k, v in SAMPLES.items() for _ in range(12)]
+    mixed = sorted(enumerate(texts), key=lambda x: (x[0] % 12, x[0]))
+    dicts = langlabel.dictionaries(texts)
+    assert langlabel.own_ratios(dicts, texts) == langlabel.own_ratios(dicts, [t for _, t in mixed])
+
+
 def test_word_table():
     assert word_table([{"lang": "EN", "word": "The"}, {"lang": None, "word": "x"}]) == {"the": ("en",)}
 
