@@ -316,6 +316,12 @@ def test_sound_texts(text):
     assert charset.damage(text) is None
 
 
+def test_a_single_spoiled_word(spark):
+    samples = [("es", TEXTS["es"] + "El niño del año, la señora y el otoño, el pequeño sueño."), ("fr", TEXTS["fr"])]
+    rows = [("one", "s", "La calle de San OrdoÒo era larga.", "es"), ("euro", "s", "It was £483 or Ä66, then £532 or Ä98.", "en"), ("brand", "s", "The shop of MacÉwan was shut.", "en")]
+    assert {r.record_id for r in charset.find_damaged(corpus(spark, rows), samples=samples).collect()} == {"one", "euro"}
+
+
 def test_lost_characters_come_from_the_page(spark):
     good = "Le café de la société est fermé."
     raw = spark.createDataFrame([("r", bytearray(b"HTTP/1.1 200 OK\r\n\r\n<p>" + good.encode() + b"</p>"))], "record_id string, content binary")
