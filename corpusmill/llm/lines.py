@@ -63,16 +63,31 @@ _SLOTS = [
 ]
 
 
+#: How a line with one of the anchored wordings above begins, and what stands in a line with the other.
+_SLOT_START = r"^ ?(?:by|von|par|por|di|door|da|aut|автор|posted|published|veröff|publi|pubbl|text|words|photo|picture|foto|bild|testo|filed|cat|kategor|rubrik|рубрик|©|\(c\)|copyr)"
+_SLOT_INSIDE = ("registered office of", "opinion of", "opinions of", "views of", "sitz der", "siège de")
+
+
 def line_key(line: Column) -> Column:
     """The fixed wording of a line: case, spacing, invisible characters, separators and closing marks do not count,
     and what is filled in (numbers, dates, times, names, sites, sections) is one mark. Null stays null."""
     t = F.translate(F.lower(line), BLANKS + INVISIBLE, " " * len(BLANKS))
     numbered = F.regexp_replace(t, r"\p{Nd}+", "#")
     t = F.regexp_replace(F.regexp_replace(numbered, _MONTH, "#"), r" {2,}", " ")
-    for pattern, by in _SLOTS:
-        t = F.regexp_replace(t, pattern, by)
+
+    def slots(x: Column) -> Column:
+        # the wordings are tried only where their beginning or a part of them is there, whatever the length of the line
+        tried = x
+        for pattern, by in _SLOTS:
+            tried = F.regexp_replace(tried, pattern, by)
+        inside = F.lit(False)
+        for part in _SLOT_INSIDE:
+            inside = inside | F.contains(x, F.lit(part))
+        return F.when(F.regexp_like(F.substring(x, 1, 12), F.lit(_SLOT_START)) | inside, tried).otherwise(x)
+
+    # a lambda's variable is computed once, so no step is repeated in the branches
+    t = F.element_at(F.transform(F.array(t), slots), 1)
     t = F.trim(F.regexp_replace(t, r"[^\p{L}\p{M}\p{Nd}#~]+", " "))
-    # each step appears once in the expression, so nothing is computed twice
     return F.regexp_replace(t, r"#(?: (?:(?:de|do|di|st|nd|rd|th) )?#)+", "#")
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.textkit import JUNK, LINK, LIST, NOTE, PROSE, TABLE, TAGS, WORD, batches, common_words, languages_of, parts
+from corpusmill.llm.textkit import JUNK, LINK, LIST, NOTE, PROSE, TABLE, TAGS, WORD, Lexicon, batches, common_words, parts
 
 SCHEMA = (
     "record_id string, lang string, n_words int, n_types int, curve array<struct<f:int,m:int>>, top_word double, top_pair double, common double, "
@@ -133,80 +133,117 @@ def evident(line: str, most: int = 400) -> tuple[str | None, int]:
     return (what, sum(sums.values())) if sums[what] else (None, 0)
 
 
+#: Parts of the wordings above that a text must hold in lower case for any line to be looked at.
+_HINTS = ("script", "cookies", "construction", "caption of image", *_FOUND)
+_hints = ahocorasick.Automaton()
+for _x in {*SAID_IN, *FILLER_IN, *_HINTS, *(x.strip() for x in ("error", "fehler", "erreur", "errore", "erro", "fout", "błąd", "ошибка")), *FILLER_LINES, *_ADD}:
+    _hints.add_word(_x, 1)
+_hints.make_automaton()
+
+
+def hinted(text: str) -> bool:
+    """Whether any line of a text can be evidence or have a slot; those without need no look at single lines."""
+    return next(_hints.iter(text.lower()), None) is not None or next(_SLOT_HINT.iter(text), None) is not None
+
+
 def monotone(counts: Counter, total: int) -> bool:
     """Whether a text says one or two things over and over, as typed filler does."""
-    return total >= 8 and sum(n for _, n in counts.most_common(2)) >= 0.85 * total
-
-
-def profile(record_id: str, text: str | None, words: dict[str, tuple[str, ...]]) -> dict:
-    size = dict.fromkeys((PROSE, NOTE, LINK, TAGS, LIST, TABLE, JUNK), 0)
-    body: list[str] = []
-    closed = n_slots = said_lines = told = said = filler = 0
-    for _, line, kind in parts(text):
-        n = len(line)
-        # whether messages make up most of the page is judged once its host's recurrent lines are known, not here
-        what, here = evident(line)
-        if what and kind in (PROSE, NOTE, LIST, JUNK):
-            if here > 0.5 * n:
-                kind = PROSE
-                said_lines += 1
-            if kind == PROSE:
-                told += here
-        n_slots += slots(line)
-        size[kind] += n
-        if kind == NOTE:
-            continue
-        if what == "said":
-            said += here
-        elif what == "filler":
-            filler += here
-        closed += line[-1] in ".!?…”»\"'"
-        body.append(line)
-    whole = "\n".join(body)
-    low = whole.lower()
-    tokens = WORD.findall(low)
-    counts = Counter(tokens)
-    n, lines = len(tokens), len(body)
-    lang, hits, top = languages_of(words, counts)
-    share = top / n if n else 0.0
-    pair = Counter(zip(tokens, tokens[1:])).most_common(1)[0][1] / n if n > 30 and share >= 0.04 else 0.0
-    letters = sum(map(len, tokens))
+    return total >= 8 and len(counts) <= 2 + 0.15 * total and sum(n for _, n in counts.most_common(2)) >= 0.85 * total
+
+
+def pseudo(counts: Counter, n: int, hits: int, top: float, pair: float, closed: int, lines: int) -> bool:
+    """Whether sentences are put together from the words of no language: closed like prose, but with few of any
+    language's common words, and without a word or phrase that stands out; in a short text four times is not often."""
+    return closed >= 0.6 * lines and len(counts) >= 12 and hits < 0.25 * n and top < max(0.12, 5.5 / n) and pair < max(0.06, 2.5 / n)
+
+
+_CLOSING = frozenset(".!?…”»\"'")
+
+
+class Seen:
+    """What a page says about itself, line by line and as a whole."""
+
+    def __init__(self, text: str | None, words: Lexicon):
+        size = dict.fromkeys((PROSE, NOTE, LINK, TAGS, LIST, TABLE, JUNK), 0)
+        #: (line number, characters, form, evidence in it, slots) of each non-blank line
+        self.lines: list[tuple[int, int, str, int, int]] = []
+        body: list[str] = []
+        closed = told = self.said = self.filler = self.slots = self.said_lines = 0
+        look = text is not None and hinted(text)
+        for no, line, kind in parts(text):
+            n, what, here, holes = len(line), None, 0, 0
+            if look:
+                # whether messages make up most of the page is judged once its host's recurrent lines are known, not here
+                what, here = evident(line)
+                if what and kind in (PROSE, NOTE, LIST, JUNK):
+                    if here > 0.5 * n:
+                        kind = PROSE
+                        self.said_lines += 1
+                    if kind == PROSE:
+                        told += here
+                holes = slots(line)
+                self.slots += holes
+            size[kind] += n
+            self.lines.append((no, n, kind, here, holes))
+            if kind == NOTE:
+                continue
+            if what == "said":
+                self.said += here
+            elif what == "filler":
+                self.filler += here
+            closed += line[-1] in _CLOSING
+            body.append(line)
+        self.size, self.whole = size, "\n".join(body)
+        tokens = WORD.findall(self.whole.lower())
+        counts = Counter(tokens)
+        n, lines = len(tokens), len(body)
+        lang, hits, top = words.of(tokens, counts)
+        share = top / n if n else 0.0
+        pair = Counter(zip(tokens, tokens[1:])).most_common(1)[0][1] / n if n > 30 and share >= 0.04 else 0.0
+        self.n, self.counts, self.lang, self.hits, self.share, self.pair, self.tokens = n, counts, lang, hits, share, pair, tokens
+        self.closed = closed / lines if lines else 0.0
+        #: sentences of no language, or one thing over and over: all prose of the page is filler
+        self.faked = False
+        if size[PROSE] - told > 0.5 * len(self.whole) and n >= 8:
+            self.faked = monotone(counts, n)
+            if not self.faked and n >= 20 and pseudo(counts, n, hits, share, pair, closed, lines):
+                odd = int((np.frombuffer(self.whole.encode("utf-32-le", "surrogatepass"), np.uint32) > 127).sum())
+                self.faked = odd < 0.02 * len(self.whole)
+        if self.faked:
+            self.filler += size[PROSE] - told
+
+
+def profile(record_id: str, text: str | None, words: Lexicon) -> dict:
+    p = Seen(text, words)
+    n, whole, size = p.n, p.whole, p.size
+    letters = sum(map(len, p.tokens))
     codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
     solid = max(1, int((codes > 32).sum()))
     digits = int(((codes >= 48) & (codes <= 57)).sum())
     upper = int(((codes >= 65) & (codes <= 90)).sum() + ((codes >= 0x410) & (codes <= 0x42F)).sum())
-    plain = int((codes > 127).sum()) < 0.02 * len(whole)
-    if size[PROSE] - told > 0.5 * len(whole) and n >= 8 and (monotone(counts, n) or n >= 20 and plain and pseudo(counts, n, hits, share, pair, closed, lines)):
-        filler += size[PROSE] - told
     return {
         "record_id": record_id,
-        "lang": lang,
+        "lang": p.lang,
         "n_words": n,
-        "n_types": len(counts),
-        "curve": [{"f": f, "m": m} for f, m in sorted(Counter(counts.values()).items(), reverse=True)],
-        "top_word": share,
-        "top_pair": pair,
-        "common": hits / n if n else 0.0,
+        "n_types": len(p.counts),
+        "curve": [{"f": f, "m": m} for f, m in sorted(Counter(p.counts.values()).items(), reverse=True)],
+        "top_word": p.share,
+        "top_pair": p.pair,
+        "common": p.hits / n if n else 0.0,
         "chars": len(whole),
         "note": size[NOTE], "link": size[LINK], "tags": size[TAGS], "list": size[LIST], "table": size[TABLE], "junk": size[JUNK], "prose": size[PROSE],
         "word_len": letters / n if n else 0.0,
         "symbols": max(0.0, 1 - (letters + digits) / solid) if whole else 0.0,
-        "closed": closed / lines if lines else 0.0,
+        "closed": p.closed,
         "digits": digits / solid if whole else 0.0,
         "upper": upper / solid if whole else 0.0,
-        "slots": n_slots, "said": said, "filler": filler, "said_lines": said_lines,
+        "slots": p.slots, "said": p.said, "filler": p.filler, "said_lines": p.said_lines,
     }
 
 
-def pseudo(counts: Counter, n: int, hits: int, top: float, pair: float, closed: int, lines: int) -> bool:
-    """Whether sentences are put together from the words of no language: closed like prose, but with few of any
-    language's common words, and without a word or phrase that stands out; in a short text four times is not often."""
-    return closed >= 0.6 * lines and len(counts) >= 12 and hits < 0.25 * n and top < max(0.12, 5.5 / n) and pair < max(0.06, 2.5 / n)
-
-
 def page_profiles(corpus: DataFrame, words_table: DataFrame, text: str = "text", record: str = "record_id") -> DataFrame:
     """The profile of each record; see SCHEMA. One Arrow pass, no shuffle."""
-    words = common_words(words_table)
+    words = Lexicon(common_words(words_table))
     schema = pa.schema(
         [("record_id", pa.string()), ("lang", pa.string()), ("n_words", pa.int32()), ("n_types", pa.int32()), ("curve", pa.list_(pa.struct([("f", pa.int32()), ("m", pa.int32())])))]
         + [(k, pa.float64()) for k in ("top_word", "top_pair", "common")]

@@ -2,8 +2,11 @@
 
 Method: mean and covariance of all statistics over the prose of each language, fitted after trimming what lies far
 from the median of any statistic; the squared Mahalanobis distance of a document from its language's prose is split
-into each statistic's share of it. The verdict follows the distance and then the form: more than half of the
-characters, notices aside, in lists, tables or junk.
+into each statistic's share of it. The verdict follows the distance: a page is no natural prose if it lies farther
+from its language's prose than ``off2``, and if the part that the form of its lines has in that distance is more than
+the model gives a page that is prose but for half of its characters in lists, tables or junk. The covariance decides
+how much of the form the other statistics account for; a distance that other statistics make (messages, verse,
+garbled letters, links) is no lack of prose.
 
 Defined results: texts without words have the statistics 0 and are natural (there is nothing that is not prose);
 languages with little prose use the prose of all.
@@ -69,7 +72,7 @@ def distances(stats: DataFrame, models: dict[str, tuple[np.ndarray, np.ndarray]]
     the models are a few small constants by language."""
     spark = stats.sparkSession
     if not models:
-        return stats.withColumns({"distance2": F.lit(0.0)} | {f"part_{k}": F.lit(0.0) for k in STATS})
+        return stats.withColumns({"distance2": F.lit(0.0), "half_shaped": F.lit(0.0)} | {f"part_{k}": F.lit(0.0) for k in STATS})
     rows = [(lang, [float(x) for x in mean], [[float(x) for x in row] for row in inv]) for lang, (mean, inv) in models.items()]
     table = spark.createDataFrame(rows, "m_lang string, mean array<double>, inv array<array<double>>")
     known = F.col("lang").isin(*[k for k in models if k != ALL]) if len(models) > 1 else F.lit(False)
@@ -82,12 +85,15 @@ def distances(stats: DataFrame, models: dict[str, tuple[np.ndarray, np.ndarray]]
         parts[f"part_{k}"] = F.col("_d")[i] * row
     df = df.withColumns(parts)
     total = sum((F.col(f"part_{k}") for k in STATS), F.lit(0.0))
-    return df.withColumn("distance2", total).drop("_d", "mean", "inv", "m_lang")
+    i = STATS.index("shaped")
+    half = F.col("inv")[i][i] * F.pow(F.lit(0.5) - F.col("mean")[i], 2)
+    return df.withColumn("distance2", total).withColumn("half_shaped", half).drop("_d", "mean", "inv", "m_lang")
 
 
 def quality(profiles: DataFrame, off2: float = 30.0, of: DataFrame | None = None) -> DataFrame:
-    """One row a record: the statistics, the distance with its parts, and natural by form. The prose compared with is
+    """One row a record: the statistics, the distance with its parts, and natural. The prose compared with is
     that of the profiles ``of``, where they are others than those judged."""
     stats = statistics(profiles)
     scored = distances(stats, fit(stats if of is None else statistics(of)))
-    return scored.withColumn("natural", ~((F.col("distance2") > off2) & (F.col("shaped") > 0.5)))
+    unlike = (F.col("distance2") > off2) & (F.col("part_shaped") > F.col("half_shaped"))
+    return scored.withColumn("natural", ~unlike)

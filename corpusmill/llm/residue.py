@@ -1,10 +1,15 @@
 """Problem 6: template residue and error-page text.
 
-Method: normalised lines are counted by host; lines that recur on a host are boilerplate and are taken away, as are
-notices by their wording; records whose residual has an unfilled slot, or consists mostly of error messages, filler or
-demands for browser features, are found. A recurrent line that is itself such evidence stays in the residual.
+Method: normalised lines are counted by host, each record once. The lines that recur on a host are its boilerplate
+(notices, bylines, share prompts and whatever else the site repeats; no list of wordings decides that) and are
+subtracted from its pages. A record is found if an unfilled slot stands in it or if most of what is left after the
+subtraction is an error or access message, filler, or a demand for browser features. A recurrent line that is itself
+such evidence is what the page shows, so it stays.
 
-Defined results: without text nothing is found; a record without a host counts with its source.
+A host with few records repeats little: lines that recur on ``sites`` hosts or more count as boilerplate everywhere.
+
+Defined results: without text nothing is found; a record without a host counts with its source; repeated rows of an
+id count once; rows without an id are left out.
 """
 
 from __future__ import annotations
@@ -13,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.lines import delta, frequent, line_key
-from corpusmill.llm.pages import evident
-from corpusmill.llm.textkit import NOTE, batches, parts
+from corpusmill.llm.lines import delta, line_key, totals
+from corpusmill.llm.pages import PROSE, Seen
+from corpusmill.llm.textkit import Lexicon, batches, clean, common_words
 from corpusmill.plans.shared import materialize
 
 
@@ -23,38 +28,52 @@ def host_of(uri: str = "target_uri", source: str = "source_path") -> Column:
     return F.coalesce(F.lower(F.try_parse_url(F.col(uri), F.lit("HOST"))), F.col(source), F.lit(""))
 
 
-def _labelled(batch: list[dict]) -> list[dict]:
-    out = []
-    for r in batch:
-        for no, line, kind in parts(r["text"]):
-            out.append({"record_id": r["record_id"], "host": r["host"], "line_no": no, "line": line, "note": kind == NOTE, "told": evident(line)[1]})
-    return out
+_SCHEMA = pa.schema([("record_id", pa.string()), ("host", pa.string()), ("line_no", pa.int32()), ("line", pa.string()), ("told", pa.int32()), ("slots", pa.int32())])
+
+
+def suspects(corpus: DataFrame, words_table: DataFrame) -> DataFrame:
+    """(record_id, host, line_no, line, told, slots): the lines of the records with any evidence, and how much of each is
+    evidence. One Arrow pass, no shuffle."""
+    words = Lexicon(common_words(words_table))
+
+    def run(batch: list[dict]) -> list[dict]:
+        out = []
+        for r in batch:
+            seen = Seen(r["text"], words)
+            if seen.said or seen.filler or seen.slots or any(here for _, _, _, here, _ in seen.lines):
+                raw = clean(r["text"]).split("\n")
+                for no, n, kind, here, holes in seen.lines:
+                    told = max(here, n if seen.faked and kind == PROSE else 0)
+                    out.append({"record_id": r["record_id"], "host": r["host"], "line_no": no, "line": raw[no - 1], "told": told, "slots": holes})
+        return out
+
+    rows = corpus.where("record_id is not null and text is not null").select("record_id", host_of().alias("host"), "text")
+    return rows.mapInArrow(batches(run, _SCHEMA), "record_id string, host string, line_no int, line string, told int, slots int")
 
 
-_SCHEMA = pa.schema([("record_id", pa.string()), ("host", pa.string()), ("line_no", pa.int32()), ("line", pa.string()), ("note", pa.bool_()), ("told", pa.int32())])
+def recurrent(lines: DataFrame, least: int, share: float, sites: int) -> tuple[DataFrame, DataFrame]:
+    """((source, key), (key)): the lines that recur on a host, and those that do on ``sites`` hosts; lines come as
+    (source, rec, key), hashes that are combined before each shuffle."""
+    state = delta(lines)
+    counted = state.counts.where(F.col("n") >= least).join(totals(state.seen), "source").where(F.col("n") >= F.col("records") * F.lit(share))
+    counted = materialize(counted.select("source", "key"), "recurrent")
+    wide = state.counts.groupBy("key").agg(F.count("*").alias("hosts"), F.sum("n").alias("n")).where((F.col("hosts") >= sites) & (F.col("n") >= least))
+    return counted, wide.select("key")
 
 
-def residue(corpus: DataFrame, profiles: DataFrame, among: DataFrame | None = None, least: int = 8, share: float = 0.05) -> DataFrame:
-    """(record_id, slots, said, residual) of the records found.
+def residue(corpus: DataFrame, words_table: DataFrame, among: DataFrame | None = None, least: int = 3, share: float = 0.05, sites: int = 3) -> DataFrame:
+    """(record_id, slots, told, residual) of the records found; ``told`` is the evidence in the residual.
 
-    ``among``: the rows of the corpus that the profiles are of, where they are not of all. Only records with some evidence in their profile can be found, so only their lines are looked at one by one; the
-    lines of all records of their hosts are counted.
+    ``among``: the rows of the corpus to be judged, where they are not all; the lines of every record are counted.
     """
-    suspects = profiles.where((F.col("slots") > 0) | (F.col("said") + F.col("filler") > 0)).select("record_id", "slots", "said", "filler")
-    suspects = materialize(suspects, "suspects")
-    docs = corpus.select("record_id", host_of().alias("host"), "text")
-    theirs = (docs if among is None else among.select("record_id", host_of().alias("host"), "text")).join(suspects.select("record_id").distinct(), "record_id", "left_semi").dropDuplicates(["record_id"])
-    labelled = theirs.mapInArrow(batches(_labelled, _SCHEMA), "record_id string, host string, line_no int, line string, note boolean, told int")
-    labelled = materialize(labelled.withColumn("key", F.xxhash64(line_key(F.col("line")))).withColumn("chars", F.length("line")).withColumn("source", F.xxhash64("host")).drop("line"), "residue")
-    hosts = labelled.select("host").distinct()
-    every = docs.where(F.col("record_id").isNotNull()).join(hosts, "host", "left_semi").select(
-        F.xxhash64("host").alias("source"), F.xxhash64("record_id").alias("rec"), F.explode(F.split("text", "\n")).alias("line")
+    found = suspects(corpus if among is None else among, words_table)
+    found = found.withColumn("key", F.xxhash64(line_key(F.col("line")))).withColumn("chars", F.length(F.trim("line"))).withColumn("source", F.xxhash64("host")).drop("line", "host")
+    found = materialize(found, "residue").dropDuplicates(["record_id", "line_no"])
+    every = corpus.where("record_id is not null").select(F.xxhash64(host_of()).alias("source"), F.xxhash64("record_id").alias("rec"), F.explode(F.split("text", "\n")).alias("line"))
+    here, wide = recurrent(every.select("source", "rec", F.xxhash64(line_key(F.col("line"))).alias("key")), least, share, sites)
+    left = found.join(here.withColumn("on_host", F.lit(True)), ["source", "key"], "left").join(wide.withColumn("on_hosts", F.lit(True)), "key", "left")
+    taken = F.coalesce("on_host", F.lit(False)) | F.coalesce("on_hosts", F.lit(False))
+    sums = left.groupBy("record_id").agg(
+        F.sum("slots").alias("slots"), F.sum("told").alias("told"), F.sum(F.when(taken, F.col("told")).otherwise(F.greatest("chars", "told"))).alias("residual")
     )
-    counted = every.select("source", "rec", F.xxhash64(line_key(F.col("line"))).alias("key"))
-    recurrent = frequent(delta(counted), least, share).withColumn("recurs", F.lit(True))
-    taken = F.col("note") | F.coalesce("recurs", F.lit(False))
-    left = labelled.join(recurrent, ["source", "key"], "left").where((F.col("told") > 0) | ~taken)
-    sums = left.groupBy("record_id").agg(F.sum(F.when(taken, F.col("told")).otherwise(F.col("chars"))).alias("residual"), F.sum("told").alias("evident"))
-    judged = sums.join(suspects, "record_id", "right")
-    mostly = F.coalesce(F.greatest(F.col("evident"), F.col("said") + F.col("filler")) > 0.5 * F.col("residual"), F.lit(False))
-    return judged.where((F.col("slots") > 0) | mostly).select("record_id", "slots", "said", "filler", "residual")
+    return sums.where((F.col("slots") > 0) | (F.col("told") > 0.5 * F.col("residual")))

@@ -1,10 +1,16 @@
 """Problem 2: keyword-stuffed and link-list pages.
 
-Method: the rank-frequency curve of each page's words is fitted with SQL windows (log frequency on log rank), and the
-slope, the residual and the divergence from prose of the same language and comparable length are compared with
-what that prose shows (median and quartiles). Pages far off are suspects; a check of what they consist of follows, as
-tables, directories and code are far off too: the page is spam if most of it is links or product tags, or a few
-keywords carry it.
+Method: the rank-frequency curve of each page's words is fitted with SQL windows (log frequency on log rank). Slope and
+residual of the fit, the heads of the curves of words and of word pairs, and the share of different words are compared
+with what prose of the same language and comparable length shows, in robust deviations (median and quartiles); so are
+the share of the language's common words and of closed lines. A page is spam if
+
+* its curve, of ``least`` words or more, is none of prose: ``curve``, the root mean square of the curve's deviations, is
+  ``bent`` or more, towards fewer different words; or
+* it diverges from prose in what it is made of: far fewer common words (``wordless``) and unclosed lines (``open``),
+
+unless its form says what it is instead: tables, directories, code and other lists bend the curve too, as do error
+messages and filler. Nothing is spam without such a deviation, whatever its form.
 
 Defined results: pages without words are no spam; languages and lengths with little prose use the prose of all.
 """
@@ -15,8 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: The curve's figures that are compared with prose.
-FIGURES = ["slope", "residual", "top_word", "common", "ttr"]
+#: What is compared with prose, and the least deviation that each is measured in. The first five are the curve's.
+FIGURES = {"slope": 0.01, "residual": 0.01, "top_word": 0.01, "top_pair": 0.01, "ttr": 0.01, "common": 0.01, "closed": 0.1}
+CURVE = ["slope", "residual", "top_word", "top_pair", "ttr"]
 
 
 def curves(profiles: DataFrame) -> DataFrame:
@@ -50,37 +57,35 @@ def _sized(fitted: DataFrame) -> DataFrame:
 
 
 def against_prose(fitted: DataFrame, least: int = 20, of: DataFrame | None = None) -> DataFrame:
-    """Adds ``off``: the largest distance of a figure from prose of the language and length, in robust deviations.
+    """Adds z_<figure>, how far each figure is from prose of the language and length in robust deviations, with its sign.
 
     The reference has a row per language (those of common_words) and power of two of the length: at most some hundred
     rows however large the corpus, hence the broadcast. It is fitted on the pages ``of``, or else on those judged.
+    Without any prose to compare with all deviations are 0.
     """
     rows = _sized(fitted)
     prose = (rows if of is None else _sized(of)).where((F.col("prose") >= 0.8 * F.col("chars")) & (F.col("closed") >= 0.5) & (F.col("n_words") >= 8))
     near = prose.groupBy("lang", "size").agg(*_quartiles()).where(F.col("pages") >= least)
     every = prose.agg(*_quartiles()).first()  # one row: three numbers a figure
     ref = rows.join(F.broadcast(near), ["lang", "size"], "left")
-    z = []
-    for k in FIGURES:
+    z = {}
+    for k, floor in FIGURES.items():
         overall = F.array(*(F.lit(float(x)) for x in every[f"q_{k}"])) if every[f"q_{k}"] else F.lit(None).cast("array<double>")
         q = F.coalesce(F.col(f"q_{k}"), overall)
-        z.append(F.coalesce(F.abs(F.col(k) - q[1]) / F.greatest((q[2] - q[0]) / 1.349, F.lit(0.01)), F.lit(99.0)))
-    return ref.withColumn("off", F.greatest(*z)).drop(*(f"q_{k}" for k in FIGURES), "pages", "size")
+        z[f"z_{k}"] = F.coalesce((F.col(k) - q[1]) / F.greatest((q[2] - q[0]) / 1.349, F.lit(floor)), F.lit(0.0))
+    return ref.withColumns(z).drop(*(f"q_{k}" for k in FIGURES), "pages", "size")
 
 
-def consists_of_spam() -> Column:
-    """Most of the page is links or tags, or keywords carry it: a word and a pair of words that come all the time."""
-    listed = F.col("link") + F.col("tags")
-    half = listed > 0.5 * F.col("chars")
-    partly = (listed > 0.25 * F.col("chars")) & (F.col("common") < 0.15) & (F.col("list") + F.col("table") + F.col("junk") < 0.3 * F.col("chars"))
-    prosaic = (F.col("prose") > 0.5 * F.col("chars")) & (F.col("filler") + F.col("said") <= 0.5 * F.col("chars"))
-    dressed = prosaic & (F.col("n_words") >= 40) & (F.col("top_pair") >= 0.11)
-    bare = prosaic & (F.col("n_words") >= 50) & (F.col("common") < 0.35) & (F.col("n_types") < 0.35 * F.col("n_words")) & (F.col("closed") < 0.5) & (F.col("top_word") >= 0.025) & (F.col("digits") < 0.1)
-    return half | partly | dressed | bare
+def form_explains() -> Column:
+    """Whether a page's form says why its words are not spread like prose: mostly lists, tables or junk, or messages and filler."""
+    return (F.col("list") + F.col("table") + F.col("junk") > 0.5 * F.col("chars")) | (F.col("filler") + F.col("said") > 0.5 * F.col("chars"))
 
 
-def spam(profiles: DataFrame, off: float = 3.0, of: DataFrame | None = None) -> DataFrame:
-    """The profiles with the curve's figures, ``off`` and ``is_spam``; profiles hold one row a record. The prose compared
-    with is that of the profiles ``of``, where they are others than those judged."""
+def spam(profiles: DataFrame, bent: float = 4.75, wordless: float = 4.0, open: float = 3.5, least: int = 40, of: DataFrame | None = None) -> DataFrame:
+    """The profiles with the curve's figures, their deviations, ``curve`` and ``is_spam``; profiles hold one row a record.
+    The prose compared with is that of the profiles ``of``, where they are others than those judged."""
     scored = against_prose(curves(profiles), of=None if of is None else curves(of))
-    return scored.withColumn("is_spam", (F.col("chars") > 0) & (F.col("off") >= off) & consists_of_spam())
+    squares = sum((F.pow(F.least(F.abs(F.col(f"z_{k}")), F.lit(15.0)), 2) for k in CURVE), F.lit(0.0))
+    scored = scored.withColumn("curve", F.sqrt(squares / len(CURVE)))
+    unlike = (F.col("n_words") >= least) & (F.col("curve") >= bent) & (F.col("z_ttr") < 0) | (F.col("z_common") <= -wordless) & (F.col("z_closed") <= -open)
+    return scored.withColumn("is_spam", (F.col("n_words") > 0) & unlike & ~form_explains())

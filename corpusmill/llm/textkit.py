@@ -152,20 +152,28 @@ def batches(fn: Callable[[list[dict]], list[dict]], schema: pa.Schema, rows: int
     return run
 
 
-def languages_of(words: dict[str, tuple[str, ...]], counts: Counter) -> tuple[str | None, int, int]:
-    """The language with the most common words among ``counts``, how many of the words are its common words, and how
-    often the most frequent word comes that is common in no language."""
-    known = counts.keys() & words.keys()
-    hits: dict[str, int] = {}
-    for w in known:
-        n = counts[w]
-        for lang in words[w]:
-            hits[lang] = hits.get(lang, 0) + n
-    top = next((n for w, n in counts.most_common(12) if w not in known), 0)
-    if not hits:
-        return None, 0, top
-    best = max(hits.items(), key=lambda x: (x[1], x[0]))
-    return best[0], best[1], top
+class Lexicon:
+    """The common words of all languages, arranged so that the words of a page are counted by language in one go."""
+
+    def __init__(self, words: dict[str, tuple[str, ...]]):
+        self.sets = sorted(set(words.values()))
+        at = {langs: i for i, langs in enumerate(self.sets)}
+        self.at = {w: at[langs] for w, langs in words.items()}
+        self.words = self.at.keys()
+
+    def of(self, tokens: list[str], counts: Counter) -> tuple[str | None, int, int]:
+        """The language with the most common words among the tokens, how many of them are its common words, and how
+        often the most frequent word of three letters or more comes that is common in no language."""
+        hits: dict[str, int] = {}
+        for i, n in Counter(map(self.at.get, tokens)).items():
+            if i is not None:
+                for lang in self.sets[i]:
+                    hits[lang] = hits.get(lang, 0) + n
+        top = max((counts[w] for w in counts.keys() - self.words if len(w) > 2), default=0)
+        if not hits:
+            return None, 0, top
+        best = max(hits.items(), key=lambda x: (x[1], x[0]))
+        return best[0], best[1], top
 
 
 def word_table(rows: list) -> dict[str, tuple[str, ...]]:

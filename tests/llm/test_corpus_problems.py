@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.llm import charset, langlabel, lines, pages, quality, residue, spam
-from corpusmill.llm.textkit import form, word_table
+from corpusmill.llm.textkit import Lexicon, form
 
 CORPUS = "record_id string, target_uri string, source_path string, text string, language string"
 
@@ -165,6 +165,21 @@ def test_spam(judged):
     assert got == {f"spam-{k}" for k in SPAM}
 
 
+@pytest.mark.parametrize("figures, kept", [(spam.CURVE, False), (["common", "closed"], True), (list(spam.FIGURES), None)])
+def test_spam_needs_the_deviations(judged, figures, kept, monkeypatch):
+    """Without the deviations of a group of figures, what only they tell is not found; without any, nothing is."""
+    real = spam.against_prose
+    monkeypatch.setattr(spam, "against_prose", lambda *a, **k: real(*a, **k).withColumns({f"z_{x}": F.lit(0.0) for x in figures}))
+    got = {r.record_id for r in spam.spam(judged).where("is_spam").collect()}
+    assert got < {f"spam-{k}" for k in SPAM}
+    assert not got if kept is None else ("spam-dressed" in got) == kept
+
+
+def test_quality_needs_the_distance(judged, monkeypatch):
+    monkeypatch.setattr(quality, "fit", lambda stats: {})
+    assert quality.quality(judged).where("not natural").count() == 0
+
+
 def test_curve_is_a_least_squares_fit(spark):
     import numpy as np
 
@@ -234,14 +249,14 @@ def test_residue(spark):
     notice = "All the news from our long old street, every single day number 99"
     rows += [("msg", "s", f"Access denied\n{notice}", "en"), ("slot", "s", PROSE + "We met {{ name2 }} there.", "en"), ("about", "s", PROSE * 3 + "\nAccess denied", "en"), ("asdf", "s", "asdf " * 30, "en"), ("void", "s", "", "en"), ("nil", None, None, None)]
     docs = corpus(spark, rows + rows[-6:])
-    found = pages.page_profiles(docs, spark.createDataFrame(WORDS, "lang string, word string")).dropDuplicates(["record_id"])
-    assert {r.record_id for r in residue.residue(docs, found).collect()} == {"msg", "slot", "asdf"}
+    words = spark.createDataFrame(WORDS, "lang string, word string")
+    assert {r.record_id for r in residue.residue(docs, words).collect()} == {"msg", "slot", "asdf"}
+    # without the counts of the host the notice below the message outweighs it
+    assert {r.record_id for r in residue.residue(docs, words, least=10**6).collect()} == {"slot", "asdf"}
 
 
 def residue_of(spark, rows):
-    docs = corpus(spark, rows)
-    found = pages.page_profiles(docs, spark.createDataFrame(WORDS, "lang string, word string")).dropDuplicates(["record_id"])
-    return {r.record_id for r in residue.residue(docs, found).collect()}
+    return {r.record_id for r in residue.residue(corpus(spark, rows), spark.createDataFrame(WORDS, "lang string, word string")).collect()}
 
 
 def test_message_below_recurrent_lines(spark):
@@ -253,7 +268,7 @@ def test_message_below_recurrent_lines(spark):
 
 @pytest.mark.parametrize("line", ["Posted by {{author}} on {{date}}", "(c) {{year}} {{site}}", "Tags: boots, {{tag_name}}, tent", "http://a.example/{{path}}/"])
 def test_slots_of_notices_and_links(line):
-    assert pages.profile("r", PROSE + "\n" + line, word_table([]))["slots"] >= 1
+    assert pages.profile("r", PROSE + "\n" + line, Lexicon({}))["slots"] >= 1
 
 
 @pytest.mark.parametrize("line", ["http://a.example/%D0%BC%D0%BA%D0%AA%BC%BC%D0", "https://a.example/%aa%bb%cc"])
