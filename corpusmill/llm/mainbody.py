@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.charset import restore_utf8
+from corpusmill.llm.codepages import restore_utf8
 from corpusmill.llm.lines import line_key
 from corpusmill.llm.textkit import clean, notice
 from corpusmill.plans.shared import materialize

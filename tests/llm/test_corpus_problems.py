@@ -6,8 +6,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.llm import charset, langlabel, lines, pages, quality, residue, spam
-from corpusmill.llm.textkit import Lexicon, form
+from corpusmill.llm import charset, ciphers, langlabel, lines, pages, quality, residue, spam
+from corpusmill.llm.textkit import Lexicon, form, word_table
 
 CORPUS = "record_id string, target_uri string, source_path string, text string, language string"
 
@@ -296,6 +296,10 @@ TEXTS = {
 }
 
 
+#: As many letters as some pages of each language have.
+LETTER_SAMPLES = [(i, k, v * 40) for i, (k, v) in enumerate(TEXTS.items())]
+
+
 def misread(text, was, read):
     return bytes(text, was).decode(read, "replace") if read not in ("cp1252",) else "".join(bytes([b]).decode("cp1252") if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b) for b in text.encode(was))
 
@@ -319,7 +323,7 @@ def test_swapped_code_pages_are_learned(spark, lang, was, read):
     sound = TEXTS[lang] * 4
     bad = misread(sound, was, read)
     assert charset.damage(bad) in ("swap", "utf8")
-    samples = spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(TEXTS.items())], "sample_id long, lang string, text string")
+    samples = spark.createDataFrame(LETTER_SAMPLES, "sample_id long, lang string, text string")
     fixed = charset.repair(corpus(spark, [("r", "s", bad, lang), ("ok", "s", sound, lang)]), samples).collect()
     assert [r.record_id for r in fixed] == ["r"]
     same = sum(a == b for a, b in zip(fixed[0].text, sound)) / len(sound)
@@ -332,7 +336,7 @@ def test_sound_texts(text):
 
 
 def test_a_single_spoiled_word(spark):
-    samples = [("es", TEXTS["es"] + "El niño del año, la señora y el otoño, el pequeño sueño."), ("fr", TEXTS["fr"])]
+    samples = [("es", (TEXTS["es"] + "El niño del año, la señora y el otoño, el pequeño sueño; 5 € o £3.") * 40), *((k, v) for _, k, v in LETTER_SAMPLES)]
     rows = [("one", "s", "La calle de San OrdoÒo era larga.", "es"), ("euro", "s", "It was £483 or Ä66, then £532 or Ä98.", "en"), ("brand", "s", "The shop of MacÉwan was shut.", "en")]
     assert {r.record_id for r in charset.find_damaged(corpus(spark, rows), samples=samples).collect()} == {"one", "euro"}
 
@@ -340,12 +344,41 @@ def test_a_single_spoiled_word(spark):
 def test_lost_characters_come_from_the_page(spark):
     good = "Le café de la société est fermé."
     raw = spark.createDataFrame([("r", bytearray(b"HTTP/1.1 200 OK\r\n\r\n<p>" + good.encode() + b"</p>"))], "record_id string, content binary")
-    samples = spark.createDataFrame([(1, "fr", TEXTS["fr"])], "sample_id long, lang string, text string")
+    samples = spark.createDataFrame(LETTER_SAMPLES, "sample_id long, lang string, text string")
     docs = corpus(spark, [("r", "s", re.sub("é", "�", good), "fr"), ("x", "s", "caf�", "fr")])
     got = {r.record_id: (r.text, r.restored) for r in charset.repair(docs, samples, raw).collect()}
     assert got == {"r": (good, True), "x": ("caf�", False)}
 
 
+@pytest.mark.parametrize("lang, page", [("fr", "cp1252"), ("pl", "iso8859-2"), ("ru", "cp1251"), ("ru", "koi8-r")])
+def test_pages_declared_wrongly_are_decoded_by_their_letters(spark, lang, page):
+    good = TEXTS[lang].strip()
+    body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n<h1>A</h1><p>" + good.encode(page) + b"</p><p>other</p>"
+    raw = spark.createDataFrame([("r", bytearray(body))], "record_id string, content binary")
+    docs = corpus(spark, [("r", "s", good.encode(page).decode("utf-8", "replace"), lang)])
+    got = charset.repair(docs, spark.createDataFrame(LETTER_SAMPLES, "sample_id long, lang string, text string"), raw).collect()
+    assert [(r.text, r.restored) for r in got] == [(good, True)]
+
+
+def test_the_mapping_is_learned_by_the_rounds():
+    """Without rounds the rates are those of the start; with them the letters of the code page that was used stand out."""
+    model = ciphers.Bigrams([(k, v) for _, k, v in LETTER_SAMPLES])
+    contexts = ciphers.Judge(model).text(misread(TEXTS["pl"] * 4, "cp1250", "cp1252"))
+    want = {bytes([b]).decode("cp1252"): bytes([b]).decode("cp1250") for b in "ąęłńśźż".encode("cp1250") if b not in (0x9D, 0x8D, 0x8F, 0x90, 0x81)}
+    _, none = ciphers.learn(contexts, model, rounds=0)
+    _, best = ciphers.learn(contexts, model)
+    seen = [c for c in want if c in best]
+    assert len(seen) >= 4 and all(best[c][0] == want[c] and best[c][1] > 0.5 for c in seen)
+    assert all(rate <= 0.5 for _, rate in none.values())
+
+
+def test_nothing_is_found_without_a_gain(spark):
+    seen = charset.unlikely(corpus(spark, [("r", "s", misread(TEXTS["fr"], "utf-8", "cp1252"), "fr")]), [(k, v) for _, k, v in LETTER_SAMPLES])
+    learned = charset.rates(seen, [(k, v) for _, k, v in LETTER_SAMPLES])
+    assert charset.judged(seen, learned).count() == 1
+    assert charset.judged(seen, learned.withColumn("gain", F.lit(0.0))).count() == 0
+
+
 # --- 4 ---------------------------------------------------------------------------------------------------------------
 
 SAMPLES = {
