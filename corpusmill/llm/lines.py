@@ -1,12 +1,15 @@
 """Problem 1: lines repeated across one source's documents, kept as incremental line counts.
 
-The state is two tables: ``seen`` (source, rec), the records counted so far, and ``counts`` (source, key, n), in how
-many different records of a source a line key occurs. A new partition of records becomes a delta of both; ``advance``
-merges it and tells which (source, key) crossed the threshold in either direction; ``rebuild`` touches only documents
-that hold a crossed line.
+The state is tables that only grow: ``seen`` (source, rec), the records counted so far, and ``counts`` (source, key, n), in
+how many different records of a source a line key occurs, as one set of rows a partition; and ``frequent`` (source,
+key), the lines over the threshold now. A new partition of records becomes a delta of the first two. ``advance`` looks
+only at the keys of the delta and at the frequent keys of sources whose threshold rose with their records, tells which
+crossed the threshold in either direction, and leaves all other rows as they are; ``rebuild`` touches only documents
+that hold a crossed line. ``fold`` takes the partitions one after another.
 
 Defined results: null and empty texts have no lines; lines without letters and digits, which are all separators, are the same; a null
-source is a source of its own; rows without a record id are left out; repeated rows of an id count once.
+source is a source of its own; rows without a record id are left out; repeated rows of an id count once, in the first
+partition that has them; rows without a time of ingestion come first.
 """
 
 from __future__ import annotations
@@ -91,64 +94,91 @@ def line_key(line: Column) -> Column:
     return F.regexp_replace(t, r"#(?: (?:(?:de|do|di|st|nd|rd|th) )?#)+", "#")
 
 
-def line_table(docs: DataFrame, source: str = "source_path", record: str = "record_id", text: str = "text") -> DataFrame:
-    """(source, rec, record_id, line_no, key): every non-blank line, numbered from 1 with blank lines counted."""
+def line_table(docs: DataFrame, source: str = "source_path", record: str = "record_id", text: str = "text", part: Column | None = None) -> DataFrame:
+    """(source, rec, record_id, line_no, key, part): every non-blank line, numbered from 1 with blank lines counted;
+    ``part`` names the partition of the record."""
     lines = docs.where(F.col(record).isNotNull()).select(
-        F.col(source).alias("source"), F.col(record).alias("record_id"), F.posexplode(F.split(F.col(text), "\n")).alias("at", "line")
+        F.col(source).alias("source"), F.col(record).alias("record_id"), (F.lit("0") if part is None else part).alias("part"), F.posexplode(F.split(F.col(text), "\n")).alias("at", "line")
     )
     lines = lines.where(F.regexp_like("line", F.lit(r"[^\s\p{Z}\p{Cf}]")))
     return lines.select(
-        F.xxhash64("source").alias("source"), F.xxhash64("record_id").alias("rec"), "record_id", (F.col("at") + 1).cast("int").alias("line_no"), F.xxhash64(line_key(F.col("line"))).alias("key")
+        F.xxhash64("source").alias("source"), F.xxhash64("record_id").alias("rec"), "record_id", (F.col("at") + 1).cast("int").alias("line_no"), F.xxhash64(line_key(F.col("line"))).alias("key"), "part"
     )
 
 
 @dataclass
 class LineCounts:
-    """The state after some partitions; both tables may live in any storage."""
+    """The state after some partitions; the tables may live in any storage. ``counts`` has a row a key and partition."""
 
     seen: DataFrame
     counts: DataFrame
+    frequent: DataFrame
 
 
 def totals(seen: DataFrame) -> DataFrame:
     return seen.groupBy("source").agg(F.count("*").alias("records"))
 
 
-def delta(lines: DataFrame, seen: DataFrame | None = None) -> LineCounts:
-    """What a partition adds; records that were counted before add nothing. Rows are combined before each shuffle."""
+def delta(lines: DataFrame, seen: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(seen, counts) that a partition adds; records that were counted before add nothing. Rows are combined before each shuffle."""
     fresh = lines.select("source", "rec", "key")
     if seen is not None:
         fresh = fresh.join(seen, ["source", "rec"], "left_anti")
     once = fresh.groupBy("source", "key", "rec").agg(F.lit(1).alias("one"))
-    return LineCounts(fresh.select("source", "rec").distinct(), once.groupBy("source", "key").agg(F.count("*").alias("n")))
+    return fresh.select("source", "rec").distinct(), once.groupBy("source", "key").agg(F.count("*").alias("n"))
 
 
-def frequent(state: LineCounts, least: int = 8, share: float = 0.05) -> DataFrame:
+def _need(records: str, least: int, share: float) -> Column:
+    """In how many records a line must occur."""
+    return F.greatest(F.lit(float(least)), F.col(records) * F.lit(share))
+
+
+def over(counts: DataFrame, seen: DataFrame, least: int = 8, share: float = 0.05) -> DataFrame:
     """(source, key) of lines in at least ``least`` records and at least ``share`` of the source's records."""
-    often = state.counts.where(F.col("n") >= least)
-    return often.join(totals(state.seen), "source").where(F.col("n") >= F.col("records") * F.lit(share)).select("source", "key")
+    often = counts.where(F.col("n") >= least)
+    return often.join(totals(seen), "source").where(F.col("n") >= _need("records", least, share)).select("source", "key")
 
 
 def advance(state: LineCounts | None, lines: DataFrame, least: int = 8, share: float = 0.05) -> tuple[LineCounts, DataFrame]:
     """The state with a partition merged in, and the (source, key, now) whose verdict changed, ``now`` being the new one."""
     if state is None:
-        after = delta(lines)
-        return after, frequent(after, least, share).withColumn("now", F.lit(True))
-    more = delta(lines, state.seen)
-    after = LineCounts(
-        state.seen.unionByName(more.seen),
-        state.counts.unionByName(more.counts).groupBy("source", "key").agg(F.sum("n").alias("n")),
-    )
-    old, new = frequent(state, least, share).withColumn("old", F.lit(True)), frequent(after, least, share).withColumn("new", F.lit(True))
-    changed = old.join(new, ["source", "key"], "full").where(F.col("old").isNull() | F.col("new").isNull())
-    return after, changed.select("source", "key", F.col("new").isNotNull().alias("now"))
-
-
-def repeated_lines(docs: DataFrame, least: int = 8, share: float = 0.05, **columns: str) -> DataFrame:
-    """(record_id, line_no) of the lines repeated within their source."""
-    lines = materialize(line_table(docs, **columns), "lines")
-    _, crossed = advance(None, lines, least, share)
-    return lines.join(crossed.where("now"), ["source", "key"], "left_semi").select("record_id", "line_no").distinct()
+        seen, counts = (materialize(x, name) for x, name in zip(delta(lines), ("seen", "counts")))
+        frequent = materialize(over(counts, seen, least, share), "frequent")
+        return LineCounts(seen, counts, frequent), frequent.withColumn("now", F.lit(True))
+    seen, counts = (materialize(x, name) for x, name in zip(delta(lines, state.seen), ("seen", "counts")))
+    # a row a source of the delta: how many records it has now, and whether a line needs more of them than before
+    after = totals(seen).withColumnRenamed("records", "new").join(totals(state.seen.join(seen.select("source").distinct(), "source", "left_semi")), "source", "left")
+    after = after.select("source", F.coalesce("records", F.lit(0)).alias("before"), (F.col("new") + F.coalesce("records", F.lit(0))).alias("records"))
+    after = materialize(after.withColumn("rose", _need("records", least, share) > _need("before", least, share)), "sources")
+    shaky = state.frequent.join(after.where("rose").select("source"), "source", "left_semi")
+    touched = counts.select("source", "key").unionByName(shaky).distinct()
+    known = state.counts.join(touched, ["source", "key"], "left_semi")
+    n = known.unionByName(counts).groupBy("source", "key").agg(F.sum("n").alias("n"))
+    now = n.join(after, "source").select("source", "key", (F.col("n") >= _need("records", least, share)).alias("now"))
+    was = state.frequent.withColumn("was", F.lit(True))
+    changed = materialize(now.join(was, ["source", "key"], "left").where(F.col("now") != F.coalesce("was", F.lit(False))).select("source", "key", "now"), "changed")
+    frequent = state.frequent.join(changed.where("not now"), ["source", "key"], "left_anti").unionByName(changed.where("now").select("source", "key"))
+    return LineCounts(state.seen.unionByName(seen), state.counts.unionByName(counts), materialize(frequent, "frequent")), changed
+
+
+def period(column: str = "ingested_at", unit: str = "quarter") -> Column:
+    """The partition of a record: the stretch of time in which it was ingested."""
+    return F.coalesce(F.date_format(F.date_trunc(unit, F.col(column)), "yyyy-MM-dd"), F.lit("0"))
+
+
+def fold(lines: DataFrame, least: int = 8, share: float = 0.05) -> LineCounts:
+    """The state after all partitions of a line table, merged one after another in order of their names."""
+    parts = sorted(r["part"] for r in lines.select("part").distinct().collect())  # a row a stretch of time
+    state = None
+    for part in parts:
+        state, _ = advance(state, lines.where(F.col("part") == part), least, share)
+    return state or advance(None, lines, least, share)[0]
+
+
+def repeated_lines(docs: DataFrame, least: int = 8, share: float = 0.05, part: Column | None = None, **columns: str) -> DataFrame:
+    """(record_id, line_no) of the lines repeated within their source, by folding the partitions that ``part`` names."""
+    lines = materialize(line_table(docs, part=part, **columns), "lines", by="part")
+    return lines.join(fold(lines, least, share).frequent, ["source", "key"], "left_semi").select("record_id", "line_no").distinct()
 
 
 def rebuild(docs: DataFrame, repeated: DataFrame, record: str = "record_id", text: str = "text") -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.lines import delta, line_key, totals
+from corpusmill.llm.lines import delta, line_key, over
 from corpusmill.llm.pages import PROSE, Seen
 from corpusmill.llm.textkit import Lexicon, batches, clean, common_words
 from corpusmill.plans.shared import materialize
@@ -54,10 +54,10 @@ def suspects(corpus: DataFrame, words_table: DataFrame) -> DataFrame:
 def recurrent(lines: DataFrame, least: int, share: float, sites: int) -> tuple[DataFrame, DataFrame]:
     """((source, key), (key)): the lines that recur on a host, and those that do on ``sites`` hosts; lines come as
     (source, rec, key), hashes that are combined before each shuffle."""
-    state = delta(lines)
-    counted = state.counts.where(F.col("n") >= least).join(totals(state.seen), "source").where(F.col("n") >= F.col("records") * F.lit(share))
-    counted = materialize(counted.select("source", "key"), "recurrent")
-    wide = state.counts.groupBy("key").agg(F.count("*").alias("hosts"), F.sum("n").alias("n")).where((F.col("hosts") >= sites) & (F.col("n") >= least))
+    seen, counts = delta(lines)
+    counts = materialize(counts, "host-counts")
+    counted = over(counts, seen, least, share)
+    wide = counts.groupBy("key").agg(F.count("*").alias("hosts"), F.sum("n").alias("n")).where((F.col("hosts") >= sites) & (F.col("n") >= least))
     return counted, wide.select("key")
 
 

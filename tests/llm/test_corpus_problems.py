@@ -106,17 +106,27 @@ def test_repeated_lines_equal_brute_force(spark):
     assert got == brute(rows, 8, 0.05) and len(got) > 30
 
 
-def test_deltas_add_up(spark):
-    rows = some_lines(7)
+@pytest.mark.parametrize("seed, cuts", [(7, [(0, 60), (60, 120), (110, None)]), (8, [(0, 1), (1, 200), (0, 30), (150, None)]), (9, [(0, None), (0, None)])])
+def test_deltas_add_up(spark, seed, cuts):
+    rows = some_lines(seed)
     state, on = None, set()
-    for part in (rows[:60], rows[60:120], rows[110:]):
-        table = lines.line_table(corpus(spark, part))
-        state, changed = lines.advance(state, table)
+    for i, j in cuts:
+        state, changed = lines.advance(state, lines.line_table(corpus(spark, rows[i:j])))
         for r in changed.collect():
             (on.add if r.now else on.discard)((r.source, r.key))
-    whole, _ = lines.advance(None, lines.line_table(corpus(spark, rows)))
-    assert on == {tuple(r) for r in lines.frequent(whole).collect()}
-    assert {tuple(r) for r in state.counts.collect()} == {tuple(r) for r in whole.counts.collect()}
+    every = rows[min(i for i, _ in cuts) :]
+    whole, _ = lines.advance(None, lines.line_table(corpus(spark, every)))
+    assert on == {tuple(r) for r in whole.frequent.collect()} == {tuple(r) for r in state.frequent.collect()}
+    merged = state.counts.groupBy("source", "key").agg(F.sum("n").alias("n"))
+    assert {tuple(r) for r in merged.collect()} == {tuple(r) for r in whole.counts.collect()}
+
+
+def test_folding_equals_one_batch(spark):
+    rows = some_lines(11)
+    docs = corpus(spark, rows).withColumn("ingested_at", F.expr("case when hash(record_id, text) % 5 = 0 then null else timestamp'2016-01-15' + make_interval(0, 2 * abs(hash(record_id) % 4)) end"))
+    assert docs.select(lines.period()).distinct().count() > 3
+    got = {tuple(r) for r in lines.repeated_lines(docs, part=lines.period()).collect()}
+    assert got == brute(rows, 8, 0.05) == {tuple(r) for r in lines.repeated_lines(docs).collect()}
 
 
 def test_rebuild(spark):
