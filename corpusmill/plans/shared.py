@@ -49,15 +49,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table into the shared folder and read it back: the lineage ends there.
+def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as a table into the shared folder and read it back: the lineage ends there. ``by`` names a column of
+    few values to partition the files by.
 
     For results that are read more than once or that Python made at some cost. The files survive the loss of any
     executor; they belong to the folder's owner, who clears it with the job.
     """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("error").option("compression", "zstd").parquet(path)
+    writer = df.write.mode("error").option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
