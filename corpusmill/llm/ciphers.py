@@ -21,8 +21,7 @@ import numpy as np
 from corpusmill.llm.codepages import LETTERS, MARKS, ONE_BYTE, PLAUSIBLE, bytes_of, runs, undo
 
 _RUN = re.compile("|".join(p.pattern for _, p, _ in runs()))
-#: Words with a character outside ASCII, or with question marks between letters.
-ODD_WORD = re.compile(r"\S*[^\x00-\x7f\s]\S*|[^\W\d_]+\?{1,3}[^\W\d_]\S*")
+_ASKED = re.compile(r"[^\W\d_]\?{1,3}[^\W\d_]")
 LOST = "�"
 
 
@@ -143,7 +142,11 @@ class Judge:
 
     def text(self, text: str) -> Counter:
         out: Counter = Counter()
-        for word, n in Counter(ODD_WORD.findall(text)).items():
+        words = text.split()
+        odd = [w for w in words if not w.isascii()]
+        if "?" in text:
+            odd += [w for w in words if "?" in w and w.isascii() and _ASKED.search(w)]
+        for word, n in Counter(odd).items():
             for c in self.contexts(word):
                 out[c] += n
         return out
@@ -203,10 +206,14 @@ def learn(contexts: Counter, model: Bigrams, rounds: int = 12) -> tuple[dict[tup
     # which letter of a symbol each way gives, as a column of the table of rates by symbol
     options: dict[tuple[int, str], int] = {}
     column = np.zeros((len(fit), len(keys)), int)
-    for w in range(len(fit)):
-        for i in range(len(keys)):
-            c = guess[i] if w == len(fit) - 1 else letters[w][s[i]]
-            column[w, i] = options.setdefault((int(s[i]), c), len(options))
+    central = sorted({int(i) for i in s})
+    of = np.zeros(len(seen), int)
+    for w, to in enumerate(letters):
+        for i in central:
+            of[i] = options.setdefault((i, to[i]), len(options))
+        column[w] = of[s]
+    for i in range(len(keys)):
+        column[-1, i] = options.setdefault((int(s[i]), guess[i]), len(options))
     owner = np.array([k[0] for k in options])
     per = np.bincount(owner, minlength=len(seen))
     stands = 1.0 / per[owner]

@@ -115,7 +115,7 @@ def lines_of(text: str | None) -> list[tuple[int, bytes, int]]:
     out = []
     for no, (raw, line) in enumerate(zip(text.split("\n"), plain), 1):
         line = line.strip()
-        if len(line) >= 4 and not (len(raw) <= 210 and notice(raw.strip().lower())):
+        if len(line) >= 4 and not notice(raw.strip().lower()):
             out.append((no, f" {line} ".encode(), len(line) - line.count(" ")))
     return out
 

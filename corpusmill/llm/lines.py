@@ -52,7 +52,8 @@ def _any_of(words: set[str]) -> str:
 
 
 _NAMES = {m for v in MONTHS.values() for m in v.split()}
-_MONTH = rf"(?<!\p{{L}})(?:{_any_of(_NAMES)})(?!\p{{L}})\.?"
+#: The first letter is looked at before what stands in front of it, as most places fail by it.
+_MONTH = rf"(?=[{''.join(sorted({m[0] for m in _NAMES}))}])(?<!\p{{L}})(?:{_any_of(_NAMES)})(?!\p{{L}})\.?"
 
 #: Wording around a slot that holds a name, a site or a section, as lower-case text with numbers already written #.
 _SLOTS = [
@@ -90,7 +91,8 @@ def line_key(line: Column) -> Column:
 
     # a lambda's variable is computed once, so no step is repeated in the branches
     t = F.element_at(F.transform(F.array(t), slots), 1)
-    t = F.trim(F.regexp_replace(t, r"[^\p{L}\p{M}\p{Nd}#~]+", " "))
+    # single blanks between words stay as they are, so only what has other characters is replaced
+    t = F.trim(F.regexp_replace(t, r" *(?:[^\p{L}\p{M}\p{Nd}#~ ]+ *)+", " "))
     return F.regexp_replace(t, r"#(?: (?:(?:de|do|di|st|nd|rd|th) )?#)+", "#")
 
 

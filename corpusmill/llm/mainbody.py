@@ -56,6 +56,11 @@ def base(path: str) -> str:
     return _HEADING.sub("", path)
 
 
+def legal(low: str) -> bool:
+    """Whether a piece of text has the wording of a cookie or legal notice or of a footer."""
+    return any(x in low for x in LEGAL)
+
+
 def costs(blocks: list[dict]) -> list[float]:
     """Evidence for main body (positive) or boilerplate (negative) of each block in page order."""
     out = []
@@ -93,13 +98,13 @@ def costs(blocks: list[dict]) -> list[float]:
             under, waiting = None, not inside
         elif under is not None:
             s -= 4.0
-        if n <= 260 and notice(low.strip()):
+        if notice(low.strip()):
             s -= 9.0
-        if title in TOP or any(x in low for x in LEGAL) and n <= 600:
+        if title in TOP or notice(low, legal):
             s -= 9.0
         if _AD.match(text) or ":" in low[:40] and low.split(":")[0].strip() in ASIDE:
             s -= 8.0
-        if n <= 160 and dense > 0 and _CRUMB.match(text) or n <= 200 and _MENU.match(text):
+        if dense > 0 and _CRUMB.match(text) or _MENU.match(text):
             s -= 6.0
         if low.endswith(("…", "...")) and n <= 90:
             s -= 2.5

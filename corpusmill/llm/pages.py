@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.textkit import JUNK, LINK, LIST, NOTE, PROSE, TABLE, TAGS, WORD, Lexicon, batches, common_words, parts
+from corpusmill.llm.textkit import JUNK, LINK, LIST, NOTE, PROSE, TABLE, TAGS, WORD, Lexicon, batches, clean, common_words, notice, parts
 
 SCHEMA = (
     "record_id string, lang string, n_words int, n_types int, curve array<struct<f:int,m:int>>, top_word double, top_pair double, common double, "
@@ -213,6 +213,17 @@ class Seen:
             self.filler += size[PROSE] - told
 
 
+def unsuspicious(text: str, words: Lexicon) -> bool:
+    """Whether a text surely holds no evidence: none of its lines can, and its words, notices aside, are those of a language
+    and not always the same. What this says no to is looked at closely."""
+    if hinted(text):
+        return False
+    body = [low for x in clean(text).lower().split("\n") if (low := x.strip()) and not notice(low)]
+    tokens = WORD.findall("\n".join(body))
+    n = len(tokens)
+    return n < 8 or len(set(tokens)) > 2 + 0.15 * n and words.share(tokens) >= 0.25
+
+
 def profile(record_id: str, text: str | None, words: Lexicon) -> dict:
     p = Seen(text, words)
     n, whole, size = p.n, p.whole, p.size

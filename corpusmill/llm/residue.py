@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.lines import delta, line_key, over
-from corpusmill.llm.pages import PROSE, Seen
+from corpusmill.llm.pages import PROSE, Seen, unsuspicious
 from corpusmill.llm.textkit import Lexicon, batches, clean, common_words
 from corpusmill.plans.shared import materialize
 
@@ -39,6 +39,8 @@ def suspects(corpus: DataFrame, words_table: DataFrame) -> DataFrame:
     def run(batch: list[dict]) -> list[dict]:
         out = []
         for r in batch:
+            if unsuspicious(r["text"], words):
+                continue
             seen = Seen(r["text"], words)
             if seen.said or seen.filler or seen.slots or any(here for _, _, _, here, _ in seen.lines):
                 raw = clean(r["text"]).split("\n")

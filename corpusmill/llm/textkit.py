@@ -45,9 +45,26 @@ for _x in NOTICE_IN:
 _notices.make_automaton()
 
 
-def notice(low: str) -> bool:
-    """Whether a lower-case line is a site notice, a share prompt or a byline."""
-    return low.startswith(NOTICE_AT) or next(_notices.iter(low), None) is not None or low.startswith(_BY) and _BYLINE.match(low) is not None
+_SENTENCES = re.compile(r"(?<=[.!?…;])\s+")
+#: The sign of a copyright stands alone; beside letters it is a spoiled character.
+_SIGN = re.compile(r"(?:^|[\s(|·•–—-])©")
+
+
+def _told(low: str) -> bool:
+    if low.startswith(NOTICE_AT):
+        return True
+    return any(x != "©" or _SIGN.search(low) is not None for _, x in _notices.iter(low))
+
+
+def notice(low: str, told: Callable[[str], bool] = _told) -> bool:
+    """Whether a lower-case line is a site notice, a share prompt or a byline: the sentences with such wording are a third
+    of it or more, whatever its length."""
+    if low.startswith(_BY) and _BYLINE.match(low) is not None:
+        return True
+    if not told(low):
+        return False
+    pieces = _SENTENCES.split(low)
+    return len(pieces) == 1 or sum(len(x) for x in pieces if told(x)) >= 0.3 * sum(map(len, pieces))
 
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -72,7 +89,7 @@ LINK, TAGS, LIST, TABLE, JUNK, PROSE, NOTE = "link", "tags", "list", "table", "j
 def form(line: str) -> str:
     """The form of one stripped, non-empty line: prose unless its shape says otherwise; verse and dialogue are prose."""
     n = len(line)
-    if n <= 200 and notice(line.lower()):
+    if notice(line.lower()):
         return NOTE
     if n > 40 and line[-1] in ".!?…" and line[0].isalpha() and _SHAPED.isdisjoint(line) and ".." not in line and "   " not in line and "http" not in line and n < 20 * (line.count(" ") + 1) and line.count(",") == line.count(", "):
         return PROSE
@@ -161,14 +178,22 @@ class Lexicon:
         self.at = {w: at[langs] for w, langs in words.items()}
         self.words = self.at.keys()
 
-    def of(self, tokens: list[str], counts: Counter) -> tuple[str | None, int, int]:
-        """The language with the most common words among the tokens, how many of them are its common words, and how
-        often the most frequent word of three letters or more comes that is common in no language."""
+    def _hits(self, tokens: list[str]) -> dict[str, int]:
         hits: dict[str, int] = {}
         for i, n in Counter(map(self.at.get, tokens)).items():
             if i is not None:
                 for lang in self.sets[i]:
                     hits[lang] = hits.get(lang, 0) + n
+        return hits
+
+    def share(self, tokens: list[str]) -> float:
+        """The share of the common words of the language that has most of them."""
+        return max(self._hits(tokens).values(), default=0) / max(1, len(tokens))
+
+    def of(self, tokens: list[str], counts: Counter) -> tuple[str | None, int, int]:
+        """The language with the most common words among the tokens, how many of them are its common words, and how
+        often the most frequent word of three letters or more comes that is common in no language."""
+        hits = self._hits(tokens)
         top = max((counts[w] for w in counts.keys() - self.words if len(w) > 2), default=0)
         if not hits:
             return None, 0, top

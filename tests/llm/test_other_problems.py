@@ -91,6 +91,24 @@ def test_packing_fills_and_mixes():
     assert near > 0.9 * (bins - 20)
 
 
+@pytest.mark.parametrize("capacity", [64, 256, 2048])
+def test_windows_are_mixed_from_the_first_to_the_last(capacity):
+    """Split items are spread, too: in every quarter each source has nearly its share of all tokens."""
+    rng = random.Random(5)
+    items = [(i, rng.choice("aaaabbc"), rng.choice([rng.randrange(1, 60), rng.randrange(100, 1500)])) for i in range(6000)]
+    total = {s: sum(n for _, k, n in items if k == s) for s in "abc"}
+    whole = sum(total.values())
+    placed = packing.pack(items, capacity, {s: n / whole for s, n in total.items()})
+    bins = max(p[0] for p in placed) + 1
+    source = {i: s for i, s, _ in items}
+    for quarter in range(4):
+        here = dict.fromkeys("abc", 0)
+        for b, i, _, _, n in placed:
+            if b * 4 // bins == quarter:
+                here[source[i]] += n
+        assert sum(abs(here[s] / sum(here.values()) - total[s] / whole) for s in "abc") / 2 < 0.05
+
+
 def test_packing_in_parts(spark):
     rng = random.Random(4)
     rows = [(i, rng.choice(["a", "b", None]), rng.randrange(0, 300)) for i in range(500)]
@@ -101,6 +119,7 @@ def test_packing_in_parts(spark):
     for r in packing.fill_report(got).collect():
         assert r.tokens == want and r.unused < 0.1
     assert got.where("container_id = 1").select("doc_id").distinct().count() == 500
+    assert all(r.distance < 0.12 for r in packing.mixture_report(got, df).collect())
     assert packing.packing(df.limit(0), boxes).count() == 0
     with pytest.raises(ValueError):
         packing.packing(df, spark.createDataFrame([(1, None)], "container_id int, capacity_tokens int"))
