@@ -143,7 +143,7 @@ def running(df: DataFrame, keys: list[str], value: str, name: str, block: int =
     return out.withColumn(name, F.col("_start") + F.col("_within")).drop("_start", "_within", "_block")
 
 
-def packing(tokens: DataFrame, containers: DataFrame, part_tokens: int = 2_000_000) -> DataFrame:
+def packing(tokens: DataFrame, containers: DataFrame, part_tokens: int = 8_000_000) -> DataFrame:
     """One row a piece; see SCHEMA. ``part_tokens``: about how much of the data is packed by one task at a time.
 
     ``containers`` is a short table of capacities; beyond 1,000 rows it is refused.
