@@ -4,7 +4,8 @@ Deficit round robin: for each container every source is credited its target shar
 the largest deficit gives the next item of its queue, or if that does not fit its largest one that does. When little
 room is left, the item that fits best is taken from whatever source. Queues are in pseudo-random order, so that windows
 are alike from the first to the last. Deficits are carried from container to container and, by the tokens of the parts
-before, from part to part of the data, so parts are packed in parallel.
+before and up to a container of each source, from part to part of the data, so parts are packed in parallel. Parts are
+pseudo-random, so the shares of each are about those of all data.
 
 Only items larger than the capacity are split, when it is their turn: into full containers, which count as windows of
 their source, and a rest that is packed like an item.
@@ -180,7 +181,14 @@ def packing(tokens: DataFrame, containers: DataFrame, part_tokens: int = 8_000_0
         pdf = pdf[pdf["doc_id"].notna()]
         # Fibonacci hashing: an order that has nothing to do with the ids, the same in every run
         docs = sorted(((int(d) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF, int(d), s, int(n)) for d, s, n in zip(pdf["doc_id"], pdf["source"], pdf["tokens"])))
-        placed = pack([x[1:] for x in docs], capacity, {c["source"]: c["share"] for c in given}, {c["source"]: c["owed"] for c in given})
+        # every item is to be placed, so a part can keep to no other shares than its own from its first window to its last;
+        # what the parts before left open, which would be more than a part holds in the end, decides who is first in it
+        own: dict[str, int] = {}
+        for _, _, s, n in docs:
+            own[s] = own.get(s, 0) + n
+        whole = max(1, sum(own.values()))
+        owed = {c["source"]: min(float(capacity), max(-float(capacity), c["owed"])) for c in given}
+        placed = pack([x[1:] for x in docs], capacity, {s: n / whole for s, n in own.items()}, owed)
         base = part << 32
         return pd.DataFrame(
             [(container, capacity, base + b, d, p, f, n) for b, d, p, f, n in placed], columns=["container_id", "capacity", "bin", "doc_id", "piece", "first_token", "tokens"]
