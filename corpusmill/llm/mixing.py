@@ -1,10 +1,15 @@
 """Problem 9: mixing sources to target weights.
 
-The weights are a temperature mix: w(a) is proportional to target^a * supply^(1-a), where a source's supply is its
-share of all tokens that may be used, each record as often as its source allows. At a = 1 the mix has the target shares; at
-a = 0 it is what the data holds and always possible. For a given total the exponent is bisected: the largest a at
-which no source needs more than its supply. Without a given total the largest one is taken at which a = 1 is possible,
-so that the shares are the targets.
+Two ways of setting the weights, both by bisecting an exponent:
+
+* ``temperature``: the natural shares of the sources in the tokens, raised to an exponent and normalised. At 1 the mix is
+  what the data holds, at 0 every source weighs the same. The exponent is the one at which the mix has a wanted entropy
+  (that of the target shares, say), raised as far as needed for no source to be used more often than it may.
+* ``solve``: the mix between supply and target shares, w(a) proportional to target^a * supply^(1-a), where a source's
+  supply is its share of all tokens that may be used, each record as often as its source allows. At a = 1 the mix has
+  the target shares; at a = 0 it is always possible. For a given total the exponent is bisected: the largest a at
+  which no source needs more than its supply. Without a given total the largest one is taken at which a = 1 is possible,
+  so that the shares are the targets, as problem 9 states.
 
 A source's budget is realised by block permutations: whole passes over its records, then one more pass in
 pseudo-random order up to the budget. Records are hashed into blocks, blocks are ordered and summed, and only
@@ -60,10 +65,53 @@ def solve(target: dict[str, float], supply: dict[str, float], total: float | Non
     return {s: total * x for s, x in w.items()}, low, -sum(x * math.log(x) for x in w.values() if x > 0)
 
 
-def mix(tokens: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 17, block_tokens: int = 500_000) -> tuple[DataFrame, DataFrame]:
+def entropy_of(shares: dict[str, float]) -> float:
+    """In nats."""
+    return -sum(x * math.log(x) for x in shares.values() if x > 0)
+
+
+def temperature(tokens: dict[str, float], repeats: dict[str, int], total: float | None = None, entropy: float | None = None, rounds: int = 60) -> tuple[dict[str, float], float, float]:
+    """(tokens by source, exponent, entropy) of the natural shares raised to an exponent between 0 and 1.
+
+    The exponent is bisected to the wanted entropy; without one it is 0. It is then bisected upwards as far as it takes
+    for no source to be used more than ``repeats`` times in ``total`` tokens (all there are, without a total). An entropy
+    below the natural one gives the natural shares, one above that of equal shares gives those.
+    """
+    have = {s: float(n) for s, n in tokens.items() if n > 0}
+    if not have:
+        return {}, 1.0, 0.0
+    whole = sum(have.values())
+    supply = {s: n * repeats.get(s, 1) for s, n in have.items()}
+    total = min(whole if total is None else total, sum(supply.values()))
+
+    def mix(a: float) -> dict[str, float]:
+        raw = {s: (n / whole) ** a for s, n in have.items()}
+        norm = sum(raw.values())
+        return {s: x / norm for s, x in raw.items()}
+
+    def bisect(good) -> float:
+        """The smallest exponent that is good, where those above a good one are."""
+        low, high = 0.0, 1.0
+        if good(0.0):
+            return 0.0
+        for _ in range(rounds):
+            mid = (low + high) / 2
+            low, high = (low, mid) if good(mid) else (mid, high)
+        return high
+
+    a = bisect(lambda x: entropy_of(mix(x)) <= entropy) if entropy is not None else 0.0
+    a = max(a, bisect(lambda x: all(total * w <= supply[s] * (1 + 1e-9) for s, w in mix(x).items())))
+    w = mix(a)
+    # beyond one pass over all that there is even the natural shares may ask a source for more than it may give
+    budget = {s: min(total * x, supply[s]) for s, x in w.items()}
+    return budget, a, entropy_of(w)
+
+
+def mix(tokens: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 17, block_tokens: int = 500_000, tempered: bool = False) -> tuple[DataFrame, DataFrame]:
     """(records, report): records has a row a use (doc_id, source, use, tokens), the report a row a source of ``targets``.
 
-    ``targets`` is a short table: beyond 100,000 sources it is refused, as the weights are solved on the driver.
+    ``tempered``: the weights are natural shares tempered to the entropy of the target shares, for ``total`` tokens or as
+    many as the sources have, and not the target shares themselves. ``targets`` is a short table: beyond 100,000 sources it is refused, as the weights are solved on the driver.
     """
     rows = targets.select(source_name(F.col("source")).alias("source"), "target_share", "max_repeats").limit(100_001).collect()
     if len(rows) > 100_000:
@@ -75,7 +123,14 @@ def mix(tokens: DataFrame, targets: DataFrame, total: float | None = None, seed:
     have = {r["source"]: r["n"] for r in used.groupBy("source").agg(F.sum("tokens").alias("n")).collect()}  # sources of targets only
     most = {r["source"]: r["max_repeats"] for r in goal.collect()}
     want = {r["source"]: r["target_share"] for r in goal.collect() if r["target_share"] is not None and not math.isnan(r["target_share"])}
-    budget, exponent, entropy = solve(want, {s: n * most[s] for s, n in have.items()}, total)
+    if tempered:
+        wanted = {s: t for s, t in want.items() if t > 0}
+        scale = sum(wanted.values())
+        goal_entropy = entropy_of({s: t / scale for s, t in wanted.items()}) if wanted else None
+        budget, exponent, entropy = temperature({s: n for s, n in have.items() if s in wanted}, most, total, goal_entropy)
+    else:
+        budget, exponent, entropy = solve(want, {s: n * most[s] for s, n in have.items()}, total)
+    natural = sum(have[s] for s in budget) or 1
     plan = [(s, float(b), int(b // have[s]), float(b - (b // have[s]) * have[s]), max(1, round(have[s] / block_tokens))) for s, b in budget.items()]
     plan = [(s, b, min(k, most[s]), (r if k < most[s] else 0.0), n) for s, b, k, r, n in plan]
     plans = spark.createDataFrame(plan, "source string, budget double, passes int, rest double, blocks int")
@@ -95,10 +150,11 @@ def mix(tokens: DataFrame, targets: DataFrame, total: float | None = None, seed:
     whole = max(1, got.agg(F.sum("mixed_tokens").alias("whole")).first()["whole"] or 0)
     report = (
         goal.join(F.broadcast(got), "source", "left")
-        .join(F.broadcast(plans.select("source", "budget")), "source", "left")
+        .join(F.broadcast(plans.select("source", "budget", F.lit(float(natural)).alias("natural"))), "source", "left")
+        .join(F.broadcast(spark.createDataFrame(sorted(have.items()), "source string, source_tokens long")), "source", "left")
         .select(
             "source", "target_share", "max_repeats", F.coalesce("mixed_tokens", F.lit(0)).alias("mixed_tokens"), F.coalesce(F.col("mixed_tokens") / F.lit(whole), F.lit(0.0)).alias("actual_share"),
-            F.coalesce("most_uses", F.lit(0)).alias("most_uses"), F.coalesce("records", F.lit(0)).alias("records"), F.lit(exponent).alias("exponent"), F.lit(entropy).alias("entropy"),
+            F.coalesce(F.when(F.col("budget").isNotNull(), F.col("source_tokens") / F.col("natural")), F.lit(0.0)).alias("natural_share"), F.coalesce("most_uses", F.lit(0)).alias("most_uses"), F.coalesce("records", F.lit(0)).alias("records"), F.lit(exponent).alias("exponent"), F.lit(entropy).alias("entropy"),
         )
     )
     return uses, report

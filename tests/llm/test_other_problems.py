@@ -138,6 +138,22 @@ def test_exponent():
     assert abs(sum(budget.values()) - 1100) < 1e-6
 
 
+def test_temperature():
+    have, twice = {"x": 100, "y": 1000, "z": 5000}, {"x": 2, "y": 2, "z": 2}
+    wanted = mixing.entropy_of({"x": 0.2, "y": 0.3, "z": 0.5})
+    budget, a, entropy = mixing.temperature(have, {"x": 50, "y": 50, "z": 50}, entropy=wanted)
+    assert 0 < a < 1 and abs(entropy - wanted) < 1e-6 and abs(sum(budget.values()) - 6100) < 1e-3
+    natural = mixing.entropy_of({s: n / 6100 for s, n in have.items()})
+    assert natural < entropy
+    # the limit of repeats raises the exponent, so the mix comes nearer to the natural one
+    budget, b, entropy = mixing.temperature(have, twice, entropy=wanted)
+    assert a < b < 1 and natural < entropy < wanted and all(budget[s] <= 2 * have[s] * (1 + 1e-6) for s in have)
+    assert abs(max(budget[s] / have[s] for s in have) - 2) < 1e-3
+    assert mixing.temperature(have, twice, entropy=0.0)[1] > 1 - 1e-6 and mixing.temperature({}, {}) == ({}, 1.0, 0.0)
+    budget, a, _ = mixing.temperature({"x": 10, "y": 10}, {}, entropy=5.0)
+    assert a == 0.0 and budget == {"x": 10.0, "y": 10.0}
+
+
 def test_mix(spark):
     rng = random.Random(3)
     rows = [(i, s, rng.randrange(20, 60)) for i, s in enumerate(["a"] * 200 + ["b"] * 60 + ["c"] * 30 + ["d"] * 5)] + [(1000, "a", 0), (None, "a", 4), (1, "a", 30)]
@@ -156,6 +172,10 @@ def test_mix(spark):
     again = {tuple(r) for r in mixing.mix(df.repartition(7), goals, block_tokens=500)[0].collect()}
     assert again == {tuple(r) for r in uses.collect()} or len(again) == uses.count()
     assert mixing.mix(df.limit(0), goals)[0].count() == 0
+    _, report = mixing.mix(df, goals, block_tokens=500, tempered=True)
+    got = {r.source: r for r in report.collect()}
+    assert 0 < got["a"].exponent < 1 and got["c"].actual_share > got["c"].natural_share + 0.02 and got["a"].actual_share < got["a"].natural_share - 0.02
+    assert all(r.most_uses <= (r.max_repeats or 1) for r in got.values()) and got["d"].mixed_tokens == 0
 
 
 def test_tokens(spark):
