@@ -3,8 +3,9 @@
 Two ways of setting the weights, both by bisecting an exponent:
 
 * ``temperature``: the natural shares of the sources in the tokens, raised to an exponent and normalised. At 1 the mix is
-  what the data holds, at 0 every source weighs the same. The exponent is the one at which the mix has a wanted entropy
-  (that of the target shares, say), raised as far as needed for no source to be used more often than it may.
+  what the data holds, at 0 every source weighs the same. The exponent is the one at which the mix has a wanted entropy.
+  For a given total it is raised as far as needed for no source to be used more often than it may; without one the
+  total is the largest at which none is.
 * ``solve``: the mix between supply and target shares, w(a) proportional to target^a * supply^(1-a), where a source's
   supply is its share of all tokens that may be used, each record as often as its source allows. At a = 1 the mix has
   the target shares; at a = 0 it is always possible. For a given total the exponent is bisected: the largest a at
@@ -73,16 +74,18 @@ def entropy_of(shares: dict[str, float]) -> float:
 def temperature(tokens: dict[str, float], repeats: dict[str, int], total: float | None = None, entropy: float | None = None, rounds: int = 60) -> tuple[dict[str, float], float, float]:
     """(tokens by source, exponent, entropy) of the natural shares raised to an exponent between 0 and 1.
 
-    The exponent is bisected to the wanted entropy; without one it is 0. It is then bisected upwards as far as it takes
-    for no source to be used more than ``repeats`` times in ``total`` tokens (all there are, without a total). An entropy
-    below the natural one gives the natural shares, one above that of equal shares gives those.
+    The exponent is bisected to the wanted entropy; without one to the middle between that of the natural shares and
+    that of equal ones. With a ``total`` it is then bisected upwards as far as it takes for no source to be used more than
+    ``repeats`` times; without, the total is the largest at which none is. An entropy below the natural one gives the
+    natural shares, one above that of equal shares gives those.
     """
     have = {s: float(n) for s, n in tokens.items() if n > 0}
     if not have:
         return {}, 1.0, 0.0
     whole = sum(have.values())
     supply = {s: n * repeats.get(s, 1) for s, n in have.items()}
-    total = min(whole if total is None else total, sum(supply.values()))
+    if entropy is None:
+        entropy = (entropy_of({s: n / whole for s, n in have.items()}) + math.log(len(have))) / 2
 
     def mix(a: float) -> dict[str, float]:
         raw = {s: (n / whole) ** a for s, n in have.items()}
@@ -99,8 +102,12 @@ def temperature(tokens: dict[str, float], repeats: dict[str, int], total: float
             low, high = (low, mid) if good(mid) else (mid, high)
         return high
 
-    a = bisect(lambda x: entropy_of(mix(x)) <= entropy) if entropy is not None else 0.0
-    a = max(a, bisect(lambda x: all(total * w <= supply[s] * (1 + 1e-9) for s, w in mix(x).items())))
+    a = bisect(lambda x: entropy_of(mix(x)) <= entropy)
+    if total is None:
+        total = min(supply[s] / w for s, w in mix(a).items())
+    else:
+        total = min(total, sum(supply.values()))
+        a = max(a, bisect(lambda x: all(total * w <= supply[s] * (1 + 1e-9) for s, w in mix(x).items())))
     w = mix(a)
     # beyond one pass over all that there is even the natural shares may ask a source for more than it may give
     budget = {s: min(total * x, supply[s]) for s, x in w.items()}
@@ -110,8 +117,8 @@ def temperature(tokens: dict[str, float], repeats: dict[str, int], total: float
 def mix(tokens: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 17, block_tokens: int = 500_000, tempered: bool = False) -> tuple[DataFrame, DataFrame]:
     """(records, report): records has a row a use (doc_id, source, use, tokens), the report a row a source of ``targets``.
 
-    ``tempered``: the weights are natural shares tempered to the entropy of the target shares, for ``total`` tokens or as
-    many as the sources have, and not the target shares themselves. ``targets`` is a short table: beyond 100,000 sources it is refused, as the weights are solved on the driver.
+    ``tempered``: the weights are the natural shares of the targets' sources, tempered, and not the target shares
+    themselves. ``targets`` is a short table: beyond 100,000 sources it is refused, as the weights are solved on the driver.
     """
     rows = targets.select(source_name(F.col("source")).alias("source"), "target_share", "max_repeats").limit(100_001).collect()
     if len(rows) > 100_000:
@@ -124,10 +131,7 @@ def mix(tokens: DataFrame, targets: DataFrame, total: float | None = None, seed:
     most = {r["source"]: r["max_repeats"] for r in goal.collect()}
     want = {r["source"]: r["target_share"] for r in goal.collect() if r["target_share"] is not None and not math.isnan(r["target_share"])}
     if tempered:
-        wanted = {s: t for s, t in want.items() if t > 0}
-        scale = sum(wanted.values())
-        goal_entropy = entropy_of({s: t / scale for s, t in wanted.items()}) if wanted else None
-        budget, exponent, entropy = temperature({s: n for s, n in have.items() if s in wanted}, most, total, goal_entropy)
+        budget, exponent, entropy = temperature({s: n for s, n in have.items() if want.get(s, 0.0) > 0}, most, total)
     else:
         budget, exponent, entropy = solve(want, {s: n * most[s] for s, n in have.items()}, total)
     natural = sum(have[s] for s in budget) or 1

@@ -141,14 +141,15 @@ def test_exponent():
 def test_temperature():
     have, twice = {"x": 100, "y": 1000, "z": 5000}, {"x": 2, "y": 2, "z": 2}
     wanted = mixing.entropy_of({"x": 0.2, "y": 0.3, "z": 0.5})
-    budget, a, entropy = mixing.temperature(have, {"x": 50, "y": 50, "z": 50}, entropy=wanted)
-    assert 0 < a < 1 and abs(entropy - wanted) < 1e-6 and abs(sum(budget.values()) - 6100) < 1e-3
     natural = mixing.entropy_of({s: n / 6100 for s, n in have.items()})
-    assert natural < entropy
-    # the limit of repeats raises the exponent, so the mix comes nearer to the natural one
-    budget, b, entropy = mixing.temperature(have, twice, entropy=wanted)
-    assert a < b < 1 and natural < entropy < wanted and all(budget[s] <= 2 * have[s] * (1 + 1e-6) for s in have)
-    assert abs(max(budget[s] / have[s] for s in have) - 2) < 1e-3
+    budget, a, entropy = mixing.temperature(have, {"x": 50, "y": 50, "z": 50}, 6100, wanted)
+    assert 0 < a < 1 and natural < wanted and abs(entropy - wanted) < 1e-6 and abs(sum(budget.values()) - 6100) < 1e-3
+    # the limit of repeats raises the exponent of a given total, so the mix comes nearer to the natural one
+    budget, b, entropy = mixing.temperature(have, twice, 6100, wanted)
+    assert a < b < 1 and natural < entropy < wanted and abs(max(budget[s] / have[s] for s in have) - 2) < 1e-3
+    # without a total the exponent stays, and the source that is scarcest is used as often as it may
+    budget, c, entropy = mixing.temperature(have, twice)
+    assert 0 < c < 1 and abs(entropy - (natural + mixing.math.log(3)) / 2) < 1e-6 and abs(max(budget[s] / have[s] for s in have) - 2) < 1e-6
     assert mixing.temperature(have, twice, entropy=0.0)[1] > 1 - 1e-6 and mixing.temperature({}, {}) == ({}, 1.0, 0.0)
     budget, a, _ = mixing.temperature({"x": 10, "y": 10}, {}, entropy=5.0)
     assert a == 0.0 and budget == {"x": 10.0, "y": 10.0}
