@@ -6,11 +6,12 @@ all documents; given names and family names are the two sides of the pairs that
 unlike places and firms. Words of common use are no names. Wording that introduces a person is accepted for names that
 the lexicon doesn't have.
 
-Replacing: every entity gets a surrogate made from a keyed hash of its normal form, so it is the same wherever the
-entity comes (coreference) without any shared state; it keeps the type, the script, the letter case, an
-initial, the pattern of digits, and for given names the ending that tells a gender. Within a document two entities
-never share a surrogate: a later one in order of the text is hashed again. The placeholder names the type:
-``[NAME Tova Brelden]``.
+Replacing: every word of a name has a surrogate made from a keyed hash of its normal form, and every other entity one of
+its own, so it is the same wherever the entity comes (coreference) without any shared state. First letters are
+exchanged by a keyed permutation of the alphabet, so "J. Smith" and "John Smith" keep a common initial; given names keep
+their gender as far as titles in the corpus or their ending tell it; script, letter case and the pattern of digits
+stay. Within a document no two words and no two entities share a surrogate: a later one in order of the text is hashed
+again. The placeholder names the type: ``[NAME Tova Brelden]``. Found pieces come from the same pass.
 
 Defined results: null and empty texts have nothing to find and stay as they are; of overlapping findings the first
 kind in the order e-mail, address, identity number, phone, name stands.
@@ -21,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -31,8 +32,6 @@ from pyspark.sql import functions as F
 from corpusmill.llm.textkit import batches, common_words
 from corpusmill.plans.shared import materialize
 
-FOUND = "doc_id long, start_char int, end_char int, kind string, piece string"
-
 _DOT = r"(?:\.|\s?[(\[{]\s?dot\s?[)\]}]\s?|(?-i: DOT ))"
 _AT = r"(?:\s?[@＠]\s?|\s?[(\[{]\s?at\s?[)\]}]\s?|(?-i: AT ))"
 EMAIL = re.compile(rf"(?<![\w.+-])[\w+-]+(?:{_DOT}[\w+-]+)*{_AT}[\w-]+(?:{_DOT}[\w-]+)*{_DOT}[^\W\d_]{{2,}}(?![\w@])|(?<![\w.+-])[\w.+-]+ at [\w-]+(?: dot [\w-]+)+(?!\w)", re.I)
@@ -99,11 +98,10 @@ _NO_NAME = frozenset("street road lane avenue close row bank foundation prize br
 # --- the lexicon of names --------------------------------------------------------------------------------------------
 
 
-def name_lexicon(documents: DataFrame, words_table: DataFrame, text: str = "text", partners: int = 3, most: int = 200_000) -> tuple[frozenset, frozenset]:
-    """(given names, family names) in lower case.
+def name_tables(documents: DataFrame, words_table: DataFrame, text: str = "text", partners: int = 3) -> tuple[DataFrame, DataFrame]:
+    """((w, g), (w)): all given names with their gender, f, m or null, and all family names, in lower case.
 
-    Counts are over all documents and combined before each shuffle; what leaves the cluster is the fitted model, the
-    ``most`` best connected names of either kind, a documented bound.
+    Counts are over all documents and combined before each shuffle.
     """
     common = sorted(common_words(words_table))
     word = r"\p{Lu}\p{Ll}[\p{L}'’]*(?:-\p{Lu}[\p{L}'’]*)?"
@@ -115,19 +113,60 @@ def name_lexicon(documents: DataFrame, words_table: DataFrame, text: str = "text
     found = found.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.struct(F.element_at("w", i).alias("a"), F.element_at("w", i + 1).alias("b")))).alias("s"), "n")
     known = documents.sparkSession.createDataFrame([(w,) for w in common], "w string")
     pairs = found.select("s.a", "s.b", "n").where(F.length("b") > 2)
-    pairs = pairs.join(F.broadcast(known), F.col("a") == F.col("w"), "left_anti").join(F.broadcast(known), F.col("b") == F.col("w"), "left_anti")
-    pairs = materialize(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "name-pairs")
+    every = materialize(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "word-pairs")
+    pairs = every.join(F.broadcast(known), F.col("a") == F.col("w"), "left_anti").join(F.broadcast(known), F.col("b") == F.col("w"), "left_anti")
 
     def side(of: DataFrame, one: str, other: str) -> DataFrame:
         return of.groupBy(one).agg(F.count("*").alias("k")).where(F.col("k") >= partners)
 
     family = side(pairs, "b", "a").select("b")
-    given = side(pairs.join(family, "b", "left_semi"), "a", "b").select("a", "k")
-    family = side(pairs.join(given.select("a"), "a", "left_semi"), "b", "a")
-    # a family name of which most given names are known, and the other way round
-    g = [r["a"] for r in given.orderBy(F.desc("k"), "a").limit(most).collect()]
-    f = [r["b"] for r in family.orderBy(F.desc("k"), "b").limit(most).collect()]
-    return frozenset(g), frozenset(f)
+    given = side(pairs.join(family, "b", "left_semi"), "a", "b").select("a")
+    family = side(pairs.join(given, "a", "left_semi"), "b", "a").select(F.col("b").alias("w"))
+    # titles before a given name vote for its gender
+    title = F.when(F.col("a").isin(*TITLES["f"]), 1).when(F.col("a").isin(*TITLES["m"]), -1)
+    votes = every.where(F.col("a").isin(*TITLES["f"], *TITLES["m"])).groupBy("b").agg(F.sum(title * F.col("n")).alias("v"))
+    given = given.join(votes, F.col("a") == F.col("b"), "left").select(F.col("a").alias("w"), F.when(F.col("v") > 0, "f").when(F.col("v") < 0, "m").alias("g"))
+    return materialize(given, "given-names"), materialize(family, "family-names")
+
+
+#: Titles before names that tell a gender, lower case.
+TITLES = {
+    "f": ["mrs", "ms", "miss", "madam", "lady", "sister", "frau", "madame", "mademoiselle", "mme", "mlle", "señora", "señorita", "doña", "signora", "signorina", "senhora", "dona", "mevrouw", "pani", "госпожа"],
+    "m": ["mr", "sir", "lord", "brother", "herr", "herrn", "monsieur", "señor", "don", "signor", "signore", "senhor", "meneer", "heer", "pan", "pana", "господин"],
+}
+
+
+class Lexicon:
+    """Given and family names, and the genders that are known of given names."""
+
+    def __init__(self, given: Iterable[str], family: Iterable[str], genders: dict[str, str] | None = None):
+        self.given, self.family, self.genders = frozenset(given), frozenset(family), genders or {}
+
+
+def with_names(documents: DataFrame, words_table: DataFrame, doc: str, text: str, lexicon: Lexicon | None = None, most: int = 200_000) -> tuple[DataFrame, Lexicon | None]:
+    """((doc_id, text, names), lexicon): the documents, and the names either as a lexicon for all tasks or, where it has
+    more than ``most`` names of a kind, as an array of the names in each document (w, g, given) from a join; nothing is
+    cut, both ways find the same."""
+    rows = documents.where(F.col(doc).isNotNull()).select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
+    none = F.lit(None).cast("array<struct<w:string,g:string,given:boolean>>")
+    if lexicon is not None:
+        return rows.withColumn("names", none), lexicon
+    given, family = name_tables(documents, words_table, text)
+    few = [t.limit(most + 1).collect() for t in (given, family)]
+    if max(map(len, few)) <= most:
+        return rows.withColumn("names", none), Lexicon((r["w"] for r in few[0]), (r["w"] for r in few[1]), {r["w"]: r["g"] for r in few[0] if r["g"]})
+    names = given.select("w", "g", F.lit(True).alias("given")).unionByName(family.select("w", F.lit(None).cast("string").alias("g"), F.lit(False).alias("given")))
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}[\p{L}\p{N}_'’]*(?:-\p{L}[\p{L}\p{N}_'’]*)*"), F.lit(0))
+    each = rows.select("doc_id", F.explode(F.array_distinct(F.flatten(F.array(words, F.split(F.concat_ws("-", words), "-"))))).alias("w"))
+    held = each.join(names, "w").groupBy("doc_id").agg(F.collect_set(F.struct("w", "g", "given")).alias("names"))  # at most the words of a document
+    return rows.join(held, "doc_id", "left"), None
+
+
+def _lexicon_of(row: dict, shared: Lexicon | None) -> Lexicon:
+    if shared is not None:
+        return shared
+    names = row["names"] or []
+    return Lexicon((x["w"] for x in names if x["given"]), (x["w"] for x in names if not x["given"]), {x["w"]: x["g"] for x in names if x["g"]})
 
 
 # --- finding ---------------------------------------------------------------------------------------------------------
@@ -259,18 +298,6 @@ def find(text: str | None, given: frozenset, family: frozenset) -> list[tuple[in
     return out
 
 
-def entities(documents: DataFrame, words_table: DataFrame, doc: str = "doc_id", text: str = "text", lexicon: tuple[frozenset, frozenset] | None = None) -> DataFrame:
-    """A row a piece of personal information; see FOUND."""
-    given, family = lexicon or name_lexicon(documents, words_table, text)
-    schema = pa.schema([("doc_id", pa.int64()), ("start_char", pa.int32()), ("end_char", pa.int32()), ("kind", pa.string()), ("piece", pa.string())])
-
-    def run(batch: list[dict]) -> list[dict]:
-        return [{"doc_id": r["doc_id"], "start_char": a, "end_char": b, "kind": k, "piece": r["text"][a:b]} for r in batch for a, b, k in find(r["text"], given, family)]
-
-    rows = documents.where(F.col(doc).isNotNull()).select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(batches(run, schema), FOUND)
-
-
 # --- surrogates ------------------------------------------------------------------------------------------------------
 
 _ONSETS = "b br c d dr f g gl h j k kl l m n p pr r s st t tr v w z".split()
@@ -296,88 +323,169 @@ def normal_form(piece: str, kind: str) -> str:
     return " ".join(piece.lower().split())
 
 
+_LATIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_CYRILLIC_FIRST = "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"
+
+
 class Surrogates:
-    """Replacements from a secret key."""
+    """Replacements from a secret key, for all documents alike."""
 
     def __init__(self, key: bytes):
+        if not key:
+            raise ValueError("surrogates need a secret key")
         self.key = key
+        self.first = {letters: self._permuted(letters) for letters in (_LATIN, _CYRILLIC_FIRST)}
 
-    def stream(self, kind: str, entity: str, turn: int) -> Iterable[int]:
+    def stream(self, kind: str, entity: str, turn: int) -> Iterator[int]:
         block = 0
         while True:
             digest = hashlib.blake2b(f"{kind}|{entity}|{turn}|{block}".encode(), key=self.key[:64], digest_size=32).digest()
             yield from digest
             block += 1
 
-    def word(self, like: str, bits: Iterable[int], gendered: bool = False) -> str:
-        n = 2 if len(like) < 9 else 3
-        out = "".join(_ONSETS[next(bits) % len(_ONSETS)] + _NUCLEI[next(bits) % 5] + _CODAS[next(bits) % 5] for _ in range(n))
-        if gendered:
-            out = out.rstrip("lnrs") if like[-1:].lower() in "aeiа" else out
-            out = out[:-1] + "a" if like[-1:].lower() == "a" and out[-1] in "eiou" else out if out[-1] == "a" or like[-1:].lower() in "aei" else out + "n" if out[-1] in "aeiou" else out
+    def _permuted(self, letters: str) -> dict[str, str]:
+        bits, to = self.stream("letters", letters, 0), list(letters)
+        for i in range(len(to) - 1, 0, -1):
+            j = (next(bits) << 8 | next(bits)) % (i + 1)
+            to[i], to[j] = to[j], to[i]
+        return dict(zip(letters, to))
+
+    def initial(self, word: str) -> str:
+        """The first letter of the surrogates of all words that begin like this one."""
+        c = unicodedata.normalize("NFKD", word[:1].upper())[:1]
+        for to in self.first.values():
+            if c in to:
+                return to[c]
+        return _LATIN[next(self.stream("letter", c, 0)) % 26]
+
+    def syllable(self, bits: Iterator[int], onset: bool = True) -> str:
+        return (_ONSETS[next(bits) % len(_ONSETS)] if onset else "") + _NUCLEI[next(bits) % 5] + _CODAS[next(bits) % 5]
+
+    def word(self, like: str, turn: int = 0, gender: str | None = None) -> str:
+        """A surrogate of a word of a name, with its script and case; ``gender`` sets how a given name ends."""
+        bits = self.stream("word", normal_form(like, "name"), turn)
+        first = self.initial(like).lower()
+        out = first + ("" if first in "aeiouаеиоэюя" else self.syllable(bits, onset=False))
+        out += "".join(self.syllable(bits) for _ in range(1 if len(like) < 9 else 2))
+        vowel = out[-1] in "aeiou"
+        if gender == "f":
+            out = (out[:-1] if vowel else out) + "a"
+        elif gender == "m":
+            out += "lnrs"[next(bits) % 4] if vowel else ""
         if re.search("[а-яё]", like.lower()):
             out = out.translate(_CYRILLIC)
         return out.upper() if like.isupper() and len(like) > 1 else out.capitalize() if like[:1].isupper() else out
 
-    def make(self, piece: str, kind: str, turn: int = 0) -> str:
+    def code(self, kind: str, piece: str, turn: int = 0) -> str:
+        """A surrogate of anything but a name, in its format."""
         entity = normal_form(piece, kind)
-        if kind == "name":
-            # each word has its own stream, so a family keeps its name and a person theirs
-            words = normal_form(piece, kind).split()
-            order = re.split(r"(,?\s+|-)", piece)
-            first = 0 if "," not in piece else len([w for w in order if re.match(r"\w", w)]) - 1
-            out, at = [], 0
-            for w in order:
-                if not re.match(r"\w", w):
-                    out.append(w)
-                    continue
-                bits = iter(self.stream("word", normal_form(w.rstrip("."), kind), turn))
-                out.append(chr(65 + next(bits) % 26) + "." if w.endswith(".") and len(w) == 2 else self.word(w, bits, gendered=at == first and len(words) > 1))
-                at += 1
-            return "".join(out)
-        bits = iter(self.stream(kind, entity, turn))
+        bits = self.stream(kind, entity, turn)
         if kind == "email":
             host = ("example.com", "example.org", "example.net")[next(bits) % 3]
-            return f"{self.word('abcdef', bits)}.{self.word('abcdef', bits)}@{host}"
+            return "".join(self.syllable(bits) for _ in range(2)) + "." + "".join(self.syllable(bits) for _ in range(2)) + "@" + host
         if kind in ("phone", "id_number"):
             return "".join(str(next(bits) % 10) if c.isdigit() else chr(65 + next(bits) % 26) if kind == "id_number" and c.isupper() else c for c in piece)
-        return re.sub(r"[^\W\d_]{4,}|\d", lambda m: str(1 + next(bits) % 9) if m[0].isdigit() else self.word(m[0], bits), piece)
+        return re.sub(r"[^\W\d_]{4,}|\d", lambda m: str(1 + next(bits) % 9) if m[0].isdigit() else self.word(m[0], next(bits)), piece)
 
 
-def redact(text: str, pieces: list[tuple[int, int, str]], maker: Surrogates) -> str:
-    """The text with every piece replaced by ``[KIND surrogate]``; what lies between stays as it is."""
-    out, at = [], 0
-    given: dict[tuple[str, str], str] = {}
-    used: dict[str, tuple[str, str]] = {}
-    for start, end, kind in pieces:
-        piece = text[start:end]
-        entity = (kind, normal_form(piece, kind))
-        turn = 0
-        made = maker.make(piece, kind)
-        if entity in given and kind != "name":
-            made = given[entity]
-        while used.get(made, entity) != entity or made == piece:
+def gender_of(word: str, genders: dict[str, str]) -> str | None:
+    """What titles in the corpus say, or else the ending: -a is that of women's names in the nine languages, a consonant or
+    -o that of men's more often than not; others tell nothing."""
+    low = normal_form(word, "name")
+    told = genders.get(word.lower()) or genders.get(low)
+    return told or ("f" if low[-1:] in "aа" else "m" if low[-1:] not in "aeiouyаеиоуыэюя" or low[-1:] == "o" else None)
+
+
+class Page:
+    """The surrogates of one document: distinct ones for distinct words and entities, the same for the same."""
+
+    def __init__(self, maker: Surrogates, genders: dict[str, str]):
+        self.maker, self.genders = maker, genders
+        self.words: dict[str, int] = {}
+        self.codes: dict[tuple[str, str], str] = {}
+        self.used: dict[str, str] = {}
+
+    def word(self, word: str, given: bool) -> str:
+        form = normal_form(word, "name")
+        gender = gender_of(word, self.genders) if given else None
+        turn = self.words.get(form, 0)
+        while True:
+            made = self.maker.word(word, turn, gender)
+            low = made.lower()
+            if low != word.lower() and self.used.setdefault(low, form) == form:
+                self.words[form] = turn
+                return made
             turn += 1
-            made = maker.make(piece, kind, turn)
-        used[made] = entity
-        given.setdefault(entity, made)
-        out += [text[at:start], f"[{kind.upper()} {made}]"]
+
+    def name(self, piece: str) -> str:
+        parts = re.split(r"(\.?,?\s+|\.?-|\.$)", piece)
+        words = [i for i, w in enumerate(parts) if w and w[0].isalnum()]
+        # the family name stands first before a comma, and last otherwise; a double name is one
+        comma = next((i for i, w in enumerate(parts) if "," in w), None)
+        blanks = [i for i, w in enumerate(parts) if w.isspace() or w[:1] == "." and w.strip(".").isspace()]
+        family = [i for i in words if i < comma] if comma is not None else [i for i in words if not blanks or i > blanks[-1]]
+        out = list(parts)
+        for i in words:
+            out[i] = self.maker.initial(parts[i]) if len(parts[i]) == 1 else self.word(parts[i], i not in family)
+        return "".join(out)
+
+    def replace(self, piece: str, kind: str) -> str:
+        if kind == "name":
+            return self.name(piece)
+        entity = (kind, normal_form(piece, kind))
+        if entity not in self.codes:
+            turn = 0
+            while True:
+                made = self.maker.code(kind, piece, turn)
+                if made != piece and self.used.setdefault(made.lower(), str(entity)) == str(entity):
+                    break
+                turn += 1
+            self.codes[entity] = made
+        return self.codes[entity]
+
+
+def redact(text: str, pieces: list[tuple[int, int, str]], maker: Surrogates, genders: dict[str, str] | None = None) -> tuple[str, list[str]]:
+    """The text with every piece replaced by ``[KIND surrogate]``, what lies between staying as it is; and the surrogates."""
+    page, out, made, at = Page(maker, genders or {}), [], [], 0
+    for start, end, kind in pieces:
+        made.append(page.replace(text[start:end], kind))
+        out += [text[at:start], f"[{kind.upper()} {made[-1]}]"]
         at = end
-    return "".join(out) + text[at:]
+    return "".join(out) + text[at:], made
 
 
-def redacted(documents: DataFrame, words_table: DataFrame, key: str = "set a secret key of your own", doc: str = "doc_id", text: str = "text", lexicon: tuple[frozenset, frozenset] | None = None) -> DataFrame:
-    """(doc_id, text, pieces): each document with its personal information replaced."""
-    given, family = lexicon or name_lexicon(documents, words_table, text)
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("pieces", pa.int32())])
-    maker = Surrogates(key.encode())
+def redacted(documents: DataFrame, words_table: DataFrame, key: str | bytes, doc: str = "doc_id", text: str = "text", lexicon: Lexicon | None = None) -> DataFrame:
+    """(doc_id, text, pieces): each document with its personal information replaced by surrogates under the secret
+    ``key``, and the pieces found, with their normal form and surrogate, in order of the text."""
+    rows, shared = with_names(documents, words_table, doc, text, lexicon)
+    piece = [("start_char", pa.int32()), ("end_char", pa.int32()), ("kind", pa.string()), ("entity", pa.string()), ("surrogate", pa.string())]
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("pieces", pa.list_(pa.struct(piece)))])
+    maker = Surrogates(key.encode() if isinstance(key, str) else key)
 
     def run(batch: list[dict]) -> list[dict]:
         out = []
         for r in batch:
-            found = find(r["text"], given, family)
-            out.append({"doc_id": r["doc_id"], "text": redact(r["text"], found, maker) if found else r["text"], "pieces": len(found)})
+            names, text = _lexicon_of(r, shared), r["text"]
+            found = find(text, names.given, names.family)
+            new, made = redact(text, found, maker, names.genders) if found else (text, [])
+            pieces = [{"start_char": a, "end_char": b, "kind": k, "entity": normal_form(text[a:b], k), "surrogate": x} for (a, b, k), x in zip(found, made)]
+            out.append({"doc_id": r["doc_id"], "text": new, "pieces": pieces})
         return out
 
-    rows = documents.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(batches(run, schema), "doc_id long, text string, pieces int")
+    return rows.mapInArrow(batches(run, schema), "doc_id long, text string, pieces array<struct<start_char:int,end_char:int,kind:string,entity:string,surrogate:string>>")
+
+
+def entities(redacted_documents: DataFrame) -> DataFrame:
+    """A row a piece of personal information: doc_id, start_char, end_char, kind, entity, surrogate."""
+    return redacted_documents.select("doc_id", F.explode("pieces").alias("p")).select("doc_id", "p.*")
+
+
+def coreference(found: DataFrame) -> DataFrame:
+    """By kind: mentions, entities and surrogates by document, entities of a document that got more than one surrogate, and
+    surrogates of a document that stand for more than one entity. Case and word order of names do not count."""
+    plain = F.lower(F.when((F.col("kind") == "name") & F.contains("surrogate", F.lit(",")), F.regexp_replace("surrogate", r"^([^,]*),\s*(.*)$", "$2 $1")).otherwise(F.col("surrogate")))
+    each = found.select("doc_id", "kind", F.xxhash64("entity").alias("e"), F.xxhash64(F.regexp_replace(plain, r"[\s\u00a0]+", " ")).alias("s"))
+    pairs = each.groupBy("doc_id", "kind", "e", "s").agg(F.count("*").alias("mentions"))
+    by_entity = pairs.groupBy("doc_id", "kind", "e").agg(F.sum("mentions").alias("mentions"), F.count("*").alias("k")).groupBy("kind").agg(F.sum("mentions").alias("mentions"), F.count("*").alias("entities"), F.sum((F.col("k") > 1).cast("int")).alias("split_entities"))
+    by_surrogate = pairs.groupBy("doc_id", "kind", "s").agg(F.count("*").alias("k")).groupBy("kind").agg(F.count("*").alias("surrogates"), F.sum((F.col("k") > 1).cast("int")).alias("shared_surrogates"))
+    return by_entity.join(by_surrogate, "kind")

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -234,35 +235,56 @@ def test_no_pieces(text):
 
 def test_redaction_changes_nothing_else():
     maker = pii.Surrogates(b"k")
-    text = "Ann Lee (ann.lee@example.org, 202-555-0143) met Bo Lee and ANN LEE. Ann Lee left."
+    text = "Ann Lee (ann.lee@example.org, 202-555-0143) met Bo Lee and ANN LEE. Ann Lee left, said A. Lee and Lee, Ann."
     found = pii.find(text, GIVEN, FAMILY)
-    out = pii.redact(text, found, maker)
-    import re
-
+    out, made = pii.redact(text, found, maker)
     names = re.findall(r"\[NAME ([^\]]+)\]", out)
     assert names[0] == names[3] and names[2] == names[0].upper() and names[1] != names[0]
     assert names[0].split()[1] == names[1].split()[1]  # one family keeps one name
+    assert names[4] == f"{names[0][0]}. {names[0].split()[1]}"  # an initial stays that of the name
+    assert names[5] == ", ".join(reversed(names[0].split()))
     rest = re.sub(r"\[[A-Z_]+ [^\]]+\]", "#", out)
-    assert rest == "# (#, #) met # and #. # left."
-    assert pii.redact(text, found, maker) == out != pii.redact(text, found, pii.Surrogates(b"other"))
+    assert rest == "# (#, #) met # and #. # left, said # and #."
+    assert pii.redact(text, found, maker) == (out, made) != pii.redact(text, found, pii.Surrogates(b"other"))
+    with pytest.raises(ValueError):
+        pii.Surrogates(b"")
 
 
 def test_surrogates_keep_distinct_people_apart():
     maker = pii.Surrogates(b"k")
-    made = {maker.make(f"Person{i} Family{i}", "name") for i in range(2000)}
-    assert len(made) == 2000
-    phone = maker.make("+44 (0)20 7946-0481", "phone")
+    page = pii.Page(maker, {})
+    made = {page.replace(f"Person{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]} Family{'abcdefghij'[i // 100]}{'klmnopqrst'[i % 10]}", "name") for i in range(1000)}
+    assert len(made) == 1000
+    phone = maker.code("phone", "+44 (0)20 7946-0481")
     assert len(phone) == 19 and phone[0] == "+" and phone != "+44 (0)20 7946-0481"
 
 
+def test_surrogates_keep_gender_script_and_case():
+    page = pii.Page(pii.Surrogates(b"k"), {"ingrid": "f", "robert": "m", "andrea": "m"})
+    assert page.replace("Ingrid Holm", "name").split()[0].endswith("a") and not page.replace("Andrea Holm", "name").split()[0].endswith("a")
+    assert page.replace("Robert Holm", "name").split()[0][-1] not in "aeiou"
+    assert re.fullmatch("[А-Я][а-я]+ [А-Я][а-я]+", page.replace("Анна Петрова", "name")) and page.replace("ROBERT HOLM", "name").isupper()
+    assert page.replace("Mary-Ann Holm", "name").count("-") == 1 and re.fullmatch(r"[A-Z]\. [A-Z]\. \w+", page.replace("R. J. Holm", "name"))
+
+
 def test_names_are_learned(spark):
     rng = random.Random(1)
     givens, families = [f"{c}ra{d}" for c in "BCDF" for d in "nmk"], [f"{c}olm{d}" for c in "GHJK" for d in "er"]
     rows = [(i, f"Yesterday {rng.choice(givens)} {rng.choice(families)} met us in Port Selwick. The Mill was shut.") for i in range(200)] + [(999, None), (998, "")]
+    rows += [(1000 + i, f"Mrs {givens[0]} {families[0]} and Herr {givens[1]} {families[1]} left.") for i in range(3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    words = spark.createDataFrame([("en", "the"), ("en", "yesterday")], "lang string, word string")
-    given, family = pii.name_lexicon(docs, words)
-    assert given == {g.lower() for g in givens} and family == {f.lower() for f in families}
-    assert pii.entities(docs, words).where("kind = 'name'").count() == 200
-    assert pii.redacted(docs, words).where("doc_id >= 998").count() == 2
-    assert pii.entities(docs.limit(0), words).count() == 0
+    words = spark.createDataFrame([("en", "the"), ("en", "yesterday"), ("en", "mrs"), ("de", "herr")], "lang string, word string")
+    given, family = pii.name_tables(docs, words)
+    assert {r.w: r.g for r in given.collect()} == {g.lower(): {givens[0]: "f", givens[1]: "m"}.get(g) for g in givens}
+    assert {r.w for r in family.collect()} == {f.lower() for f in families}
+    out = pii.redacted(docs, words, "secret")
+    found = {tuple(r) for r in pii.entities(out).collect()}
+    assert len(found) == 206 and out.where("doc_id >= 998 and doc_id < 1000 and size(pieces) = 0").count() == 2
+    # more names than are sent to all tasks come by a join, with the same result
+    rows, shared = pii.with_names(docs, words, "doc_id", "text", most=3)
+    assert shared is None
+    got = {(r.doc_id, a, k) for r in rows.collect() for a, _, k in pii.find(r.text, *(lambda x: (x.given, x.family))(pii._lexicon_of(r.asDict(recursive=True), None)))}
+    assert got == {(x[0], x[1], x[3]) for x in found}
+    report = {r.kind: r for r in pii.coreference(pii.entities(out)).collect()}
+    assert report["name"].split_entities == report["name"].shared_surrogates == 0 and report["name"].mentions == 206
+    assert pii.redacted(docs.limit(0), words, "secret").count() == 0
