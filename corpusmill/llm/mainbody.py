@@ -16,7 +16,7 @@ import re
 from collections import deque
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -205,42 +205,63 @@ def label_page(blocks: list[dict]) -> list[bool]:
     return min_cut(cost, smoothness(blocks, cost))
 
 
-def _pages(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whole pages out of sorted batches; a page is held, not a batch of pages."""
+_ORDER = ("record_id", "idx", "text", "link_chars", "tag_path", "is_heading", "cf_class")
+_OUT = pa.schema([("record_id", pa.string()), ("idx", pa.int32()), ("main", pa.bool_())])
+
+
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole pages out of sorted batches; a page is held, not a batch of pages. A row with ``recurs`` says that the block
+    of its idx recurs; of several blocks of one idx the smallest by text and path counts."""
     rest: list[dict] = []
 
-    def done(page: list[dict]) -> pd.DataFrame:
+    def done(rows: list[dict]) -> list[dict]:
+        page: list[dict] = []
+        recurs = {r["idx"] for r in rows if r["recurs"]}
+        for r in rows:
+            if r["recurs"]:
+                continue
+            if page and page[-1]["idx"] == r["idx"]:
+                if ((r["text"] or ""), (r["tag_path"] or "")) < ((page[-1]["text"] or ""), (page[-1]["tag_path"] or "")):
+                    page[-1] = r
+            else:
+                page.append(r)
         for b in page:
             text = b["text"] or ""
+            b["recurs"] = b["idx"] in recurs
             b["text"] = clean(text if text.isascii() else restore_utf8(text)).strip()
             b["tag_path"] = (b["tag_path"] or "") + ("" if (b["tag_path"] or "").endswith(".") else ".")
-            b["link_chars"] = 0 if pd.isna(b["link_chars"]) else int(b["link_chars"])
-            b["is_heading"] = b["is_heading"] is not None and not pd.isna(b["is_heading"]) and bool(b["is_heading"])
-        return pd.DataFrame({"record_id": [b["record_id"] for b in page], "idx": [b["idx"] for b in page], "main": label_page(page)})
-
-    for frame in frames:
-        out = []
-        for row in frame.to_dict("records"):
-            if rest and rest[-1]["record_id"] != row["record_id"]:
-                out.append(done(rest))
-                rest = []
-            rest.append(row)
+            b["link_chars"] = b["link_chars"] or 0
+            b["is_heading"] = bool(b["is_heading"])
+        return [{"record_id": b["record_id"], "idx": b["idx"], "main": m} for b, m in zip(page, label_page(page))]
+
+    for batch in batches:
+        out: list[dict] = []
+        for at in range(0, batch.num_rows, 1000):
+            for row in batch.slice(at, 1000).to_pylist():
+                if rest and rest[-1]["record_id"] != row["record_id"]:
+                    out += done(rest)
+                    rest = []
+                rest.append(row)
         if out:
-            yield pd.concat(out, ignore_index=True)
+            yield pa.RecordBatch.from_pylist(out, schema=_OUT)
     if rest:
-        yield done(rest)
+        yield pa.RecordBatch.from_pylist(done(rest), schema=_OUT)
 
 
 def main_body(paragraphs: DataFrame, often: int = 5) -> DataFrame:
-    """(record_id, idx, main). A block whose wording ``often`` or more records have counts as recurring; its text is
-    counted by hash, combined before the shuffle."""
-    one = (
-        paragraphs.where("record_id is not null and idx is not null")
-        .groupBy("record_id", "idx")
-        .agg(*(F.min_by(F.col(c), F.struct(F.coalesce("text", F.lit("")), F.coalesce("tag_path", F.lit("")))).alias(c) for c in ("text", "link_chars", "tag_path", "is_heading", "cf_class")))
-    )
-    one = materialize(one.withColumn("key", F.xxhash64(line_key(F.coalesce("text", F.lit(""))))), "blocks")
-    count = one.groupBy("key", "record_id").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= often)
-    rows = one.join(count.select("key", F.lit(True).alias("recurs")), "key", "left").drop("key").withColumn("recurs", F.coalesce("recurs", F.lit(False)))
-    ordered = rows.repartition("record_id").sortWithinPartitions("record_id", "idx")
-    return ordered.mapInPandas(_pages, "record_id string, idx int, main boolean")
+    """(record_id, idx, main). A block whose wording ``often`` or more records have counts as recurring.
+
+    Texts are shuffled once, to bring the blocks of a page together. Wordings are counted by hash: what recurs comes as
+    further narrow rows of the page, so no text goes through a join or an aggregation.
+    """
+    rows = paragraphs.where("record_id is not null and idx is not null").select("record_id", F.col("idx").cast("int").alias("idx"), "text", F.col("link_chars").cast("int").alias("link_chars"), "tag_path", "is_heading", "cf_class")
+    # of repeated rows the one that counts is the smallest by text, as in a page; combined before the shuffle
+    key = F.xxhash64(line_key(F.coalesce("text", F.lit(""))))
+    narrow = materialize(rows.select("record_id", "idx", key.alias("key")), "block-keys")
+    once = narrow.groupBy("key", F.xxhash64("record_id").alias("rec")).agg(F.lit(1).alias("one"))
+    often_keys = once.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= often).select("key")
+    marks = narrow.join(often_keys, "key", "left_semi").select("record_id", "idx", F.lit(True).alias("recurs"))
+    none = {c: F.lit(None).cast(rows.schema[c].dataType) for c in _ORDER[2:]}
+    both = rows.withColumn("recurs", F.lit(False)).unionByName(marks.select("record_id", "idx", *(v.alias(c) for c, v in none.items()), "recurs"))
+    ordered = both.repartition("record_id").sortWithinPartitions("record_id", "idx")
+    return ordered.mapInArrow(_pages, "record_id string, idx int, main boolean")
