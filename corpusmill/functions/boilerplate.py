@@ -326,10 +326,10 @@ def _rescue_headings(paragraphs: list[Paragraph], kinds: list[str], picked: list
             gone += paragraphs[j].length
 
 
-def context_sensitive(paragraphs: list[Paragraph], free: list[str], t: Thresholds = Thresholds()) -> list[str]:
-    """The final classes from the context-free ones."""
+def context_sensitive(paragraphs: list[Paragraph], free: list[str], t: Thresholds = Thresholds(), headings: list[bool] | None = None) -> list[str]:
+    """The final classes from the context-free ones; ``headings`` where it is known otherwise what is a heading."""
     kinds = list(free)
-    heads = [i for i, p in enumerate(paragraphs) if p.is_heading]
+    heads = [i for i, p in enumerate(paragraphs) if (headings[i] if headings is not None else p.is_heading)]
     _rescue_headings(paragraphs, kinds, [i for i in heads if kinds[i] == SHORT], NEARGOOD, t.max_heading_distance)
     near = _Neighbours(kinds, t.reach)
     settled = {}
@@ -424,3 +424,53 @@ def paragraphs_of(pages: DataFrame, id: str = "record_id", page: str = "html", s
 
     schema = f"`{id}` {kind}, idx int, text string, link_chars int, tag_path string, is_heading boolean, cf_class string, class string"
     return pages.select(F.col(id).alias("id"), F.col(page).alias("page")).mapInPandas(run, schema)
+
+
+def pages_of(frames: Iterator[pd.DataFrame]) -> Iterator[list[dict]]:
+    """The blocks of each page out of frames that are sorted by record_id and idx; of repeated ones the first."""
+    page: list[dict] = []
+    for frame in frames:
+        for row in frame.to_dict("records"):
+            if page and page[-1]["record_id"] != row["record_id"]:
+                yield page
+                page = []
+            if not page or page[-1]["idx"] != row["idx"]:
+                page.append(row)
+    if page:
+        yield page
+
+
+def classify_blocks(blocks: DataFrame, stop: frozenset[str] | None = None, t: Thresholds = Thresholds()) -> DataFrame:
+    """(record_id, idx, text, cf_class, class) of pages that are given block by block; class is good, bad or as good as it
+    gets. Repeated blocks of one idx count once; null texts are empty; rows without record_id or idx are left out."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for page in pages_of(frames):
+            found = []
+            for b in page:
+                p = Paragraph()
+                p.text, p.tag_path = b["text"] or "", b["tag_path"] or ""
+                p.link_chars = 0 if pd.isna(b["link_chars"]) else int(b["link_chars"])
+                p.cf_class = context_free(p, stop, t)
+                found.append(p)
+            heads = [b["is_heading"] is not None and not pd.isna(b["is_heading"]) and bool(b["is_heading"]) for b in page]
+            kinds = context_sensitive(found, [p.cf_class for p in found], t, heads)
+            yield pd.DataFrame({"record_id": [b["record_id"] for b in page], "idx": [b["idx"] for b in page], "text": [b["text"] for b in page], "cf_class": [p.cf_class for p in found], "class": kinds})
+
+    rows = blocks.where("record_id is not null and idx is not null").select("record_id", "idx", "text", "link_chars", "tag_path", "is_heading")
+    # one shuffle brings the blocks of a page together, sorted on disk; a task holds one page
+    ordered = rows.repartition("record_id").sortWithinPartitions("record_id", "idx", "text", "tag_path")
+    return ordered.mapInPandas(run, "record_id string, idx int, text string, cf_class string, class string")
+
+
+def text_of_blocks(classes: DataFrame) -> DataFrame:
+    """(record_id, text): the good blocks of each page in order, one a line; pages without any have no row."""
+
+    @F.pandas_udf(StringType())
+    def plain(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda x: html.unescape(normalized(x or "")).strip(_EDGE))
+
+    good = classes.where(F.col("class") == GOOD).select("record_id", "idx", plain(F.col("text")).alias("t"))
+    rows = good.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("idx", "t"))).alias("b"))  # the blocks of a page
+    joined = F.array_join(F.transform("b", lambda x: x["t"]), "\n")
+    return rows.select("record_id", F.regexp_replace(joined, r"^[\x00-\x20]+|[\x00-\x20]+$", "").alias("text"))

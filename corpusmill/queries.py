@@ -93,7 +93,7 @@ def ids_to_delete(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.ids_to_delete(materialize(_docs(spark, sf), "prints"))
 
 
-@query()
+@query(f"WITH RECURSIVE {_HASHES}, p AS (SELECT DISTINCT simhash FROM f), e AS (SELECT a.simhash AS x, b.simhash AS y FROM p a JOIN p b ON a.simhash <> b.simhash AND bit_count(xor(a.simhash, b.simhash)) <= 3), r AS (SELECT simhash AS x, simhash AS y FROM p UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x) SELECT x AS simhash, min(y) AS component FROM r GROUP BY x")
 def near_components(spark: SparkSession, sf: str) -> DataFrame:
     prints = materialize(_docs(spark, sf).select("simhash").distinct(), "prints")
     return dedup.connected(prints, dedup.near_fingerprints(prints))
@@ -140,7 +140,9 @@ def page_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "warc_raw").select("source_path", "record_no", text.cc_license(page).alias("license"))
 
 
-@query()
+@query(r"""WITH t AS (SELECT source_path, record_no, content, list_transform(regexp_extract_all(CAST(content AS VARCHAR), '<(?:[aA]|meta)\s[^<>]*'), lambda t: regexp_extract_all(t, '(?:href|HREF|content)\s*=\s*(?:["'']|&quot;)?\s*https?://creativecommons\.org/licenses/(by|by-sa|by-nd|by-nc|by-nc-sa|by-nc-nd|publicdomain)/', 1)) AS k FROM warc_raw),
+l AS (SELECT source_path, record_no, list_distinct(list_transform(list_filter(k, lambda x: len(x) > 0), lambda x: x[-1])) AS k FROM t)
+SELECT source_path, record_no, CASE WHEN k IS NULL THEN NULL WHEN len(k) = 0 THEN 'none' WHEN len(k) = 1 THEN k[1] ELSE 'cc-unspecified' END AS license FROM l""")
 def tag_licenses(spark: SparkSession, sf: str) -> DataFrame:
     page = F.decode("content", "ISO-8859-1")
     return table(spark, sf, "warc_raw").select("source_path", "record_no", text.cc_license_in_tags(page).alias("license"))
@@ -158,7 +160,12 @@ def distinct_uris(spark: SparkSession, sf: str) -> DataFrame:
     return stats.uris(table(spark, sf, "corpus"))
 
 
-@query()
+_HOST_OF = r"""lower(regexp_extract(target_uri, '^https?://([A-Za-z0-9.-]+)(?:[:/?#].*)?$', 1))"""
+_GOOD_URI = r"""regexp_matches(target_uri, '^https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?:[/?#][A-Za-z0-9._~:/?#@!$&''()*+,;=%-]*)?$')"""
+
+
+@query(rf"""WITH h AS (SELECT regexp_replace({_HOST_OF}, '\.$', '') AS host FROM corpus WHERE {_GOOD_URI}), n AS (SELECT string_split(host, '.') AS l FROM h WHERE regexp_matches(host, '^([a-z0-9]([a-z0-9_-]*[a-z0-9])?\.)*[a-z]([a-z0-9-]*[a-z0-9])?$')),
+d AS (SELECT array_to_string(CASE WHEN len(l) > 1 AND l[-2] || '.' || l[-1] IN ({', '.join(f"'{x}'" for x in domains.TWO_LABEL_SUFFIXES)}) THEN l[-3:] ELSE l[-2:] END, '.') AS domain FROM n) SELECT domain, count(*) AS n FROM d GROUP BY domain""")
 def domain_count(spark: SparkSession, sf: str) -> DataFrame:
     return stats.domain_count(table(spark, sf, "corpus"))
 
@@ -207,10 +214,29 @@ def most_frequent_words(spark: SparkSession, sf: str) -> DataFrame:
     return stats.top(stats.vocabulary(table(spark, sf, "documents")), 100)
 
 
-@query()
+_TAGGED = _VOCABULARY.replace("lower(line)", r"lower(regexp_replace(line, '/[^ \t\n\v\f\r]+[ \t\n\v\f\r]', ' ', 'g'))").replace("{0}", "{0}")
+_TAG_TEXT = r"(SELECT regexp_replace(text, '(\p{L}+)([ \t\n\v\f\r])', '\1/nn\2', 'g') AS text FROM documents)"
+
+
+def _tag_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with a tag after each word, as a tagged corpus has them."""
+    return table(spark, sf, "documents").select(F.regexp_replace("text", r"(\p{L}+)(\s)", "$1/nn$2").alias("text"))
+
+
+@query(_TAGGED.replace("FROM documents", "FROM " + _TAG_TEXT) + " SELECT token, n FROM c")
 def tagged_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    tagged = table(spark, sf, "documents").select(F.regexp_replace("text", r"(\p{L}+)(\s)", "$1/nn$2").alias("text"))
-    return stats.vocabulary(tagged, form="tagged")
+    return stats.vocabulary(_tag_text(spark, sf), form="tagged")
+
+
+@query(_TAGGED.replace("FROM documents", "FROM " + _TAG_TEXT).replace("FROM l)", "FROM l WHERE NOT starts_with(line, '<'))") + " SELECT token, n FROM c")
+def wiki_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.vocabulary(_tag_text(spark, sf), form="wiki")
+
+
+@query("SELECT doc_id, replace(replace(text, chr(10), '<br>' || chr(10)), '<br>', '') AS text FROM documents")
+def texts_without_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit("<br>\n")).alias("text"))
+    return docs.select("doc_id", text.remove_breaks(F.col("text")).alias("text"))
 
 
 @query(rf"WITH l AS (SELECT {_LINES.format('text')} AS line FROM documents), t AS (SELECT unnest(regexp_extract_all(line, '.{{5}}[0-9]{{2,}} [a-z]+')) AS hit FROM l) SELECT hit, count(*) AS n FROM t GROUP BY hit")
@@ -241,7 +267,7 @@ def license_table(spark: SparkSession, sf: str) -> DataFrame:
     return stats.license_table(stats.languages_by_license(table(spark, sf, "corpus")), [*text.LICENSES, text.NO_LICENSE, text.SEVERAL])
 
 
-@query()
+@query("WITH w AS (" + SQL["license_table"] + ") SELECT NULL AS at, ';" + "".join(f"docs {x};" for x in sorted([*text.LICENSES, text.NO_LICENSE, text.SEVERAL])) + "".join(f"tokens {x};" for x in sorted([*text.LICENSES, text.NO_LICENSE, text.SEVERAL])) + "' AS value UNION ALL SELECT language, language || ';' || " + " || ".join(f'"{kind} {x}" || \';\'' for kind in ("docs", "tokens") for x in sorted([*text.LICENSES, text.NO_LICENSE, text.SEVERAL])) + " FROM w WHERE language IS NOT NULL")
 def license_table_lines(spark: SparkSession, sf: str) -> DataFrame:
     wide = license_table(spark, sf).where("language is not null")
     return texts.semicolon_table(wide, "language", [c for c in wide.columns if c != "language"])
@@ -282,14 +308,9 @@ def vocabulary_correlation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH p AS (SELECT record_id, idx, length(text) AS n, link_chars::FLOAT / nullif(length(text), 0)::FLOAT AS density, link_chars, text FROM paragraphs)
-SELECT record_id, idx, CASE WHEN coalesce(density, 0)::DOUBLE > 0.2::DOUBLE OR instr(text, '\\xa9') > 0 OR instr(text, '&copy') > 0 THEN 'bad' WHEN n < 70 THEN CASE WHEN link_chars > 0 OR n = 0 THEN 'bad' ELSE 'short' END WHEN n > 200 THEN 'good' ELSE 'neargood' END AS cf_class FROM p""".replace("\\\\", "\\"))
+SELECT record_id, idx, CASE WHEN coalesce(density, 0)::DOUBLE > 0.2::DOUBLE OR instr(text, '\\xa9') > 0 OR instr(text, '&copy') > 0 THEN 'bad' WHEN n < 70 THEN CASE WHEN link_chars > 0 OR n = 0 THEN 'bad' ELSE 'short' END WHEN n > 200 THEN 'good' ELSE 'neargood' END AS cf_class FROM (SELECT DISTINCT * FROM p)""".replace("\\\\", "\\"))
 def context_free_classes(spark: SparkSession, sf: str) -> DataFrame:
-    p = table(spark, sf, "paragraphs")
-    n = F.length("text")
-    density = F.coalesce((F.col("link_chars").cast("float") / F.nullif(n, F.lit(0)).cast("float")).cast("float"), F.lit(0.0)).cast("double")
-    marked = F.contains("text", F.lit("\\xa9")) | F.contains("text", F.lit("&copy"))
-    short = F.when((F.col("link_chars") > 0) | (n == 0), "bad").otherwise("short")
-    return p.select("record_id", "idx", F.when((density > 0.2) | marked, "bad").when(n < 70, short).when(n > 200, "good").otherwise("neargood").alias("cf_class"))
+    return boilerplate.classify_blocks(table(spark, sf, "paragraphs")).select("record_id", "idx", "cf_class")
 
 
 def _html(spark: SparkSession, sf: str) -> DataFrame:
