@@ -115,7 +115,7 @@ def lines_of(text: str | None) -> list[tuple[int, bytes, int]]:
     out = []
     for no, (raw, line) in enumerate(zip(text.split("\n"), plain), 1):
         line = line.strip()
-        if len(line) >= 4 and not notice(raw.strip().lower()):
+        if line and not notice(raw.strip().lower()):
             out.append((no, f" {line} ".encode(), len(line) - line.count(" ")))
     return out
 
@@ -123,7 +123,7 @@ def lines_of(text: str | None) -> list[tuple[int, bytes, int]]:
 def confirmed(lines: list[tuple[int, bytes, int]], lang: str, c: Classifier, ratios: dict[str, float]) -> bool:
     """Whether the dictionary of a language packs every line of a page as well as it packs its own language."""
     limit = ratios.get(lang, 0.0)
-    return bool(lines) and all(c.size(data, lang) <= limit * len(data) + 8 for _, data, n in lines if n >= 12)
+    return bool(lines) and all(c.size(data, lang) <= limit * len(data) + 8 for _, data, _ in lines)
 
 
 def classify_page(record_id: str, text: str | None, c: Classifier, ratios: dict[str, float], lines: list[tuple[int, bytes, int]] | None = None) -> list[dict]:
@@ -135,7 +135,7 @@ def classify_page(record_id: str, text: str | None, c: Classifier, ratios: dict[
     lang, confidence = c.best_of([d for _, d, _ in lines])
     if lang is None and len(lines) > 1:
         # two languages in nearly equal parts: the one that most of the letters stand in, line by line
-        each = [(c.best(d, 0.05), n) for _, d, n in lines if n >= 12]
+        each = [(c.best(d, 0.05), n) for _, d, n in lines]
         sums = {k: sum(n for (x, _), n in each if x == k) for k in {x for (x, _), _ in each if x is not None}}
         lang = max(sums, key=lambda k: (sums[k], k)) if sums and max(sums.values()) >= 0.5 * total else None
     if lang is None:
@@ -143,8 +143,6 @@ def classify_page(record_id: str, text: str | None, c: Classifier, ratios: dict[
     out = []
     by = {}
     for no, data, n in lines:
-        if n < 12:
-            continue
         own = c.size(data, lang)
         if len(lines) == 1 or own <= ratios.get(lang, 0.5) * len(data) + 8:
             by[lang] = by.get(lang, 0) + n
@@ -152,8 +150,7 @@ def classify_page(record_id: str, text: str | None, c: Classifier, ratios: dict[
         other, sure = c.best(data, 0.05)
         if other is not None:
             by[other] = by.get(other, 0) + n
-            if n >= 20:
-                out.append({"record_id": record_id, "line_no": no, "lang": other, "confidence": sure, "chars": n})
+            out.append({"record_id": record_id, "line_no": no, "lang": other, "confidence": sure, "chars": n})
         else:
             by[lang] = by.get(lang, 0) + n
     most = max(by.items(), key=lambda x: (x[1], x[0]))[0] if by else lang
@@ -161,10 +158,9 @@ def classify_page(record_id: str, text: str | None, c: Classifier, ratios: dict[
         # the sum of all lines leans to another language than most of the characters: judge every line anew
         out = []
         for no, data, n in lines:
-            if n >= 20:
-                other, sure = c.best(data, 0.05)
-                if other is not None and other != most:
-                    out.append({"record_id": record_id, "line_no": no, "lang": other, "confidence": sure, "chars": n})
+            other, sure = c.best(data, 0.05)
+            if other is not None and other != most:
+                out.append({"record_id": record_id, "line_no": no, "lang": other, "confidence": sure, "chars": n})
         lang = most
     out = [x for x in out if x["lang"] != lang]
     return [{"record_id": record_id, "line_no": 0, "lang": lang, "confidence": confidence, "chars": total}, *out]

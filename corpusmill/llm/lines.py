@@ -52,8 +52,8 @@ def _any_of(words: set[str]) -> str:
 
 
 _NAMES = {m for v in MONTHS.values() for m in v.split()}
-#: The first letter is looked at before what stands in front of it, as most places fail by it.
-_MONTH = rf"(?=[{''.join(sorted({m[0] for m in _NAMES}))}])(?<!\p{{L}})(?:{_any_of(_NAMES)})(?!\p{{L}})\.?"
+#: What stands in front of a month is taken in and given back, which is cheaper than to look behind at every place.
+_MONTH = rf"(^|[^\p{{L}}])(?:{_any_of(_NAMES)})(?!\p{{L}})"
 
 #: Wording around a slot that holds a name, a site or a section, as lower-case text with numbers already written #.
 _SLOTS = [
@@ -72,28 +72,25 @@ _SLOT_START = r"^ ?(?:by|von|par|por|di|door|da|aut|автор|posted|published|
 _SLOT_INSIDE = ("registered office of", "opinion of", "opinions of", "views of", "sitz der", "siège de")
 
 
-def line_key(line: Column) -> Column:
-    """The fixed wording of a line: case, spacing, invisible characters, separators and closing marks do not count,
-    and what is filled in (numbers, dates, times, names, sites, sections) is one mark. Null stays null."""
+def keyed(rows: DataFrame, line: str = "line", name: str = "key") -> DataFrame:
+    """Adds the fixed wording of a line: case, spacing, invisible characters, separators and closing marks do not count,
+    and what is filled in (numbers, dates, times, names, sites, sections) is one mark. Null stays null.
+
+    A DataFrame step, as the text is made in stages that are used more than once: each is computed once a line.
+    """
     t = F.translate(F.lower(line), BLANKS + INVISIBLE, " " * len(BLANKS))
-    numbered = F.regexp_replace(t, r"\p{Nd}+", "#")
-    t = F.regexp_replace(F.regexp_replace(numbered, _MONTH, "#"), r" {2,}", " ")
-
-    def slots(x: Column) -> Column:
-        # the wordings are tried only where their beginning or a part of them is there, whatever the length of the line
-        tried = x
-        for pattern, by in _SLOTS:
-            tried = F.regexp_replace(tried, pattern, by)
-        inside = F.lit(False)
-        for part in _SLOT_INSIDE:
-            inside = inside | F.contains(x, F.lit(part))
-        return F.when(F.regexp_like(F.substring(x, 1, 12), F.lit(_SLOT_START)) | inside, tried).otherwise(x)
-
-    # a lambda's variable is computed once, so no step is repeated in the branches
-    t = F.element_at(F.transform(F.array(t), slots), 1)
-    # single blanks between words stay as they are, so only what has other characters is replaced
-    t = F.trim(F.regexp_replace(t, r" *(?:[^\p{L}\p{M}\p{Nd}#~ ]+ *)+", " "))
-    return F.regexp_replace(t, r"#(?: (?:(?:de|do|di|st|nd|rd|th) )?#)+", "#")
+    t = F.regexp_replace(F.regexp_replace(t, r"\p{Nd}+", "#"), _MONTH, "$1#")
+    rows = rows.withColumn(name, F.regexp_replace(t, r" {2,}", " "))
+    # the wordings are tried only where their beginning or a part of them is there, whatever the length of the line
+    tried = F.col(name)
+    for pattern, by in _SLOTS:
+        tried = F.regexp_replace(tried, pattern, by)
+    inside = F.lit(False)
+    for part in _SLOT_INSIDE:
+        inside = inside | F.contains(F.col(name), F.lit(part))
+    rows = rows.withColumn(name, F.when(F.regexp_like(F.substring(name, 1, 12), F.lit(_SLOT_START)) | inside, tried).otherwise(F.col(name)))
+    t = F.trim(F.regexp_replace(name, r"[^\p{L}\p{M}\p{Nd}#~]+", " "))
+    return rows.withColumn(name, F.regexp_replace(t, r"#(?: (?:(?:de|do|di|st|nd|rd|th) )?#)+", "#"))
 
 
 def line_table(docs: DataFrame, source: str = "source_path", record: str = "record_id", text: str = "text", part: Column | None = None) -> DataFrame:
@@ -102,9 +99,9 @@ def line_table(docs: DataFrame, source: str = "source_path", record: str = "reco
     lines = docs.where(F.col(record).isNotNull()).select(
         F.col(source).alias("source"), F.col(record).alias("record_id"), (F.lit("0") if part is None else part).alias("part"), F.posexplode(F.split(F.col(text), "\n")).alias("at", "line")
     )
-    lines = lines.where(F.regexp_like("line", F.lit(r"[^\s\p{Z}\p{Cf}]")))
+    lines = keyed(lines.where(F.regexp_like("line", F.lit(r"[^\s\p{Z}\p{Cf}]"))))
     return lines.select(
-        F.xxhash64("source").alias("source"), F.xxhash64("record_id").alias("rec"), "record_id", (F.col("at") + 1).cast("int").alias("line_no"), F.xxhash64(line_key(F.col("line"))).alias("key"), "part"
+        F.xxhash64("source").alias("source"), F.xxhash64("record_id").alias("rec"), "record_id", (F.col("at") + 1).cast("int").alias("line_no"), F.xxhash64("key").alias("key"), "part"
     )
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.codepages import restore_utf8
-from corpusmill.llm.lines import line_key
+from corpusmill.llm.lines import keyed
 from corpusmill.llm.textkit import clean, notice
 from corpusmill.plans.shared import materialize
 
@@ -255,9 +255,8 @@ def main_body(paragraphs: DataFrame, often: int = 5) -> DataFrame:
     further narrow rows of the page, so no text goes through a join or an aggregation.
     """
     rows = paragraphs.where("record_id is not null and idx is not null").select("record_id", F.col("idx").cast("int").alias("idx"), "text", F.col("link_chars").cast("int").alias("link_chars"), "tag_path", "is_heading", "cf_class")
-    # of repeated rows the one that counts is the smallest by text, as in a page; combined before the shuffle
-    key = F.xxhash64(line_key(F.coalesce("text", F.lit(""))))
-    narrow = materialize(rows.select("record_id", "idx", key.alias("key")), "block-keys")
+    wordings = keyed(rows.select("record_id", "idx", F.coalesce("text", F.lit("")).alias("line")))
+    narrow = materialize(wordings.select("record_id", "idx", F.xxhash64("key").alias("key")), "block-keys")
     once = narrow.groupBy("key", F.xxhash64("record_id").alias("rec")).agg(F.lit(1).alias("one"))
     often_keys = once.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= often).select("key")
     marks = narrow.join(often_keys, "key", "left_semi").select("record_id", "idx", F.lit(True).alias("recurs"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.lines import delta, line_key, over
+from corpusmill.llm.lines import delta, keyed, over
 from corpusmill.llm.pages import PROSE, Seen, unsuspicious
 from corpusmill.llm.textkit import Lexicon, batches, clean, common_words
 from corpusmill.plans.shared import materialize
@@ -69,10 +69,10 @@ def residue(corpus: DataFrame, words_table: DataFrame, among: DataFrame | None =
     ``among``: the rows of the corpus to be judged, where they are not all; the lines of every record are counted.
     """
     found = suspects(corpus if among is None else among, words_table)
-    found = found.withColumn("key", F.xxhash64(line_key(F.col("line")))).withColumn("chars", F.length(F.trim("line"))).withColumn("source", F.xxhash64("host")).drop("line", "host")
+    found = keyed(found).withColumn("key", F.xxhash64("key")).withColumn("chars", F.length(F.trim("line"))).withColumn("source", F.xxhash64("host")).drop("line", "host")
     found = materialize(found, "residue").dropDuplicates(["record_id", "line_no"])
     every = corpus.where("record_id is not null").select(F.xxhash64(host_of()).alias("source"), F.xxhash64("record_id").alias("rec"), F.explode(F.split("text", "\n")).alias("line"))
-    here, wide = recurrent(every.select("source", "rec", F.xxhash64(line_key(F.col("line"))).alias("key")), least, share, sites)
+    here, wide = recurrent(keyed(every).select("source", "rec", F.xxhash64("key").alias("key")), least, share, sites)
     left = found.join(here.withColumn("on_host", F.lit(True)), ["source", "key"], "left").join(wide.withColumn("on_hosts", F.lit(True)), "key", "left")
     taken = F.coalesce("on_host", F.lit(False)) | F.coalesce("on_hosts", F.lit(False))
     sums = left.groupBy("record_id").agg(

@@ -20,7 +20,7 @@ def corpus(spark, rows):
 
 
 def key(spark, line):
-    return spark.createDataFrame([(line,)], "x string").select(lines.line_key(F.col("x")).alias("k")).first()["k"]
+    return lines.keyed(spark.createDataFrame([(line,)], "x string"), "x", "k").first()["k"]
 
 
 @pytest.mark.parametrize(
