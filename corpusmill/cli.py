@@ -42,7 +42,11 @@ def corpus(source: str, target: str, samples: str | None, minimal: bool) -> None
     warc.register(spark)
     languages = Identifier.of(train(spark.read.parquet(samples))) if samples else None
     options = pipeline.Options(minimal_html=minimal)
-    pipeline.write_parquet(pipeline.run_all(spark.read.format("warc").option("mode", "PERMISSIVE").load(source), languages, options), target, options)
+    unreadable = spark.sparkContext.accumulator(0)
+    raw = spark.read.format("warc").option("mode", "PERMISSIVE").load(source)
+    broken = raw.where("warc_type = 'broken'").count()
+    pipeline.write_parquet(pipeline.run_all(raw.where("warc_type <> 'broken' or warc_type is null"), languages, options, unreadable), target, options)
+    print(f"files cut at a malformed record: {broken}; pages that could not be read: {unreadable.value}")
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -76,8 +76,10 @@ class Identifier:
 
     @classmethod
     def of(cls, profiles: DataFrame, most: int = 300, **options) -> Identifier:
-        """From a profile table; at most ``most`` languages and 200,000 n-grams of each go to the driver."""
-        top = profiles.where(F.col("count") > 0).limit(most * 200_000).collect()
+        """From a profile table, which goes to the driver; more than ``most`` languages with 200,000 n-grams each are refused."""
+        top = profiles.where(F.col("count") > 0).limit(most * 200_000 + 1).collect()
+        if len(top) > most * 200_000:
+            raise ValueError("the profiles have too many n-grams; train on fewer samples")
         out: dict[str, dict[str, int]] = {}
         for r in top:
             out.setdefault(r["lang"], {})[r["ngram"]] = r["count"]

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -130,10 +131,22 @@ def _beta(x: float, a: float, b: float) -> float:
     return front * (total - 1)
 
 
-def vocabulary_correlation(gold: DataFrame, other: DataFrame, n: int) -> DataFrame:
-    """(words, rho): Spearman's correlation of the ranks of the ``n`` most frequent words of ``gold`` with their ranks in ``other``.
+def _p_value(rho: Column, n: Column) -> Column:
+    """``student_p`` for a few rows: it needs the incomplete beta function, which the JVM functions lack."""
 
-    Words that ``other`` lacks share the last rank. Ranks in ``other`` are by its counts over the whole vocabulary; equal ranks are averaged.
+    @F.pandas_udf("double")
+    def run(r: pd.Series, k: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(x) else student_p(float(x), int(m)) for x, m in zip(r, k)], dtype="float64")
+
+    return run(rho, n)
+
+
+def vocabulary_correlation(gold: DataFrame, other: DataFrame, n: int, strict: bool = True) -> DataFrame:
+    """(words, rho, p): Spearman's correlation of the ranks of the ``n`` most frequent words of ``gold`` with their ranks in
+    ``other``, and its two-sided p-value.
+
+    Words that ``other`` lacks share the last rank. Ranks in ``other`` are by its counts over the whole vocabulary; equal ranks
+    are averaged. A vocabulary of fewer than ``n`` words is an error, or gives nulls where not ``strict``.
     """
     best = ranks(gold, n)
     # the rank of a word in the other vocabulary orders just as its count does, so counts are ranked among these words only
@@ -142,5 +155,22 @@ def vocabulary_correlation(gold: DataFrame, other: DataFrame, n: int) -> DataFra
     x = both.withColumn("x", F.col("rank") + 1.0).withColumn("low", F.rank().over(by))
     y = x.withColumn("y", F.col("low") + (F.count("*").over(W.partitionBy("low")) - 1) / 2.0)
     out = y.agg(F.count("*").alias("words"), F.corr("x", "y").alias("rho"))
-    short = F.raise_error(F.format_string("the gold vocabulary has only %d words", F.col("words"))).cast("double")
-    return out.select("words", F.when(F.col("words") < n, short).otherwise(F.col("rho")).alias("rho"))
+    few = F.col("words") < n
+    short = F.raise_error(F.format_string("the gold vocabulary has only %d words", F.col("words"))).cast("double") if strict else F.lit(None).cast("double")
+    out = out.select("words", F.when(few, short).otherwise(F.col("rho")).alias("rho"))
+    return out.withColumn("p", _p_value(F.col("rho"), F.col("words")))
+
+
+def vocabulary_correlations(vocabularies: dict[str, DataFrame], sizes: tuple[int, ...] = (100, 1000, 10_000)) -> DataFrame:
+    """(gold, other, top, words, rho, p) for all ordered pairs of vocabularies and all sizes; a handful of corpora, so a
+    handful of plans. Where a vocabulary is too small for a size, rho and p are null."""
+    out = None
+    for gold, a in vocabularies.items():
+        for other, b in vocabularies.items():
+            if gold != other:
+                for n in sizes:
+                    one = vocabulary_correlation(a, b, n, strict=False).select(F.lit(gold).alias("gold"), F.lit(other).alias("other"), F.lit(n).alias("top"), "words", "rho", "p")
+                    out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise ValueError("two vocabularies are needed")
+    return out

@@ -8,6 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import Accumulator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +31,9 @@ def pages(records: DataFrame) -> DataFrame:
     return records.where(http.is_page(F.col("content_type"), F.col("content_length"), F.col("content")))
 
 
-def clean(records: DataFrame, languages: Identifier | None = None, options: Options = Options()) -> DataFrame:
-    """Phase 1: pages with licence, text, language and fingerprint; pages without text are left out.
+def clean(records: DataFrame, languages: Identifier | None = None, options: Options = Options(), unreadable: Accumulator | None = None) -> DataFrame:
+    """Phase 1: pages with licence, text, language and fingerprint; pages without text are left out, and those that can't
+    be read are counted in ``unreadable``.
 
     The licence is looked for in the JVM on the whole page before boilerplate goes; all that needs Python is one
     Arrow pass, so a page is handed over once.
@@ -47,6 +49,8 @@ def clean(records: DataFrame, languages: Identifier | None = None, options: Opti
                     page = page_html(r["content"], r["charset"])
                     body = boilerplate.clean(page, minimal)
                 except (ValueError, RecursionError):
+                    if unreadable is not None:
+                        unreadable.add(1)
                     continue  # a page that can't be read has no text
                 if body:
                     plain = boilerplate.clean(page) if minimal else body
@@ -64,6 +68,20 @@ def clean(records: DataFrame, languages: Identifier | None = None, options: Opti
     )
 
 
+def corpus_of(records: DataFrame) -> DataFrame:
+    """The corpus behind written WARC records: what phase 1 found out stands in their headers, the text in their content.
+    Phases 2 to 5 start from it. Records without such headers have nulls."""
+
+    def found(name: str):
+        return F.try_element_at("headers", F.lit(name))
+
+    flags = {c: F.lower(found(h)) == "true" for c, h in (("no_boilerplate", "c4_noBoilerplate"), ("minimal_html", "c4_minimalHtml"))}
+    return records.select(
+        "record_id", "target_uri", F.coalesce(found("c4_originalLocation"), "source_path").alias("source_path"), "warc_date", "content_type", F.decode("content", "UTF-8").alias("text"), F.octet_length("content").alias("content_length"),
+        found("c4_license").alias("license"), found("c4_language").alias("language"), flags["no_boilerplate"].alias("no_boilerplate"), flags["minimal_html"].alias("minimal_html"), F.expr("try_cast(headers['c4_simhash'] as bigint)").alias("simhash"),
+    )
+
+
 def repair_fields(corpus: DataFrame) -> DataFrame:
     """Where a record has its origin in the field ``register``, as older files do, it is moved to source_path."""
     if "register" not in corpus.columns:
@@ -96,8 +114,8 @@ def drop_near(corpus: DataFrame, options: Options = Options()) -> DataFrame:
 
 
 def with_prefix(corpus: DataFrame) -> DataFrame:
-    """Phase 5: the output of each record by licence, language and kind of text."""
-    return corpus.withColumn("prefix", text.output_prefix(F.col("license"), F.col("language"), F.col("no_boilerplate"), F.col("minimal_html")))
+    """Phase 5: the output of each record by licence, language and kind of text; a record without one of them is an error."""
+    return require(corpus, "license", "language", "no_boilerplate", "minimal_html").withColumn("prefix", text.output_prefix(F.col("license"), F.col("language"), F.col("no_boilerplate"), F.col("minimal_html")))
 
 
 def spread(corpus: DataFrame, options: Options = Options()) -> DataFrame:
@@ -110,7 +128,7 @@ def write_parquet(corpus: DataFrame, path: str, options: Options = Options()) ->
 
 
 def write_warc(corpus: DataFrame, path: str, options: Options = Options(), **writer: str) -> None:
-    spread(with_prefix(repair_fields(corpus)), options).write.format("warc").mode("append").options(path=path, **writer).save()
+    spread(with_prefix(repair_fields(corpus)), options).sortWithinPartitions("prefix").write.format("warc").mode("append").options(path=path, **writer).save()
 
 
 def strip_warc(records: DataFrame, minimal_html: bool = False) -> DataFrame:
@@ -126,9 +144,9 @@ def strip_warc(records: DataFrame, minimal_html: bool = False) -> DataFrame:
     return found.mapInArrow(run, "record_id string, record_no bigint, text string")
 
 
-def run_all(records: DataFrame, languages: Identifier | None = None, options: Options = Options()) -> DataFrame:
+def run_all(records: DataFrame, languages: Identifier | None = None, options: Options = Options(), unreadable: Accumulator | None = None) -> DataFrame:
     """All phases. Phase 1 is written once, as its Python pass feeds three later reads."""
     from corpusmill.plans.shared import materialize
 
-    first = materialize(clean(records, languages, options), "phase1")
+    first = materialize(clean(records, languages, options, unreadable), "phase1")
     return drop_near(materialize(drop_exact(first), "phase2"), options)

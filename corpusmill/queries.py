@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill import surface
 from corpusmill.functions import boilerplate, domains, http, text
 from corpusmill.functions.charset import detect_charset, html_of
 from corpusmill.functions.language import Identifier, train
@@ -297,11 +298,33 @@ def document_lines_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return back.select(F.col("d.doc_id").cast("bigint").alias("doc_id"), F.col("d.doc_len").cast("bigint").alias("doc_len"), F.col("d.lang").alias("lang"))
 
 
-@query()
+_COUNTED = rf"(SELECT '{{name}}' AS v, token, count(*) AS n FROM (SELECT unnest(list_filter(regexp_split_to_array(regexp_replace(lower(line), '[_|$#<>^=\[\]*/\\,;.\-:()?!\"`''{{{{}}}}]', ' ', 'g'), '[ \t\n\v\f\r]+'), lambda x: x <> '')) AS token FROM (SELECT {_LINES.format('text')} AS line FROM {{source}})) GROUP BY token)"
+
+
+@query(
+    "WITH c AS (" + " UNION ALL ".join(_COUNTED.format(name=n, source=s) for n, s in (("documents", "documents"), ("corpus", "corpus"), ("english", "(SELECT text FROM documents WHERE lang = 'en')"))) + """),
+g AS (SELECT *, row_number() OVER (PARTITION BY v ORDER BY n DESC, token) AS x FROM c),
+s AS (SELECT unnest([100, 1000, 10000]) AS top),
+p AS (SELECT a.v AS gold, o.v AS other, s.top, a.token, a.x, m.n AS m FROM g a JOIN (SELECT DISTINCT v FROM c) o ON a.v <> o.v JOIN s ON a.x <= s.top LEFT JOIN c m ON m.v = o.v AND m.token = a.token),
+r AS (SELECT *, rank() OVER (PARTITION BY gold, other, top ORDER BY coalesce(m, -1) DESC, CASE WHEN m IS NOT NULL THEN token END) AS low FROM p),
+y AS (SELECT *, low + (count(*) OVER (PARTITION BY gold, other, top, low) - 1) / 2.0 AS y FROM r)
+SELECT gold, other, top, count(*) AS words, CASE WHEN count(*) < top THEN NULL ELSE round(corr(x, y), 9) END AS rho FROM y GROUP BY 1, 2, 3"""
+)
 def vocabulary_correlation(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
-    gold = materialize(stats.vocabulary(docs.where("lang = 'en'")), "vocabulary")
-    return stats.vocabulary_correlation(gold, stats.vocabulary(table(spark, sf, "corpus")), 100)
+    """All ordered pairs of three corpora, for the 100, 1,000 and 10,000 most frequent words."""
+    return _correlations(spark, sf).select("gold", "other", "top", "words", F.round("rho", 9).alias("rho"))
+
+
+@query()
+def vocabulary_correlation_p(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with p-values; SQL has no incomplete beta function."""
+    return _correlations(spark, sf)
+
+
+def _correlations(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("text", "lang")
+    counted = {"documents": docs, "corpus": table(spark, sf, "corpus").select("text"), "english": docs.where("lang = 'en'")}
+    return stats.vocabulary_correlations({k: materialize(stats.vocabulary(v), "vocabulary") for k, v in counted.items()})
 
 
 # --- paragraphs, pages, languages, the whole pipeline ----------------------------------------------------------------
@@ -372,21 +395,113 @@ def stripped_records(spark: SparkSession, sf: str) -> DataFrame:
 def warc_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Records written as segments into the shared folder and read again."""
     warc.register(spark)
-    path = os.path.join(shared_dir(spark).removeprefix("file://").removeprefix("file:"), f"warc-{uuid.uuid4().hex}")
+    path = _folder(spark, "warc")
     table(spark, sf, "warc_raw").drop("content_length").write.format("warc").mode("append").options(path=path, segmentSize="1000000").save()
     back = spark.read.format("warc").load(path)
     return back.select("record_id", "warc_type", "warc_date", "content_type", "target_uri", F.col("content_length").cast("bigint"), F.md5("content").alias("digest"))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, without a scheme, as the WARC format opens files by path."""
+    return os.path.join(shared_dir(spark).removeprefix("file://").removeprefix("file:"), f"{name}-{uuid.uuid4().hex}")
+
+
+def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    schema = table(spark, sf, name).schema
+    if os.path.isdir(f"{sf}/{name}.parquet"):
+        return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parquet")
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
+def _corpus_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return _stream(spark, sf, "corpus")
+
+
+_FOUND = "language IS NOT NULL AND license IS NOT NULL AND language <> '' AND license <> '' AND no_boilerplate IS NOT NULL AND minimal_html IS NOT NULL AND record_id IS NOT NULL"
+
+
+@query(f"SELECT record_id, target_uri, source_path, license, language, no_boilerplate, minimal_html, simhash, octet_length(encode(text)) AS content_length, md5(text) AS digest FROM corpus WHERE {_FOUND} AND text IS NOT NULL AND coalesce(NOT regexp_matches(language, '[\r\n]'), true)")
+def warc_corpus_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The corpus written as WARC by output prefix, as phase 1 leaves it, and read again with all that was found out."""
+    warc.register(spark)
+    whole = table(spark, sf, "corpus").where(f"{_FOUND} and text is not null and not regexp_like(language, '[\\\\r\\\\n]')")
+    path = _folder(spark, "warc-corpus")
+    pipeline.write_warc(whole.select("record_id", "target_uri", "source_path", "license", "language", "no_boilerplate", "minimal_html", "simhash", "text"), path)
+    back = pipeline.corpus_of(spark.read.format("warc").load(path))
+    return back.select("record_id", "target_uri", "source_path", "license", "language", "no_boilerplate", "minimal_html", "simhash", F.col("content_length").cast("bigint"), F.md5(F.encode("text", "UTF-8")).alias("digest"))
+
+
+@query(f"SELECT license, language, no_boilerplate, minimal_html, count(*) AS n, count(DISTINCT record_id) AS records FROM corpus WHERE {_FOUND} GROUP BY 1, 2, 3, 4")
+def parquet_by_output(spark: SparkSession, sf: str) -> DataFrame:
+    """The corpus written in a folder for each output, and read again from those."""
+    path = _folder(spark, "outputs")
+    pipeline.write_parquet(table(spark, sf, "corpus").where(_FOUND), path)
+    back = spark.read.schema("record_id string, license string, language string, no_boilerplate boolean, minimal_html boolean").parquet(path)
+    return back.groupBy("license", "language", "no_boilerplate", "minimal_html").agg(F.count("*").alias("n"), F.countDistinct("record_id").alias("records"))
+
+
+@query("SELECT source_path, record_no FROM warc_raw WHERE target_uri IN (SELECT target_uri FROM corpus WHERE license = 'by-sa')")
+def pages_of_a_list_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Addresses written as tab-separated lines, read again as a list, and the records that it names."""
+    path = _folder(spark, "urls")
+    texts.write_tsv(table(spark, sf, "corpus").where("license = 'by-sa' and target_uri is not null").select("record_id", "target_uri"), path, "gzip")
+    raw = table(spark, sf, "warc_raw").select("source_path", "record_no", "target_uri")
+    return stats.listed_pages(raw, texts.url_list(spark, path)).select("source_path", "record_no")
+
+
+@query("SELECT target_uri AS key, sum(content_length)::BIGINT AS total FROM warc_raw GROUP BY target_uri")
+def bytes_by_address(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.sum_by(table(spark, sf, "warc_raw"), F.col("target_uri").alias("key"), F.col("content_length"))
+
+
+@query(f"WITH {_HASHES}, lic AS (SELECT source_path, record_no, list_distinct(regexp_extract_all(CAST(content AS VARCHAR), 'https?://creativecommons\\.org/licenses/(by|by-sa|by-nd|by-nc|by-nc-sa|by-nc-nd|publicdomain)[\"/ >]', 1)) AS k FROM warc_raw WHERE content IS NOT NULL) SELECT 'simhash' AS what, CAST(doc_id AS VARCHAR) AS id, CAST(simhash AS VARCHAR) AS value FROM f UNION ALL SELECT 'license', source_path || ' ' || record_no, CASE WHEN len(k) = 0 THEN 'none' WHEN len(k) = 1 THEN k[1] ELSE 'cc-unspecified' END FROM lic")
+def functions_in_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints and licences by the functions registered for SQL."""
+    surface.register(spark)
+    table(spark, sf, "documents").createOrReplaceTempView("corpusmill_documents")
+    table(spark, sf, "warc_raw").createOrReplaceTempView("corpusmill_raw")
+    return spark.sql("""SELECT 'simhash' AS what, cast(doc_id AS string) AS id, cast(simhash64(text) AS string) AS value FROM corpusmill_documents WHERE text IS NOT NULL
+        UNION ALL SELECT 'license', concat_ws(' ', source_path, record_no), cc_license(decode(content, 'ISO-8859-1')) FROM corpusmill_raw WHERE content IS NOT NULL""")
+
+
+@query()
+def paragraphs_in_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The table function on all pages."""
+    surface.register(spark)
+    _html(spark, sf).createOrReplaceTempView("corpusmill_pages")
+    return spark.sql("SELECT record_id, p.idx, p.text, p.cf_class, p.class FROM corpusmill_pages, LATERAL paragraphs(html) p")
+
+
 @query("SELECT strftime(ingested_at AT TIME ZONE 'UTC', '%Y-%m-%d') AS day, language, license, count(*) AS documents, sum(len(regexp_extract_all(text, '[ \\t\\n\\v\\f\\r]+')) + 1)::BIGINT AS tokens FROM corpus WHERE ingested_at IS NOT NULL GROUP BY 1, 2, 3")
 def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Daily counts of the corpus read as a stream, until all that is there has been read; no row is late then."""
     shared = os.path.join(shared_dir(spark), f"stream-{uuid.uuid4().hex}")
-    static = table(spark, sf, "corpus")
-    source = spark.readStream.schema(static.schema).parquet(f"{sf}/corpus.parquet") if os.path.isdir(f"{sf}/corpus.parquet") else spark.readStream.schema(static.schema).option("pathGlobFilter", "corpus.parquet").parquet(sf)
+    source = _corpus_stream(spark, sf)
     counts = streams.counts_by_window(source, late="3650 days")
-    name = f"counts_{uuid.uuid4().hex}"
-    job = counts.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{shared}/state").trigger(availableNow=True).start()
+    path = f"{shared}/counts"
+    # every batch replaces the table of counts in the shared folder; nothing is held in the driver
+    job = counts.writeStream.outputMode("complete").foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(path)).option("checkpointLocation", f"{shared}/state").trigger(availableNow=True).start()
+    job.awaitTermination()
+    back = spark.read.schema(counts.schema).parquet(path)
+    return back.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "language", "license", "documents", "tokens")
+
+
+@query("SELECT octet_length(encode(text)) AS bytes, simhash, 1 AS n FROM corpus WHERE text IS NOT NULL AND ingested_at IS NOT NULL GROUP BY 1, 2")
+def stream_survivors(spark: SparkSession, sf: str) -> DataFrame:
+    """How many records of each (length, fingerprint) the stream of the corpus lets through: one."""
+    shared = os.path.join(shared_dir(spark), f"stream-{uuid.uuid4().hex}")
+    source = _corpus_stream(spark, sf).where("text is not null and ingested_at is not null").select("record_id", "text", "simhash", "ingested_at")
+    kept = streams.drop_exact_stream(source, late="3650 days")
+    job = kept.select(F.octet_length("text").cast("bigint").alias("bytes"), "simhash").writeStream.format("parquet").option("path", f"{shared}/kept").option("checkpointLocation", f"{shared}/state").trigger(availableNow=True).start()
+    job.awaitTermination()
+    return spark.read.schema("bytes bigint, simhash bigint").parquet(f"{shared}/kept").groupBy("bytes", "simhash").agg(F.count("*").cast("int").alias("n"))
+
+
+@query()
+def stream_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    """Phase 1 on the raw records read as a stream, with the same result as ``clean_corpus``."""
+    shared = os.path.join(shared_dir(spark), f"stream-{uuid.uuid4().hex}")
+    cleaned = streams.clean_stream(_stream(spark, sf, "warc_raw"), _identifier(spark, sf))
+    job = cleaned.writeStream.format("parquet").option("path", f"{shared}/cleaned").option("checkpointLocation", f"{shared}/state").trigger(availableNow=True).start()
     job.awaitTermination()
-    # the result is one row a day, language and licence
-    return spark.table(name).select(F.date_format("start", "yyyy-MM-dd").alias("day"), "language", "license", "documents", "tokens")
+    return spark.read.schema(cleaned.schema).parquet(f"{shared}/cleaned")

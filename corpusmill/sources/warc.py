@@ -1,8 +1,8 @@
 """WARC files as a Spark data source, ``spark.read.format("warc")`` and ``df.write.format("warc")``.
 
 Reading: one partition a file (gzip members are a stream); paths may be several, separated by commas, with globs. A file
-that ends within a record ends there. ``mode``: FAILFAST (default) raises on a malformed record, PERMISSIVE drops the rest
-of that file. With ``pushFilters`` true, filters on warc_type, content_type and content_length go to the reader, which then
+that ends within a record ends there. ``mode``: FAILFAST (default) raises on a malformed record, PERMISSIVE leaves
+the rest of that file out and gives a row of the type ``broken`` with the reason as content in its place. With ``pushFilters`` true, filters on warc_type, content_type and content_length go to the reader, which then
 holds no content of records that they leave out; Spark keeps them with the loaded DataFrame, so such a DataFrame must be
 filtered in one way only.
 
@@ -194,6 +194,7 @@ class WarcReader(DataSourceReader):
         path = partition.path
         with open(path, "rb") as f:
             stream = io.BufferedReader(gzip.GzipFile(fileobj=f), 1 << 16) if path.endswith(".gz") else f
+            no = 0
             try:
                 for no, r, kept in read_records(stream, self._wanted):
                     if kept:
@@ -201,9 +202,11 @@ class WarcReader(DataSourceReader):
                             path, no, r.get("WARC-Type"), r.get("WARC-Date"), r.get("WARC-Record-ID"), r.get("Content-Type"),
                             r.get("WARC-Target-URI"), int(r.headers["Content-Length"]), r.headers, list(r.headers), r.content,
                         )
-            except WarcError:
+            except WarcError as e:
                 if self.mode != "PERMISSIVE":
                     raise
+                # what follows can't be found any more; the cut shows as a record of its own
+                yield path, no + 1, "broken", None, None, None, None, None, None, None, str(e).encode()
 
 
 class PushingWarcReader(WarcReader):
@@ -228,7 +231,7 @@ class _Segments:
 
     def __init__(self, folder: str, prefix: str, task: str, compress: bool, limit: int):
         self.folder, self.prefix, self.task, self.compress, self.limit = folder, prefix, task, compress, limit
-        self.no, self.raw, self.out, self.files = 0, None, None, []
+        self.no, self.raw, self.out, self.files, self.pending = 0, None, None, [], 0
 
     def write(self, data: bytes) -> None:
         if self.raw is not None and self.raw.tell() >= self.limit:
@@ -241,8 +244,11 @@ class _Segments:
             self.files.append((hidden, os.path.join(self.folder, name)))
             self.no += 1
         self.out.write(data)
-        if self.compress:
+        self.pending += len(data)
+        # the size on disk is known after a flush only; one a megabyte keeps segments near their limit and the compression good
+        if self.compress and self.pending >= min(1 << 20, self.limit // 8):
             self.out.flush()
+            self.pending = 0
 
     def close(self) -> None:
         if self.raw is not None:
@@ -266,6 +272,7 @@ class WarcWriter(DataSourceWriter):
         self.limit = int(options.get("segmentSize", 1_000_000_000))
         self.names = schema.fieldNames()
         self.overwrite = overwrite
+        self.job = uuid.uuid4().hex[:8]
         if "content" not in self.names and "text" not in self.names:
             raise ValueError("a column content (binary) or text (string) is needed")
         os.makedirs(self.folder, exist_ok=True)
@@ -281,18 +288,22 @@ class WarcWriter(DataSourceWriter):
         return out
 
     def write(self, iterator):
-        task = uuid.uuid4().hex[:12]
-        open_: dict[str, _Segments] = {}
+        task = f"{self.job}-{uuid.uuid4().hex[:12]}"
+        all_: dict[str, _Segments] = {}
+        current = None
         for row in iterator:
             row = row.asDict(recursive=False)
             prefix = row.get("prefix") or self.prefix
-            if prefix not in open_:
-                open_[prefix] = _Segments(self.folder, re.sub(r"[^\w.=-]", "_", prefix), task, self.compress, self.limit)
+            if prefix not in all_:
+                all_[prefix] = _Segments(self.folder, re.sub(r"[^\w.=-]", "_", prefix), task, self.compress, self.limit)
+            if current is not None and current != prefix:
+                all_[current].close()  # one file is open at a time; rows sorted by prefix, as the pipeline's are, open each once
+            current = prefix
             content = row.get("content")
             data = bytes(content) if content is not None else (row.get("text") or "").encode()
-            open_[prefix].write(serialize(self._headers(row), data))
+            all_[prefix].write(serialize(self._headers(row), data))
         files = []
-        for s in open_.values():
+        for s in all_.values():
             s.close()
             files += s.files
         return Written(files)
@@ -304,12 +315,20 @@ class WarcWriter(DataSourceWriter):
         for m in messages:
             for hidden, name in m.files if m else []:
                 os.replace(hidden, name)
+        self._sweep()
+
+    def _sweep(self) -> None:
+        """Parts that tasks of this job left behind when they were killed."""
+        for f in os.listdir(self.folder):
+            if f.endswith(".part") and f".{self.job}-" in f:
+                os.remove(os.path.join(self.folder, f))
 
     def abort(self, messages):
         for m in messages:
             for hidden, _ in m.files if m else []:
                 if os.path.exists(hidden):
                     os.remove(hidden)
+        self._sweep()
 
 
 class WarcDataSource(DataSource):
