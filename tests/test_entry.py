@@ -20,7 +20,7 @@ def test_entry(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir(TINY), reason="needs the test tables")
-@pytest.mark.parametrize("name", ["languages_without_copies", "near_links", "word_count", "http_fields", "license_table"])
+@pytest.mark.parametrize("name", ["languages_without_copies", "near_links", "word_count", "http_fields", "license_table", "paragraph_classes", "paragraph_texts", "tag_licenses", "domain_count", "functions_in_sql", "warc_corpus_round_trip"])
 def test_sql_gives_the_same(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()

@@ -37,6 +37,9 @@ def test_license(spark, page, want):
 def test_license_needs_a_tag(spark):
     assert one(spark, "<a rel=license\nhref='http://creativecommons.org/licenses/by-sa/3.0/de/'>", text.cc_license_in_tags) == "by-sa"
     assert one(spark, "<p>http://creativecommons.org/licenses/by-sa/3.0/</p>", text.cc_license_in_tags) == "none"
+    two = "<a title='é' HREF=\"http://creativecommons.org/licenses/by/3.0/\" href=https://creativecommons.org/licenses/by-nd/4.0/>x</a><abbr href='http://creativecommons.org/licenses/by-nc/1.0/'>"
+    assert one(spark, two, text.cc_license_in_tags) == "by-nd"
+    assert one(spark, two + "<meta content='https://creativecommons.org/licenses/by/2.0/'", text.cc_license_in_tags) == "cc-unspecified"
 
 
 def test_normalize(spark):

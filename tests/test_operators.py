@@ -1,9 +1,12 @@
+import os
+
 import itertools
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from corpusmill.functions import boilerplate
 from corpusmill.functions.language import Identifier, train
 from corpusmill.operators import dedup, evaluation
 from corpusmill.operators import statistics as stats
@@ -90,6 +93,16 @@ def test_spearman(spark):
     with pytest.raises(Exception):  # noqa: B017
         stats.vocabulary_correlation(gold, other, 9).collect()
     assert abs(stats.student_p(0.5, 10) - 0.14111) < 1e-4 and stats.student_p(1.0, 10) == 0.0
+    p = stats.vocabulary_correlation(gold, other, 4).first().p
+    assert abs(p - stats.student_p(0.7378647873726218, 4)) < 1e-9
+
+
+def test_spearman_of_all_pairs(spark):
+    gold = spark.createDataFrame([("a", 4), ("b", 3), ("c", 2), ("d", 1)], "token string, n bigint")
+    other = spark.createDataFrame([("a", 1), ("b", 2)], "token string, n bigint")
+    got = {(r.gold, r.other, r.top): r for r in stats.vocabulary_correlations({"x": gold, "y": other}, (2, 4)).collect()}
+    assert set(got) == {(a, b, n) for a, b in (("x", "y"), ("y", "x")) for n in (2, 4)}
+    assert abs(got["x", "y", 4].rho - 0.7378647873726218) < 1e-9 and got["y", "x", 4].rho is None and got["y", "x", 4].words == 2
 
 
 def test_counts_of_nothing(spark):
@@ -168,3 +181,43 @@ def test_stream(spark, tmp_path):
     job = streams.drop_exact_stream(source).writeStream.format("memory").queryName("kept").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     job.awaitTermination()
     assert spark.table("kept").count() == 1
+
+
+def test_functions_in_sql(spark):
+    from corpusmill import surface
+    from corpusmill.functions.simhash import simhash_of
+
+    surface.register(spark)
+    page = "<p>" + "The long walk along the river went past the mill and the old school. " * 4 + "</p><a href='x'>Home</a><a href=\"http://creativecommons.org/licenses/by-sa/3.0/\">l</a>"
+    spark.createDataFrame([("a", page), ("nil", None)], "id string, html string").createOrReplaceTempView("sql_pages")
+    row = {r.id: r for r in spark.sql("SELECT id, boilerplate_text(html) AS t, boilerplate_html(html) AS h, cc_license(html) AS l, simhash64(html) AS s, detect_charset(encode(html, 'utf-8'), null) AS c FROM sql_pages").collect()}
+    assert row["a"].l == "by-sa" and row["a"].t.startswith("The long walk") and row["a"].h.startswith("<p>") and row["a"].s == simhash_of(page) and row["a"].c == "utf-8"
+    assert row["nil"].l is None and row["nil"].t is None and row["nil"].s is None
+    found = spark.sql("SELECT id, p.idx, p.class FROM sql_pages, LATERAL paragraphs(html) p ORDER BY idx").collect()
+    assert [(r.id, r.idx) for r in found] == [("a", i) for i in range(len(found))] and found[0]["class"] == "good" and len(found) >= 2
+    hosts = spark.sql("SELECT registrable_domain('a.b.co.uk') AS x, registrable_domain('www.A.example') AS y, registrable_domain('localhost') AS z").first()
+    assert tuple(hosts) == ("b.co.uk", "a.example", "localhost")
+
+
+def test_blocks_of_given_pages(spark):
+    long = "The long walk along the river went past the mill and the old school, and nobody minded. " * 4
+    rows = [("r", 0, "Menu", 4, "ul.li.", False), ("r", 1, "A title", 0, "h1.", True), ("r", 2, long, 0, "p.", False), ("r", 2, long, 0, "p.", False), ("r", 3, "short one", 0, "p.", False), ("r", 4, long, 0, "p.", None), ("nil", 0, None, None, None, None), (None, 0, "x", 0, "p.", False)]
+    blocks = spark.createDataFrame(rows, "record_id string, idx int, text string, link_chars int, tag_path string, is_heading boolean")
+    got = {(r.record_id, r.idx): (r.cf_class, r["class"]) for r in boilerplate.classify_blocks(blocks).collect()}
+    assert got == {("r", 0): ("bad", "bad"), ("r", 1): ("short", "good"), ("r", 2): ("good", "good"), ("r", 3): ("short", "good"), ("r", 4): ("good", "good"), ("nil", 0): ("bad", "bad")}
+    text = boilerplate.text_of_blocks(boilerplate.classify_blocks(blocks)).collect()
+    assert [(r.record_id, r.text.split("\n")[0], r.text.count("\n")) for r in text] == [("r", "A title", 3)]
+    assert boilerplate.classify_blocks(blocks.limit(0)).count() == 0
+
+
+def test_found_fields_come_back_from_warc(spark, tmp_path):
+    from corpusmill.sources import warc
+
+    warc.register(spark)
+    columns = "record_id string, target_uri string, source_path string, license string, language string, no_boilerplate boolean, minimal_html boolean, simhash bigint, text string"
+    rows = [(f"r{i}", None, "s.gz", "by", "en" if i % 2 else "de", True, False, -5 - i, "grün " * i) for i in range(8)]
+    pipeline.write_warc(spark.createDataFrame(rows, columns), str(tmp_path / "w"))
+    back = pipeline.corpus_of(spark.read.format("warc").load(str(tmp_path / "w")))
+    assert {tuple(r[c] for c in columns.replace(",", "").split()[::2]) for r in back.collect()} == set(rows)
+    assert not [f for f in os.listdir(tmp_path / "w") if f.endswith(".part")]
+    assert pipeline.drop_near(pipeline.drop_exact(back)).count() > 0  # later phases start from what was written
