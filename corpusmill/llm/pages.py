@@ -136,14 +136,18 @@ def evident(line: str, most: int = 400) -> tuple[str | None, int]:
 #: Parts of the wordings above that a text must hold in lower case for any line to be looked at.
 _HINTS = ("script", "cookies", "construction", "caption of image", *_FOUND)
 _hints = ahocorasick.Automaton()
-for _x in {*SAID_IN, *FILLER_IN, *_HINTS, *(x.strip() for x in ("error", "fehler", "erreur", "errore", "erro", "fout", "błąd", "ошибка")), *FILLER_LINES, *_ADD}:
+for _x in {*SAID_IN, *FILLER_IN, *_HINTS, *(x.strip() for x in ("error", "fehler", "erreur", "errore", "erro", "fout", "błąd", "ошибка")), *FILLER_LINES, *(f"\n{x}" for x in _ADD)}:
     _hints.add_word(_x, 1)
 _hints.make_automaton()
 
 
+_EDGES = re.compile(r"\n\s+")
+
+
 def hinted(text: str) -> bool:
-    """Whether any line of a text can be evidence or have a slot; those without need no look at single lines."""
-    return next(_hints.iter(text.lower()), None) is not None or next(_SLOT_HINT.iter(text), None) is not None
+    """Whether any line of a text, cleaned of invisible characters, can be evidence or have a slot; those without need no
+    look at single lines."""
+    return next(_hints.iter(_EDGES.sub("\n", f"\n{text.lower()}")), None) is not None or next(_SLOT_HINT.iter(text), None) is not None
 
 
 def monotone(counts: Counter, total: int) -> bool:
@@ -169,7 +173,7 @@ class Seen:
         self.lines: list[tuple[int, int, str, int, int]] = []
         body: list[str] = []
         closed = told = self.said = self.filler = self.slots = self.said_lines = 0
-        look = text is not None and hinted(text)
+        look = text is not None and hinted(clean(text))
         for no, line, kind in parts(text):
             n, what, here, holes = len(line), None, 0, 0
             if look:
@@ -216,12 +220,18 @@ class Seen:
 def unsuspicious(text: str, words: Lexicon) -> bool:
     """Whether a text surely holds no evidence: none of its lines can, and its words, notices aside, are those of a language
     and not always the same. What this says no to is looked at closely."""
+    text = clean(text)
     if hinted(text):
         return False
-    body = [low for x in clean(text).lower().split("\n") if (low := x.strip()) and not notice(low)]
-    tokens = WORD.findall("\n".join(body))
+    body = [low for x in text.lower().split("\n") if (low := x.strip()) and not notice(low)]
+    whole = "\n".join(body)
+    tokens = WORD.findall(whole)
     n = len(tokens)
-    return n < 8 or len(set(tokens)) > 2 + 0.15 * n and words.share(tokens) >= 0.25
+    if n < 8:
+        return True
+    # beyond some characters outside ASCII sentences of no language are not told from garbled ones, as in Seen
+    foreign = not whole.isascii() and len(whole) - len(whole.encode("ascii", "ignore")) >= 0.02 * len(whole) + 1
+    return len(set(tokens)) > 2 + 0.15 * n and (foreign or words.share(tokens) >= 0.25)
 
 
 def profile(record_id: str, text: str | None, words: Lexicon) -> dict:

@@ -286,6 +286,30 @@ def test_encoded_addresses_have_no_slots(line):
     assert pages.slots(line) == 0
 
 
+@pytest.mark.parametrize("line", ["Access\u200b denied", "Er\u00adror 404", "  Enter your name here", "Lorem\u00a0ipsum"])
+def test_evidence_is_seen_through_odd_characters(line):
+    words = Lexicon(dict(map(reversed, ((("en",), w) for _, w in WORDS))))
+    assert not pages.unsuspicious(PROSE + "\n" + line, words)
+    assert pages.unsuspicious(PROSE * 2 + "\nThe people of the mill had not said why it was so.", words)
+
+
+@pytest.mark.parametrize("n", [1, 3, 5, 12])
+def test_notices_of_any_length(n):
+    notice = "© 2016 Old Mill. All rights reserved. "
+    assert form((notice * n).strip()) == "note"
+    assert form((PROSE * n + "Sign up for the newsletter. ").strip()) == ("note" if n < 1 else "prose")
+
+
+@pytest.mark.parametrize("pad", [0, 30, 90, 91, 190])
+def test_messages_at_the_old_limits(pad):
+    """Texts of 200, 201, 400 and 401 characters and others with the same wording have the same verdict."""
+    message = "Access denied. You do not have permission to view this page. " + "x" * pad
+    for n in (200, 201, 400, 401, 800):
+        text = (message + " ") * (n // len(message) + 1)
+        kind, told = pages.evident(text.strip())
+        assert kind == "said" and told > 0.5 * len(text)
+
+
 def test_messages_in_long_lines(spark):
     message = "Access denied. You do not have permission to view this page. " + "The people of the mill had not said why it was so, and it was for all that they had done. " * 4
     demand = "This content requires JavaScript to be on in what you read it with, and it is off. " * 7
