@@ -2,9 +2,10 @@
 
 Each block is a node. A classifier's cost of calling it main body or boilerplate becomes the capacity of its edges to
 the two terminals; edges between blocks, neighbours in the page and the nearest earlier block of the same DOM path,
-carry the cost of telling them apart. The minimum cut labels the page. The classifier is a weighted sum of evidence (fixed
-weights below): link density, length, DOM regions, wording of notices and teaser headings, and how many records have
-the same block.
+carry the cost of telling them apart. The minimum cut labels the page. The classifier is a logistic regression on link
+density, length, wording of notices and teaser headings, and how many records have the same block. It is fitted on a
+bounded sample of pages, by the blocks that a region of the DOM labels (article and main against nav, header, footer and
+aside), with a prior around the weights stated below, which decide where no page has regions.
 
 Defined results: blocks repeated under one (record_id, idx) count once; null texts are empty blocks and boilerplate;
 a page of one block is judged by its own costs; rows without record_id or idx are left out.
@@ -14,8 +15,9 @@ from __future__ import annotations
 
 import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,62 +63,117 @@ def legal(low: str) -> bool:
     return any(x in low for x in LEGAL)
 
 
-def costs(blocks: list[dict]) -> list[float]:
-    """Evidence for main body (positive) or boilerplate (negative) of each block in page order."""
-    out = []
+#: What the classifier sees of a block, with the weights that it starts from: positive for main body.
+PRIOR = {
+    "length": 1.0, "links": -2.0, "mostly_links": -3.0, "good": 0.5, "quote": 1.0, "empty": -2.0,
+    "title": 4.0, "heading": 2.0, "aside_heading": -6.0, "under_aside": -4.0, "notice": -9.0, "legal": -9.0, "advert": -8.0, "crumbs": -6.0, "cut_off": -2.5,
+    "recurs_long": -5.0, "recurs_linked": -2.0, "recurs_short": -0.7, "item": 1.2, "short": -0.6,
+    "edge_region": -3.5, "main_region": 2.0,
+}
+FEATURES = list(PRIOR)
+#: The regions of the DOM: where there are any, they label blocks for the fit of all other weights. What recurs among pages
+#: is known from other pages, not from a block's own, so its weights stay, too.
+REGIONS = ("edge_region", "main_region")
+KEPT = (*REGIONS, "recurs_long", "recurs_linked", "recurs_short")
+
+
+def features(blocks: list[dict]) -> np.ndarray:
+    """A row a block in page order, a column a feature."""
+    at = {k: i for i, k in enumerate(FEATURES)}
+    out = np.zeros((len(blocks), len(FEATURES)))
     under: str | None = None  # DOM path of the blocks under a teaser heading
     waiting = False
     title_at: str | None = None  # container of the page's title
-    for b in blocks:
+    for row, b in zip(out, blocks):
+
+        def put(name: str, value: float = 1.0, row=row) -> None:
+            row[at[name]] = value
+
         text, path, n = b["text"], b["tag_path"], len(b["text"])
         low = text.lower()
         dense = b["link_chars"] / n if n else 1.0
-        s = 0.0
         if waiting:
             under, waiting = base(path), False
         elif under is not None and base(path) != under:
             under = None
         title = low.strip(" .:»>|…-–")
         if not n:
-            s -= 2.0
-        s += min(2.6, n / 80) - 2.0 * dense if dense < 0.6 else -3.0 * dense
+            put("empty")
+        if dense < 0.6:
+            put("length", min(2.6, n / 80))
+            put("links", dense)
+        else:
+            put("mostly_links", dense)
         if b["cf_class"] == "good":
-            s += 0.5
+            put("good")
         if "nav." in path or "footer." in path or "aside." in path or "header." in path:
-            s -= 3.5
+            put("edge_region")
         if "article." in path or "main." in path:
-            s += 2.0
+            put("main_region")
         if "blockquote." in path:
-            s += 1.0
+            put("quote")
         if b["is_heading"] and title not in ASIDE:
-            s += 4.0 if path.endswith(("h1.", "h2.")) else 2.0
+            put("title" if path.endswith(("h1.", "h2.")) else "heading")
             title_at = title_at or base(path)
         if title in ASIDE:
-            s -= 6.0
+            put("aside_heading")
             # a label inside the article's own container stands over no list of teasers
             inside = b["is_heading"] and title_at is not None and base(path) == title_at
             under, waiting = None, not inside
         elif under is not None:
-            s -= 4.0
+            put("under_aside")
         if notice(low.strip()):
-            s -= 9.0
+            put("notice")
         if title in TOP or notice(low, legal):
-            s -= 9.0
+            put("legal")
         if _AD.match(text) or ":" in low[:40] and low.split(":")[0].strip() in ASIDE:
-            s -= 8.0
+            put("advert")
         if dense > 0 and _CRUMB.match(text) or _MENU.match(text):
-            s -= 6.0
+            put("crumbs")
         if low.endswith(("…", "...")) and n <= 90:
-            s -= 2.5
+            put("cut_off")
         if b["recurs"]:
-            s -= 5.0 if n >= 60 else 2.0 if dense > 0 else 0.7
+            put("recurs_long" if n >= 60 else "recurs_linked" if dense > 0 else "recurs_short")
         if n < 40 and not b["is_heading"] and dense < 0.2:
             # an item of a list without links belongs to the text around it
-            s += 1.2 if _ITEM.match(text) and dense == 0 and under is None else -0.6
-        out.append(s)
+            put("item" if _ITEM.match(text) and dense == 0 and under is None else "short")
     return out
 
 
+def fit(x: np.ndarray, trust: float = 100.0, rounds: int = 50) -> np.ndarray:
+    """Weights of the features by logistic regression on the blocks that a region of the DOM labels, as the most likely
+    ones under a normal prior around PRIOR; ``trust`` is its precision in labelled blocks of a feature.
+
+    Regions and recurrence are left out of the regression; their own weights stay. Blocks of the main
+    region that their wording gives away are no main body wherever they stand, so these label nothing.
+    """
+    prior = np.array([PRIOR[k] for k in FEATURES])
+    edge, main = (x[:, FEATURES.index(k)] > 0 for k in REGIONS)
+    told = (x[:, [FEATURES.index(k) for k in ("notice", "legal", "advert", "aside_heading", "under_aside", "crumbs")]] > 0).any(1)
+    used = edge ^ main & ~told
+    y = (main & ~edge)[used].astype(float)
+    z = x[used].copy()
+    z[:, [FEATURES.index(k) for k in KEPT]] = 0.0
+    if not len(z):
+        return prior
+    w = prior.copy()
+    for _ in range(rounds):  # Newton's method
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        gradient = z.T @ (y - p) - trust * (w - prior)
+        hessian = (z * (p * (1 - p))[:, None]).T @ z + trust * np.eye(len(w))
+        step = np.linalg.solve(hessian, gradient)
+        w = w + step
+        if np.abs(step).max() < 1e-9:
+            break
+    return w
+
+
+def costs(blocks: list[dict], weights: np.ndarray | None = None) -> list[float]:
+    """Evidence for main body (positive) or boilerplate (negative) of each block in page order, in log odds."""
+    w = np.array([PRIOR[k] for k in FEATURES]) if weights is None else weights
+    return (features(blocks) @ w).tolist()
+
+
 def min_cut(cost: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Which nodes are on the source's side of the minimum cut: main body. Dinic's algorithm."""
     n = len(cost)
@@ -199,9 +256,9 @@ def smoothness(blocks: list[dict], cost: list[float], near: float = 0.5, same: f
     return edges
 
 
-def label_page(blocks: list[dict]) -> list[bool]:
+def label_page(blocks: list[dict], weights: np.ndarray | None = None) -> list[bool]:
     """Which blocks are main body."""
-    cost = costs(blocks)
+    cost = costs(blocks, weights)
     return min_cut(cost, smoothness(blocks, cost))
 
 
@@ -209,58 +266,81 @@ _ORDER = ("record_id", "idx", "text", "link_chars", "tag_path", "is_heading", "c
 _OUT = pa.schema([("record_id", pa.string()), ("idx", pa.int32()), ("main", pa.bool_())])
 
 
-def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole pages out of sorted batches; a page is held, not a batch of pages. A row with ``recurs`` says that the block
-    of its idx recurs; of several blocks of one idx the smallest by text and path counts."""
-    rest: list[dict] = []
-
-    def done(rows: list[dict]) -> list[dict]:
-        page: list[dict] = []
-        recurs = {r["idx"] for r in rows if r["recurs"]}
-        for r in rows:
-            if r["recurs"]:
-                continue
-            if page and page[-1]["idx"] == r["idx"]:
-                if ((r["text"] or ""), (r["tag_path"] or "")) < ((page[-1]["text"] or ""), (page[-1]["tag_path"] or "")):
-                    page[-1] = r
-            else:
-                page.append(r)
-        for b in page:
-            text = b["text"] or ""
-            b["recurs"] = b["idx"] in recurs
-            b["text"] = clean(text if text.isascii() else restore_utf8(text)).strip()
-            b["tag_path"] = (b["tag_path"] or "") + ("" if (b["tag_path"] or "").endswith(".") else ".")
-            b["link_chars"] = b["link_chars"] or 0
-            b["is_heading"] = bool(b["is_heading"])
-        return [{"record_id": b["record_id"], "idx": b["idx"], "main": m} for b, m in zip(page, label_page(page))]
-
-    for batch in batches:
-        out: list[dict] = []
-        for at in range(0, batch.num_rows, 1000):
-            for row in batch.slice(at, 1000).to_pylist():
-                if rest and rest[-1]["record_id"] != row["record_id"]:
-                    out += done(rest)
-                    rest = []
-                rest.append(row)
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema=_OUT)
-    if rest:
-        yield pa.RecordBatch.from_pylist(done(rest), schema=_OUT)
-
-
-def main_body(paragraphs: DataFrame, often: int = 5) -> DataFrame:
+def _page(rows: list[dict]) -> list[dict]:
+    """The blocks of a page out of its rows. A row with ``recurs`` says that the block of its idx recurs; of several blocks
+    of one idx the smallest by text and path counts."""
+    page: list[dict] = []
+    recurs = {r["idx"] for r in rows if r["recurs"]}
+    for r in rows:
+        if r["recurs"]:
+            continue
+        if page and page[-1]["idx"] == r["idx"]:
+            if ((r["text"] or ""), (r["tag_path"] or "")) < ((page[-1]["text"] or ""), (page[-1]["tag_path"] or "")):
+                page[-1] = r
+        else:
+            page.append(r)
+    for b in page:
+        text = b["text"] or ""
+        b["recurs"] = b["idx"] in recurs
+        b["text"] = clean(text if text.isascii() else restore_utf8(text)).strip()
+        b["tag_path"] = (b["tag_path"] or "") + ("" if (b["tag_path"] or "").endswith(".") else ".")
+        b["link_chars"] = b["link_chars"] or 0
+        b["is_heading"] = bool(b["is_heading"])
+    return page
+
+
+def _by_page(done: Callable[[list[dict]], list[dict]], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A mapInArrow function over sorted batches from one over the blocks of a page; a page is held, not a batch of pages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[dict] = []
+        for batch in batches:
+            out: list[dict] = []
+            for at in range(0, batch.num_rows, 1000):
+                for row in batch.slice(at, 1000).to_pylist():
+                    if rest and rest[-1]["record_id"] != row["record_id"]:
+                        out += done(_page(rest))
+                        rest = []
+                    rest.append(row)
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
+        if rest:
+            yield pa.RecordBatch.from_pylist(done(_page(rest)), schema=schema)
+
+    return run
+
+
+_COLUMNS = ("text", "link_chars", "tag_path", "is_heading", "cf_class")
+
+
+def main_body(paragraphs: DataFrame, often: int = 5, sample: int = 1000) -> DataFrame:
     """(record_id, idx, main). A block whose wording ``often`` or more records have counts as recurring.
 
     Texts are shuffled once, to bring the blocks of a page together. Wordings are counted by hash: what recurs comes as
-    further narrow rows of the page, so no text goes through a join or an aggregation.
+    further narrow rows of the page, so no text goes through a join or an aggregation. The classifier is fitted on
+    ``sample`` pages, those with the smallest hashes of their ids; that is the bound of its labelled sample.
     """
     rows = paragraphs.where("record_id is not null and idx is not null").select("record_id", F.col("idx").cast("int").alias("idx"), "text", F.col("link_chars").cast("int").alias("link_chars"), "tag_path", "is_heading", "cf_class")
     wordings = keyed(rows.select("record_id", "idx", F.coalesce("text", F.lit("")).alias("line")))
     narrow = materialize(wordings.select("record_id", "idx", F.xxhash64("key").alias("key")), "block-keys")
     once = narrow.groupBy("key", F.xxhash64("record_id").alias("rec")).agg(F.lit(1).alias("one"))
     often_keys = once.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= often).select("key")
-    marks = narrow.join(often_keys, "key", "left_semi").select("record_id", "idx", F.lit(True).alias("recurs"))
-    none = {c: F.lit(None).cast(rows.schema[c].dataType) for c in _ORDER[2:]}
-    both = rows.withColumn("recurs", F.lit(False)).unionByName(marks.select("record_id", "idx", *(v.alias(c) for c, v in none.items()), "recurs"))
-    ordered = both.repartition("record_id").sortWithinPartitions("record_id", "idx")
-    return ordered.mapInArrow(_pages, "record_id string, idx int, main boolean")
+    marks = materialize(narrow.join(often_keys, "key", "left_semi").select("record_id", "idx"), "recurring")
+    none = {c: F.lit(None).cast(rows.schema[c].dataType) for c in _COLUMNS}
+
+    def paged(of: DataFrame, marked: DataFrame) -> DataFrame:
+        both = of.withColumn("recurs", F.lit(False)).unionByName(marked.select("record_id", "idx", *(v.alias(c) for c, v in none.items()), F.lit(True).alias("recurs")))
+        return both.repartition("record_id").sortWithinPartitions("record_id", "idx")
+
+    picked = [r["record_id"] for r in narrow.select("record_id").distinct().orderBy(F.xxhash64("record_id")).limit(sample).collect()]
+    few = rows.sparkSession.createDataFrame([(x,) for x in picked], "record_id string")
+    schema = pa.schema([("x", pa.list_(pa.float64()))])
+    seen = paged(rows.join(F.broadcast(few), "record_id", "left_semi"), marks.join(F.broadcast(few), "record_id", "left_semi"))
+    table = seen.mapInArrow(_by_page(lambda page: [{"x": x.tolist()} for x in features(page)], schema), "x array<double>").collect()
+    weights = fit(np.array([r["x"] for r in table]).reshape(-1, len(FEATURES)))
+
+    def label(page: list[dict]) -> list[dict]:
+        return [{"record_id": b["record_id"], "idx": b["idx"], "main": m} for b, m in zip(page, label_page(page, weights))]
+
+    out = pa.schema([("record_id", pa.string()), ("idx", pa.int32()), ("main", pa.bool_())])
+    return paged(rows, marks).mapInArrow(_by_page(label, out), "record_id string, idx int, main boolean")

@@ -43,6 +43,27 @@ PAGE = [
 ]
 
 
+def test_the_classifier_is_fitted_on_the_regions():
+    """Blocks that the regions label give the weights; held-out blocks without a region are told by them."""
+    rng = random.Random(3)
+
+    def page(region):
+        main = [(LONG[: rng.randrange(60, 200)], rng.randrange(3), "article.p." if region else "div.p.", True) for _ in range(6)]
+        edge = [(LONG[: rng.randrange(5, 45)], 30, "nav.li." if region else "div.li.", False) for _ in range(5)]
+        return [{"text": t, "link_chars": min(n, len(t)), "tag_path": "html.body." + p, "is_heading": False, "cf_class": "neargood", "recurs": False, "main": m} for t, n, p, m in main + edge]
+
+    labelled = [page(True) for _ in range(60)]
+    weights = mainbody.fit(mainbody.np.concatenate([mainbody.features(p) for p in labelled]), trust=10.0)
+    prior = mainbody.np.array(list(mainbody.PRIOR.values()))
+    at = mainbody.FEATURES.index
+    assert weights[at("length")] > prior[at("length")] and weights[at("mostly_links")] < prior[at("mostly_links")]
+    assert all(weights[at(k)] == mainbody.PRIOR[k] for k in mainbody.KEPT)
+    held = [page(False) for _ in range(40)]
+    right = [m == b["main"] for p in held for b, m in zip(p, mainbody.label_page(p, weights))]
+    assert sum(right) > 0.97 * len(right)
+    assert (mainbody.fit(mainbody.np.zeros((0, len(prior)))) == prior).all()
+
+
 def test_main_body(spark):
     schema = "record_id string, idx int, text string, link_chars int, tag_path string, is_heading boolean, cf_class string, class string, key string, recurs int"
     rows = [("r", i, t, n, p, h, "good", None, "k", 1) for i, (t, n, p, h, _) in enumerate(PAGE)]
