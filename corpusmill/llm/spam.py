@@ -83,8 +83,10 @@ def form_explains() -> Column:
 
 def spam(profiles: DataFrame, bent: float = 4.75, wordless: float = 4.0, open: float = 3.5, least: int = 40, of: DataFrame | None = None) -> DataFrame:
     """The profiles with the curve's figures, their deviations, ``curve`` and ``is_spam``; profiles hold one row a record.
-    The prose compared with is that of the profiles ``of``, where they are others than those judged."""
-    scored = against_prose(curves(profiles), of=None if of is None else curves(of))
+    The prose compared with is that of the profiles ``of``, where they are others than those judged. Profiles that have
+    gone through ``curves`` already are taken as they are."""
+    fitted = [x if "slope" in x.columns else curves(x) for x in (profiles, of) if x is not None]
+    scored = against_prose(fitted[0], of=fitted[1] if len(fitted) > 1 else None)
     squares = sum((F.pow(F.least(F.abs(F.col(f"z_{k}")), F.lit(15.0)), 2) for k in CURVE), F.lit(0.0))
     scored = scored.withColumn("curve", F.sqrt(squares / len(CURVE)))
     unlike = (F.col("n_words") >= least) & (F.col("curve") >= bent) & (F.col("z_ttr") < 0) | (F.col("z_common") <= -wordless) & (F.col("z_closed") <= -open)
