@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+#: Fixed value: how many bytes are enough where a guess from the start of a page is wanted.
 SAMPLE = 8000
 
 #: One-byte code pages that are told apart by their letters, the commonest first.
@@ -38,9 +39,10 @@ def _letters(text: str) -> float:
     for c in text:
         if c >= "\x80":
             if c.isalpha():
-                # accented Latin letters seldom stand side by side; those of other scripts do
+                # accented Latin letters seldom stand side by side; those of other scripts do, but not in a word of Latin ones
                 crowded = c < "\u0250" and before >= "\x80" and before.isalpha()
-                score += -0.5 if crowded else 1.0 if c.islower() or not before.isalpha() else -1.0
+                mixed = c >= "\u0370" and before.isascii() and before.isalpha()
+                score += -1.0 if mixed else -0.5 if crowded else 1.0 if c.islower() or not before.isalpha() else -1.0
             elif c < "\xa0" or c in "¤¦¬¯´¸":
                 score -= 2.0
             elif before.isalpha():
@@ -49,11 +51,12 @@ def _letters(text: str) -> float:
     return score
 
 
-def detect(data: bytes | None, declared: str | None = None) -> str:
-    """The character set by byte-order mark, strict UTF-8, declaration (if the bytes fit it) or letters; else utf-8."""
+def detect(data: bytes | None, declared: str | None = None, most: int | None = None) -> str:
+    """The character set by byte-order mark, strict UTF-8, declaration (if the bytes fit it) or letters; else utf-8. All
+    bytes are looked at, or ``most`` of them, such as SAMPLE, where what comes later may be decoded wrongly."""
     if not data:
         return "utf-8"
-    sample = bytes(data[:SAMPLE])
+    sample = bytes(data if most is None else data[:most])
     for mark, name in _MARKS:
         if sample.startswith(mark):
             return name

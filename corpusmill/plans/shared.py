@@ -49,15 +49,30 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+#: Tables written by this process, by application.
+_written: dict[str, list[str]] = {}
+
+
+def clear(spark: SparkSession) -> int:
+    """Removes the tables that ``materialize`` wrote for this application, once their results are no longer read."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(paths)
+
+
 def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as a table into the shared folder and read it back: the lineage ends there. ``by`` names a column of
     few values to partition the files by.
 
     For results that are read more than once or that Python made at some cost. The files survive the loss of any
-    executor; they belong to the folder's owner, who clears it with the job.
+    executor, and stay until ``clear``, as the DataFrame may be read at any time.
     """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     writer = df.write.mode("error").option("compression", "zstd")
     (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

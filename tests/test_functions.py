@@ -159,6 +159,11 @@ def test_charset(data, declared, want):
     assert charset.detect(data, declared) == want
 
 
+def test_charsets_are_told_by_all_bytes():
+    late = b"a" * 9000 + "Straße und Käse für Müller, größer als möglich".encode("windows-1252")
+    assert charset.detect(late) in ("windows-1252", "iso-8859-1") and charset.detect(late, most=charset.SAMPLE) == "utf-8"
+
+
 def test_page_html_keeps_all_without_header_end():
     assert charset.page_html(b"HTTP/1.1 200 OK\r\n\r\n<p>x") == "<p>x"
     assert charset.page_html(b"abcdef") == "abcdef"

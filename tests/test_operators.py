@@ -221,3 +221,14 @@ def test_found_fields_come_back_from_warc(spark, tmp_path):
     assert {tuple(r[c] for c in columns.replace(",", "").split()[::2]) for r in back.collect()} == set(rows)
     assert not [f for f in os.listdir(tmp_path / "w") if f.endswith(".part")]
     assert pipeline.drop_near(pipeline.drop_exact(back)).count() > 0  # later phases start from what was written
+
+
+def test_intermediate_tables_can_be_cleared(spark):
+    from corpusmill.plans import shared
+
+    shared._written.pop(spark.sparkContext.applicationId, None)
+    before = set(os.listdir(shared.shared_dir(spark)))
+    assert shared.materialize(spark.range(3), "three").count() == 3
+    made = set(os.listdir(shared.shared_dir(spark))) - before
+    assert len(made) == 1 and shared.clear(spark) == 1
+    assert not made & set(os.listdir(shared.shared_dir(spark))) and shared.clear(spark) == 0
