@@ -1,8 +1,8 @@
 """Problem 1: lines repeated across one source's documents, kept as incremental line counts.
 
 The state is tables that only grow: ``seen`` (source, rec), the records counted so far, and ``counts`` (source, key, n), in
-how many different records of a source a line key occurs, as one set of rows a partition; and ``frequent`` (source,
-key), the lines over the threshold now. A new partition of records becomes a delta of the first two. ``advance`` looks
+how many different records of a source a line key occurs, as one set of rows a partition; and, rewritten with each
+partition, ``records`` (source, records) and ``frequent`` (source, key), the lines over the threshold now. A new partition of records becomes a delta of the first two. ``advance`` looks
 only at the keys of the delta and at the frequent keys of sources whose threshold rose with their records, tells which
 crossed the threshold in either direction, and leaves all other rows as they are; ``rebuild`` touches only documents
 that hold a crossed line. ``fold`` takes the partitions one after another.
@@ -111,6 +111,7 @@ class LineCounts:
 
     seen: DataFrame
     counts: DataFrame
+    records: DataFrame
     frequent: DataFrame
 
 
@@ -132,23 +133,23 @@ def _need(records: str, least: int, share: float) -> Column:
     return F.greatest(F.lit(float(least)), F.col(records) * F.lit(share))
 
 
-def over(counts: DataFrame, seen: DataFrame, least: int = 8, share: float = 0.05) -> DataFrame:
+def over(counts: DataFrame, records: DataFrame, least: int = 8, share: float = 0.05) -> DataFrame:
     """(source, key) of lines in at least ``least`` records and at least ``share`` of the source's records."""
     often = counts.where(F.col("n") >= least)
-    return often.join(totals(seen), "source").where(F.col("n") >= _need("records", least, share)).select("source", "key")
+    return often.join(records, "source").where(F.col("n") >= _need("records", least, share)).select("source", "key")
 
 
 def advance(state: LineCounts | None, lines: DataFrame, least: int = 8, share: float = 0.05) -> tuple[LineCounts, DataFrame]:
     """The state with a partition merged in, and the (source, key, now) whose verdict changed, ``now`` being the new one."""
+    seen, counts = (materialize(x, name) for x, name in zip(delta(lines, state.seen if state else None), ("seen", "counts")))
+    more = totals(seen)
     if state is None:
-        seen, counts = (materialize(x, name) for x, name in zip(delta(lines), ("seen", "counts")))
-        frequent = materialize(over(counts, seen, least, share), "frequent")
-        return LineCounts(seen, counts, frequent), frequent.withColumn("now", F.lit(True))
-    seen, counts = (materialize(x, name) for x, name in zip(delta(lines, state.seen), ("seen", "counts")))
+        frequent = materialize(over(counts, more, least, share), "frequent")
+        return LineCounts(seen, counts, materialize(more, "records"), frequent), frequent.withColumn("now", F.lit(True))
+    records = materialize(state.records.unionByName(more).groupBy("source").agg(F.sum("records").alias("records")), "records")
     # a row a source of the delta: how many records it has now, and whether a line needs more of them than before
-    after = totals(seen).withColumnRenamed("records", "new").join(totals(state.seen.join(seen.select("source").distinct(), "source", "left_semi")), "source", "left")
-    after = after.select("source", F.coalesce("records", F.lit(0)).alias("before"), (F.col("new") + F.coalesce("records", F.lit(0))).alias("records"))
-    after = materialize(after.withColumn("rose", _need("records", least, share) > _need("before", least, share)), "sources")
+    after = more.select("source").join(records, "source").join(state.records.withColumnRenamed("records", "before"), "source", "left")
+    after = after.select("source", "records", (_need("records", least, share) > F.coalesce(_need("before", least, share), F.lit(float(least)))).alias("rose"))
     shaky = state.frequent.join(after.where("rose").select("source"), "source", "left_semi")
     touched = counts.select("source", "key").unionByName(shaky).distinct()
     known = state.counts.join(touched, ["source", "key"], "left_semi")
@@ -157,7 +158,7 @@ def advance(state: LineCounts | None, lines: DataFrame, least: int = 8, share: f
     was = state.frequent.withColumn("was", F.lit(True))
     changed = materialize(now.join(was, ["source", "key"], "left").where(F.col("now") != F.coalesce("was", F.lit(False))).select("source", "key", "now"), "changed")
     frequent = state.frequent.join(changed.where("not now"), ["source", "key"], "left_anti").unionByName(changed.where("now").select("source", "key"))
-    return LineCounts(state.seen.unionByName(seen), state.counts.unionByName(counts), materialize(frequent, "frequent")), changed
+    return LineCounts(state.seen.unionByName(seen), state.counts.unionByName(counts), records, materialize(frequent, "frequent")), changed
 
 
 def period(column: str = "ingested_at", unit: str = "quarter") -> Column:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.lines import delta, keyed, over
+from corpusmill.llm.lines import delta, keyed, over, totals
 from corpusmill.llm.pages import PROSE, Seen, unsuspicious
 from corpusmill.llm.textkit import Lexicon, batches, clean, common_words
 from corpusmill.plans.shared import materialize
@@ -58,7 +58,7 @@ def recurrent(lines: DataFrame, least: int, share: float, sites: int) -> tuple[D
     (source, rec, key), hashes that are combined before each shuffle."""
     seen, counts = delta(lines)
     counts = materialize(counts, "host-counts")
-    counted = over(counts, seen, least, share)
+    counted = over(counts, totals(seen), least, share)
     wide = counts.groupBy("key").agg(F.count("*").alias("hosts"), F.sum("n").alias("n")).where((F.col("hosts") >= sites) & (F.col("n") >= least))
     return counted, wide.select("key")
 
