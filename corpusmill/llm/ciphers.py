@@ -19,6 +19,7 @@ from collections.abc import Iterable
 import numpy as np
 
 from corpusmill.llm.codepages import LETTERS, MARKS, ONE_BYTE, PLAUSIBLE, bytes_of, runs, undo
+from corpusmill.llm.lines import INVISIBLE
 
 _RUN = re.compile("|".join(p.pattern for _, p, _ in runs()))
 _ASKED = re.compile(r"[^\W\d_]\?{1,3}[^\W\d_]")
@@ -54,7 +55,7 @@ class Bigrams:
     def index(self, c: str) -> int:
         """The place of a character in the alphabet."""
         i = self.at.get(c)
-        return i if i is not None else 0 if c.isascii() or c in "​‌‍⁠﻿­" else self.odd
+        return i if i is not None else 0 if c.isascii() or c in INVISIBLE else self.odd
 
     def chain(self, text: str) -> float:
         """Log likelihood of a row of characters after its first one."""
@@ -110,6 +111,11 @@ def swaps() -> list[dict[str, str]]:
 
 
 SWAPS = swaps()
+#: The characters that any way of misreading makes; no other can be a symbol of a cipher.
+MADE = frozenset(c for table in SWAPS for c in table) | {LOST}
+#: Stands for any character beside a symbol that is neither a letter of the languages nor made by misreading, so that
+#: texts in other scripts have few different contexts.
+OTHER = "\ue000"
 
 
 class Judge:
@@ -130,9 +136,10 @@ class Judge:
 
     def _contexts(self, word: str) -> tuple:
         parts = [" ", *symbols(word), " "]
-        at = [i for i, x in enumerate(parts) if i and not x.isascii()]
+        at = [i for i, x in enumerate(parts) if len(x) > 1 or x in MADE and not x.isascii()]
         if not at:
             return ()
+        parts = [x if len(x) > 1 or x in MADE or self.model.index(x) < self.model.odd else OTHER for x in parts]
         index = [self.model.odd if len(x) > 1 or x == LOST else self.model.index(x) for x in parts]
         x = np.array(index)
         p = np.array(at)

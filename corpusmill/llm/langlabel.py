@@ -22,7 +22,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.textkit import WORD, batches, clean, notice
+from corpusmill.llm.textkit import batches, clean, notice
 
 #: ISO 639-2 codes of the languages, both forms where there are two.
 THREE = {"eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa": "es", "ita": "it", "por": "pt", "nld": "nl", "dut": "nl", "pol": "pl", "rus": "ru"}

@@ -262,8 +262,6 @@ def label_page(blocks: list[dict], weights: np.ndarray | None = None) -> list[bo
     return min_cut(cost, smoothness(blocks, cost))
 
 
-_ORDER = ("record_id", "idx", "text", "link_chars", "tag_path", "is_heading", "cf_class")
-_OUT = pa.schema([("record_id", pa.string()), ("idx", pa.int32()), ("main", pa.bool_())])
 
 
 def _page(rows: list[dict]) -> list[dict]:

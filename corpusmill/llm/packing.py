@@ -172,8 +172,10 @@ def packing(tokens: DataFrame, containers: DataFrame, part_tokens: int = 8_000_0
         credits.select("part", F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("bigint").alias("tokens"), "credits")
     )
     rows = rows.withColumn("size", F.explode(F.array(*(F.struct(F.lit(i).alias("container_id"), F.lit(c).alias("capacity")) for i, c in wanted))))
-    # as many partitions as there are parts to pack: the rows are small, the work is not, so they are not to be coalesced by size
-    rows = rows.select("size.container_id", "size.capacity", "part", "doc_id", "source", "tokens", "credits").repartition(parts * len(wanted), "container_id", "part")
+    # as many partitions as there are parts to pack, up to what a job should have: the rows are small, the work is not, so
+    # they are not to be coalesced by size; beyond that a task packs several parts
+    slots = min(parts * len(wanted), max(4096, int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    rows = rows.select("size.container_id", "size.capacity", "part", "doc_id", "source", "tokens", "credits").repartition(slots, "container_id", "part")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         container, capacity, part = int(pdf["container_id"].iloc[0]), int(pdf["capacity"].iloc[0]), int(pdf["part"].iloc[0])

@@ -68,7 +68,6 @@ def notice(low: str, told: Callable[[str], bool] = _told) -> bool:
 
 
 WORD = re.compile(r"[^\W\d_]+")
-TOKEN = re.compile(r"\w+")
 _SHAPED = frozenset("\t|{}=<>#[]@%;•»+*^~_")
 _URL = re.compile(r"^\W*(?:https?://|www\.)\S+\W*$")
 _LINKED = re.compile(r"\[[^\]\n]{1,80}\]\([^)\s]{1,200}\)")

@@ -406,6 +406,14 @@ def test_the_mapping_is_learned_by_the_rounds():
     assert all(rate <= 0.5 for _, rate in none.values())
 
 
+def test_other_scripts_have_few_contexts():
+    model = ciphers.Bigrams([(k, v) for _, k, v in LETTER_SAMPLES])
+    judge = ciphers.Judge(model)
+    assert not judge.text("漢字仮名交じり文の長い文章です。 日本語の文字 " * 3)
+    mixed = judge.text("漢é字 仮é名")
+    assert {c for k in mixed for c in k} <= {"é", ciphers.OTHER, " "}
+
+
 def test_nothing_is_found_without_a_gain(spark):
     seen = charset.unlikely(corpus(spark, [("r", "s", misread(TEXTS["fr"], "utf-8", "cp1252"), "fr")]), [(k, v) for _, k, v in LETTER_SAMPLES])
     learned = charset.rates(seen, [(k, v) for _, k, v in LETTER_SAMPLES])
