@@ -12,7 +12,8 @@ the share of the language's common words and of closed lines. A page is spam if
 unless its form says what it is instead: tables, directories, code and other lists bend the curve too, as do error
 messages and filler. Nothing is spam without such a deviation, whatever its form.
 
-Defined results: pages without words are no spam; languages and lengths with little prose use the prose of all.
+Defined results: pages without words are no spam; languages and lengths with little prose use the prose of all, and so
+do pages in no language, however many there are: their prose is filler, spoiled text or a language without common words.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def against_prose(fitted: DataFrame, least: int = 20, of: DataFrame | None = Non
     """
     rows = _sized(fitted)
     prose = (rows if of is None else _sized(of)).where((F.col("prose") >= 0.8 * F.col("chars")) & (F.col("closed") >= 0.5) & (F.col("n_words") >= 8))
-    near = prose.groupBy("lang", "size").agg(*_quartiles()).where(F.col("pages") >= least)
+    near = prose.where(F.col("lang") != "?").groupBy("lang", "size").agg(*_quartiles()).where(F.col("pages") >= least)
     every = prose.agg(*_quartiles()).first()  # one row: three numbers a figure
     ref = rows.join(F.broadcast(near), ["lang", "size"], "left")
     z = {}

@@ -185,6 +185,17 @@ def test_spam_needs_the_deviations(judged, figures, kept, monkeypatch):
     assert not got if kept is None else ("spam-dressed" in got) == kept
 
 
+def test_prose_in_no_language_is_no_reference(spark, judged):
+    """Pages of tags in no language are found however many pages of sentences in no language there are."""
+    rng = random.Random(2)
+    made = ["".join(rng.sample("bdfgklmnprstvz", 5)) for _ in range(400)]
+    odd = [(f"odd{i}", "s", " ".join(" ".join(rng.sample(made, 12)) + "." for _ in range(8)), None) for i in range(25)]
+    tags = [(f"tags{i}", "s", "Tags: " + ", ".join(rng.sample(made, 100)), None) for i in range(3)]
+    more = pages.page_profiles(corpus(spark, odd + tags), spark.createDataFrame(WORDS, "lang string, word string"))
+    got = {r.record_id for r in spam.spam(judged.unionByName(more)).where("is_spam").collect()}
+    assert {f"tags{i}" for i in range(3)} <= got
+
+
 def test_quality_needs_the_distance(judged, monkeypatch):
     monkeypatch.setattr(quality, "fit", lambda stats: {})
     assert quality.quality(judged).where("not natural").count() == 0
