@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.ciphers import LOST, Bigrams, Judge, learn
+from corpusmill.llm.ciphers import LOST, Bigrams, Judge, counted, learn
 from corpusmill.llm.codepages import LETTERS, ONE_BYTE, bytes_of, misread, restore_utf8
 from corpusmill.llm.textkit import batches
 from corpusmill.plans.shared import materialize
@@ -113,13 +113,26 @@ def likelier(word: str, model: Bigrams, gain: float = 5.0) -> bool:
     return False
 
 
-def bigram_samples(lang_samples: DataFrame, most: int = 5000) -> list[tuple[str, str]]:
-    """The labelled texts that the letter model is fitted on, at most ``most``."""
-    rows = lang_samples.where("lang is not null and text is not null").orderBy("sample_id").limit(most).collect()
-    return [(r["lang"], r["text"]) for r in rows]
+#: Labelled texts, or the counts of their bigrams.
+Samples = list[tuple[str, str]] | dict[str, dict[str, int]]
 
 
-def _lazy(samples: list[tuple[str, str]] | None) -> Callable[[], Bigrams] | None:
+def bigram_counts(lang_samples: DataFrame) -> dict[str, dict[str, int]]:
+    """What the letter model is fitted on: by language, how often each bigram comes in all labelled texts. They are
+    counted where they are; the driver gets a row a language and bigram, however many texts there are."""
+    schema = pa.schema([("lang", pa.string()), ("pair", pa.string()), ("n", pa.int64())])
+
+    def run(batch: list[dict]) -> list[dict]:
+        return [{"lang": k, "pair": pair, "n": n} for k, of in counted((r["lang"], r["text"]) for r in batch).items() for pair, n in of.items()]
+
+    rows = lang_samples.where("lang is not null and text is not null").select("lang", "text")
+    out: dict[str, dict[str, int]] = {}
+    for r in rows.mapInArrow(batches(run, schema), "lang string, pair string, n bigint").groupBy("lang", "pair").agg(F.sum("n").alias("n")).collect():
+        out.setdefault(r["lang"], {})[r["pair"]] = r["n"]
+    return out
+
+
+def _lazy(samples: Samples | None) -> Callable[[], Bigrams] | None:
     """The letter model, made in a worker when it is asked for first."""
     made: list[Bigrams] = []
 
@@ -134,7 +147,7 @@ def _lazy(samples: list[tuple[str, str]] | None) -> Callable[[], Bigrams] | None
 _CONTEXTS = "array<struct<a:string,s:string,b:string,n:int>>"
 
 
-def unlikely(corpus: DataFrame, samples: list[tuple[str, str]], record: str = "record_id", text: str = "text", source: str = "source_path") -> DataFrame:
+def unlikely(corpus: DataFrame, samples: Samples, record: str = "record_id", text: str = "text", source: str = "source_path") -> DataFrame:
     """(record_id, source, kind, contexts): the records with contexts that no language accounts for, and the kind of damage
     by their signs, null for none. One Arrow pass without a shuffle; sound records give no row."""
     model = _lazy(samples)
@@ -159,7 +172,7 @@ def unlikely(corpus: DataFrame, samples: list[tuple[str, str]], record: str = "r
     return rows.mapInArrow(batches(run, schema), f"record_id string, source string, kind string, contexts {_CONTEXTS}")
 
 
-def rates(seen: DataFrame, samples: list[tuple[str, str]]) -> DataFrame:
+def rates(seen: DataFrame, samples: Samples) -> DataFrame:
     """(source, a, s, b, gain, letter, rate) from EM over each source's contexts. The contexts are counted before the
     grouping, so a source brings as many rows as there are different contexts, whatever its size."""
     counts = seen.select("source", F.explode("contexts").alias("c")).groupBy("source", "c.a", "c.s", "c.b").agg(F.sum("c.n").alias("n"))
@@ -185,7 +198,7 @@ def judged(seen: DataFrame, learned: DataFrame, least: float = 3.0) -> DataFrame
     return gains.where(F.col("gain") >= least)
 
 
-def find_damaged(corpus: DataFrame, samples: list[tuple[str, str]], **columns: str) -> DataFrame:
+def find_damaged(corpus: DataFrame, samples: Samples, **columns: str) -> DataFrame:
     """(record_id, kind, gain) of the records that are damaged."""
     seen = materialize(unlikely(corpus, samples, **columns), "contexts")
     return judged(seen, rates(seen, samples))
@@ -243,10 +256,10 @@ def from_page(line: str, page: list[str]) -> str:
     return lead + found.pop().strip() + trail if len(found) == 1 else line
 
 
-def repair(corpus: DataFrame, lang_samples: DataFrame, warc_raw: DataFrame | None = None, most: int = 5000) -> DataFrame:
+def repair(corpus: DataFrame, lang_samples: DataFrame, warc_raw: DataFrame | None = None) -> DataFrame:
     """(record_id, kind, text, restored) of the damaged records: the text as far as it can be restored, and whether no
-    damage is left. The letter model is fitted on at most ``most`` samples."""
-    samples = bigram_samples(lang_samples, most)
+    damage is left. The letter model is fitted on all samples."""
+    samples = bigram_counts(lang_samples)
     seen = materialize(unlikely(corpus, samples), "contexts")
     learned = materialize(rates(seen, samples), "rates")
     found = materialize(judged(seen, learned).select("record_id", "kind"), "damaged")

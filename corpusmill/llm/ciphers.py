@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 import numpy as np
 
@@ -26,31 +26,45 @@ _ASKED = re.compile(r"[^\W\d_]\?{1,3}[^\W\d_]")
 LOST = "�"
 
 
+#: What is counted besides letters.
+_KEPT = frozenset((*LETTERS, *MARKS))
+
+
+def counted(rows: Iterable[tuple[str, str]]) -> dict[str, Counter]:
+    """How often two characters follow each other in the texts of each language; a text's first one counts alone, too.
+    What is neither a letter nor a known mark is a blank."""
+    out: dict[str, Counter] = {}
+    for lang, text in rows:
+        of = out.setdefault(lang.strip().lower()[:2], Counter())
+        if text:
+            text = text.translate({ord(c): " " for c in set(text) if not c.isalpha() and c not in _KEPT})
+            of[text[0]] += 1
+            of.update(map("".join, zip(text, text[1:])))
+    return out
+
+
 class Bigrams:
-    """Log probabilities of letter bigrams of each language, from labelled samples (their bound is the caller's). Case
-    is kept. Index 0 stands for a blank and ASCII that is no letter, the last index for characters that no text is
+    """Log probabilities of letter bigrams of each language, from labelled texts or from what ``counted`` gives for them.
+    Case is kept. Index 0 stands for a blank and ASCII that is no letter, the last index for characters that no text is
     written with; other marks are letters of their own, or a mark would pass for the end of a word anywhere."""
 
-    def __init__(self, rows: Iterable[tuple[str, str]], back: float = 4.0, floor: float = -12.0):
-        texts: dict[str, list[str]] = {}
-        for lang, text in rows:
-            texts.setdefault(lang.strip().lower()[:2], []).append(text)
-        letters = sorted({c for ts in texts.values() for t in ts for c in t if c.isalpha()} | set(LETTERS) | set(MARKS) | set(map(chr, (*range(65, 91), *range(97, 123)))))
+    def __init__(self, rows: Iterable[tuple[str, str]] | Mapping[str, Mapping[str, int]], back: float = 4.0, floor: float = -12.0):
+        counts = rows if isinstance(rows, Mapping) else counted(rows)
+        letters = sorted({c for of in counts.values() for pair in of for c in pair if c.isalpha()} | set(LETTERS) | set(MARKS) | set(map(chr, (*range(65, 91), *range(97, 123)))))
         self.alphabet = " " + "".join(letters)
         self.at = {c: i for i, c in enumerate(self.alphabet)}
         k = self.odd = len(self.alphabet)
-        self.langs = sorted(texts)
-        self.log = np.full((max(1, len(texts)), k + 1, k + 1), floor)
-        for n, lang in enumerate(self.langs):
+        self.langs = sorted(counts)
+        self.log = np.full((max(1, len(counts)), k + 1, k + 1), floor)
+        for i, lang in enumerate(self.langs):
             m = np.zeros((k, k))
-            for t in texts[lang]:
-                seq = [self.index(c) for c in t]
-                seq = [x if x < k else 0 for x in seq]
-                np.add.at(m, (seq[:-1], seq[1:]), 1.0)
+            for pair, n in counts[lang].items():
+                if len(pair) == 2:
+                    m[self.at.get(pair[0], 0), self.at.get(pair[1], 0)] += n
             # what a letter was seldom seen before is likely as far as it is frequent in the language
             alone = m.sum(0) + 0.02
             alone /= alone.sum()
-            self.log[n, :k, :k] = np.maximum(np.log((m + back * alone) / (m.sum(1, keepdims=True) + back)), floor)
+            self.log[i, :k, :k] = np.maximum(np.log((m + back * alone) / (m.sum(1, keepdims=True) + back)), floor)
 
     def index(self, c: str) -> int:
         """The place of a character in the alphabet."""

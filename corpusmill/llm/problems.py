@@ -55,7 +55,7 @@ def p2_curves(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return charset.find_damaged(_corpus(spark, sf, "record_id", "source_path", "text"), charset.bigram_samples(table(spark, sf, "lang_samples"))).select("record_id")
+    return charset.find_damaged(_corpus(spark, sf, "record_id", "source_path", "text"), charset.bigram_counts(table(spark, sf, "lang_samples"))).select("record_id")
 
 
 @query
@@ -79,7 +79,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     profiles = every.join(theirs.select("record_id"), "record_id", "left_semi")
     other = _not_prose(profiles, every)
     other = other.unionByName(residue.residue(corpus, table(spark, sf, "common_words"), theirs).select("record_id"))
-    other = other.unionByName(charset.find_damaged(theirs, charset.bigram_samples(table(spark, sf, "lang_samples"))).select("record_id"))
+    other = other.unionByName(charset.find_damaged(theirs, charset.bigram_counts(table(spark, sf, "lang_samples"))).select("record_id"))
     found = theirs.select("record_id", F.explode("found").alias("f")).select("record_id", "f.line_no", "f.lang")
     return found.join(other, "record_id", "left_anti").distinct()
 

@@ -417,6 +417,16 @@ def test_the_mapping_is_learned_by_the_rounds():
     assert all(rate <= 0.5 for _, rate in none.values())
 
 
+def test_letters_are_counted_in_all_samples(spark):
+    """The model of many samples is that of all of their texts, those beyond the first 5,000 included."""
+    rows = [("en", "the mill")] * 5000 + [("PL ", "żółć, gęśl"), ("pl", "ź"), ("en", "")]
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)] + [(9000, None, "x"), (9001, "en", None)], "sample_id long, lang string, text string")
+    got, want = ciphers.Bigrams(charset.bigram_counts(table)), ciphers.Bigrams(rows)
+    assert got.langs == ["en", "pl"] and got.alphabet == want.alphabet and (got.log == want.log).all()
+    ż, ó = got.at["ż"], got.at["ó"]
+    assert got.log[1, ż, ó] > got.log[0, ż, ó] + 1
+
+
 def test_other_scripts_have_few_contexts():
     model = ciphers.Bigrams([(k, v) for _, k, v in LETTER_SAMPLES])
     judge = ciphers.Judge(model)
