@@ -52,7 +52,8 @@ def dictionaries(rows: Iterable, most: int = 110_000) -> dict[str, bytes]:
 
 _NOT_LETTERS = re.compile(r"[^\w\s'’]+|\d+")
 _SPACES = re.compile(r"\s+")
-_BLANKS = re.compile(r"[^\S\n]+")
+#: The same for plain ASCII, character by character; line breaks stay.
+_PLAIN = {i: " " for i in range(128) if i != 10 and (chr(i).isspace() or _NOT_LETTERS.fullmatch(chr(i)))}
 
 
 def normal(text: str) -> bytes:
@@ -65,6 +66,8 @@ class Classifier:
 
     def __init__(self, dicts: dict[str, bytes], level: int = 1):
         self.langs = list(dicts)
+        #: sizes under each dictionary of what was packed since ``forget``
+        self.known: dict[tuple[str, bytes], int] = {}
         params = zstd.ZstdCompressionParameters.from_level(level, write_checksum=False, write_content_size=False, write_dict_id=False)
         self.packers = {}
         for k, v in dicts.items():
@@ -72,11 +75,18 @@ class Classifier:
             d.precompute_compress(level=level)
             self.packers[k] = zstd.ZstdCompressor(dict_data=d, compression_params=params)
 
+    def forget(self) -> None:
+        """To be called before each page: its lines are packed more than once, those of other pages hardly ever."""
+        self.known.clear()
+
     def size(self, data: bytes, lang: str) -> int:
-        return len(self.packers[lang].compress(data))
+        n = self.known.get((lang, data))
+        if n is None:
+            n = self.known[lang, data] = len(self.packers[lang].compress(data))
+        return n
 
     def sizes(self, data: bytes) -> dict[str, int]:
-        return {k: len(p.compress(data)) for k, p in self.packers.items()}
+        return {k: self.size(data, k) for k in self.packers}
 
     def best(self, data: bytes, margin: float = 0.02) -> tuple[str | None, float]:
         """(language, confidence); the confidence is how much larger the second smallest is, and the language is None
@@ -111,10 +121,11 @@ def lines_of(text: str | None) -> list[tuple[int, bytes, int]]:
     if not text:
         return []
     text = clean(text)
-    plain = _BLANKS.sub(" ", _NOT_LETTERS.sub(" ", text.lower())).split("\n")
+    low = text.lower()
+    plain = (low.translate(_PLAIN) if low.isascii() else _NOT_LETTERS.sub(" ", low)).split("\n")
     out = []
     for no, (raw, line) in enumerate(zip(text.split("\n"), plain), 1):
-        line = line.strip()
+        line = " ".join(line.split())
         if line and not notice(raw.strip().lower()):
             out.append((no, f" {line} ".encode(), len(line) - line.count(" ")))
     return out
@@ -207,7 +218,11 @@ def languages(corpus: DataFrame, lang_samples: DataFrame, text: str = "text", re
     def run(batch: list[dict]) -> list[dict]:
         if "c" not in cache:
             cache["c"] = Classifier(dicts)
-        return [x for r in batch for x in classify_page(r["record_id"], r["text"], cache["c"], ratios)]
+        out = []
+        for r in batch:
+            cache["c"].forget()
+            out += classify_page(r["record_id"], r["text"], cache["c"], ratios)
+        return out
 
     rows = corpus.where(F.col(record).isNotNull()).select(F.col(record).alias("record_id"), F.col(text).alias("text"))
     return rows.mapInArrow(batches(run, schema), SCHEMA)
@@ -237,6 +252,7 @@ def wrong_labels(corpus: DataFrame, lang_samples: DataFrame, keep: tuple[str, ..
             cache["c"] = Classifier(dicts)
         c, out = cache["c"], []
         for r in batch:
+            c.forget()
             given, lines = r["_given"], lines_of(r["text"])
             if given in dicts and confirmed(lines, given, c, ratios):
                 continue

@@ -173,7 +173,8 @@ class Seen:
         self.lines: list[tuple[int, int, str, int, int]] = []
         body: list[str] = []
         closed = told = self.said = self.filler = self.slots = self.said_lines = 0
-        look = text is not None and hinted(clean(text))
+        text = clean(text) if text else text
+        look = text is not None and hinted(text)
         for no, line, kind in parts(text):
             n, what, here, holes = len(line), None, 0, 0
             if look:

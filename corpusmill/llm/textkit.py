@@ -148,8 +148,8 @@ def form(line: str) -> str:
 
 
 def parts(text: str | None) -> Iterator[tuple[int, str, str]]:
-    """(line number from 1, stripped line, form) of the non-blank lines."""
-    for no, raw in enumerate(clean(text).split("\n") if text else (), 1):
+    """(line number from 1, stripped line, form) of the non-blank lines of a text that was cleaned."""
+    for no, raw in enumerate(text.split("\n") if text else (), 1):
         line = raw.strip()
         if line:
             yield no, line, form(line)

@@ -491,6 +491,35 @@ def test_limits_do_not_depend_on_the_order_of_the_languages():
     assert langlabel.own_ratios(dicts, texts) == langlabel.own_ratios(dicts, [t for _, t in mixed])
 
 
+def test_lines_are_packed_once(labelled):
+    """A page that its label does not confirm is classified without packing a line again under a dictionary."""
+    texts = [(r.lang, r.text) for r in labelled.collect()]
+    c = langlabel.Classifier(langlabel.dictionaries(texts))
+    packed = []
+
+    class Packer:
+        def __init__(self, lang, real):
+            self.lang, self.real = lang, real
+
+        def compress(self, data):
+            packed.append((self.lang, data))
+            return self.real.compress(data)
+
+    c.packers = {k: Packer(k, v) for k, v in c.packers.items()}
+    lines = langlabel.lines_of(SAMPLES["en"] + "\n" + SAMPLES["de"] + "\n\n" + SAMPLES["en"])
+    ratios = dict.fromkeys(c.packers, 0.2)
+    assert not langlabel.confirmed(lines, "en", c, ratios)
+    rows = langlabel.classify_page("r", None, c, ratios, lines)
+    assert [(r["line_no"], r["lang"]) for r in rows] == [(0, "en"), (2, "de")]
+    assert len(packed) == len(set(packed))
+
+
+@pytest.mark.parametrize("text", ["A  b\t1,2 c's\r\n\x1cD-e_f\x0b G", "Ä  b\t1,2 c’s\r\n\x1cD-e_f\x0b\u00a0G"])
+def test_plain_lines(text):
+    """What is packed of a line: words in lower case with single blanks between them, in ASCII as in other texts."""
+    assert [(no, d.decode()) for no, d, _ in langlabel.lines_of(text)] == [(1, f" {text[0].lower()} b c{text[10]}s "), (2, " d e_f g ")]
+
+
 def test_word_table():
     assert word_table([{"lang": "EN", "word": "The"}, {"lang": None, "word": "x"}]) == {"the": ("en",)}
 
