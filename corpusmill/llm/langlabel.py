@@ -22,7 +22,8 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.textkit import batches, clean, notice
+from corpusmill.llm.pages import ARROW, SCHEMA as PROFILE, Seen, profile
+from corpusmill.llm.textkit import Lexicon, batches, blanked, clean, common_words, notice
 
 #: ISO 639-2 codes of the languages, both forms where there are two.
 THREE = {"eng": "en", "deu": "de", "ger": "de", "fra": "fr", "fre": "fr", "spa": "es", "ita": "it", "por": "pt", "nld": "nl", "dut": "nl", "pol": "pl", "rus": "ru"}
@@ -52,8 +53,8 @@ def dictionaries(rows: Iterable, most: int = 110_000) -> dict[str, bytes]:
 
 _NOT_LETTERS = re.compile(r"[^\w\s'’]+|\d+")
 _SPACES = re.compile(r"\s+")
-#: The same for plain ASCII, character by character; line breaks stay.
-_PLAIN = {i: " " for i in range(128) if i != 10 and (chr(i).isspace() or _NOT_LETTERS.fullmatch(chr(i)))}
+#: The same character by character; line breaks stay.
+_plain = blanked(_NOT_LETTERS)
 
 
 def normal(text: str) -> bytes:
@@ -66,8 +67,8 @@ class Classifier:
 
     def __init__(self, dicts: dict[str, bytes], level: int = 1):
         self.langs = list(dicts)
-        #: sizes under each dictionary of what was packed since ``forget``
-        self.known: dict[tuple[str, bytes], int] = {}
+        #: sizes by dictionary of what was packed since ``forget``
+        self.known: dict[str, dict[bytes, int]] = {k: {} for k in dicts}
         params = zstd.ZstdCompressionParameters.from_level(level, write_checksum=False, write_content_size=False, write_dict_id=False)
         self.packers = {}
         for k, v in dicts.items():
@@ -76,15 +77,24 @@ class Classifier:
             self.packers[k] = zstd.ZstdCompressor(dict_data=d, compression_params=params)
 
     def forget(self) -> None:
-        """To be called before each page: its lines are packed more than once, those of other pages hardly ever."""
-        self.known.clear()
+        """To be called before each page or batch: its lines are packed more than once, those of others hardly ever."""
+        for known in self.known.values():
+            known.clear()
 
     def size(self, data: bytes, lang: str) -> int:
-        n = self.known.get((lang, data))
+        known = self.known[lang]
+        n = known.get(data)
         if n is None:
-            n = self.known[lang, data] = len(self.packers[lang].compress(data))
+            n = known[data] = len(self.packers[lang].compress(data))
         return n
 
+    def fill(self, pieces: list[bytes]) -> None:
+        """Packs the pieces of many pages under one dictionary after another, so that each stays in the processor's cache;
+        to change the dictionary with each piece takes about twice as long."""
+        for k in self.packers:
+            for data in pieces:
+                self.size(data, k)
+
     def sizes(self, data: bytes) -> dict[str, int]:
         return {k: self.size(data, k) for k in self.packers}
 
@@ -93,19 +103,27 @@ class Classifier:
         where that is narrow."""
         return self.pick(self.sizes(data), len(data), margin)
 
-    def best_of(self, pieces: list[bytes], block: int = 900) -> tuple[str | None, float]:
-        """The same for a text in pieces. They are packed in blocks of about ``block`` bytes, as in a longer one the
-        text's own words would soon serve as the dictionary; the sizes of all blocks are added up."""
-        total = dict.fromkeys(self.langs, 0)
-        n, held, size = 0, [], 0
+    @staticmethod
+    def blocks(pieces: list[bytes], block: int = 900) -> list[bytes]:
+        """A text in pieces as blocks of about ``block`` bytes."""
+        out, held, size = [], [], 0
         for i, piece in enumerate(pieces):
             held.append(piece)
             size += len(piece)
             if size >= block or i == len(pieces) - 1:
-                for k, v in self.sizes(b"".join(held)).items():
-                    total[k] += v
-                n, held, size = n + size, [], 0
-        return self.pick(total, n)
+                out.append(b"".join(held))
+                held, size = [], 0
+        return out
+
+    def best_of(self, pieces: list[bytes]) -> tuple[str | None, float]:
+        """The same for a text in pieces. They are packed in blocks, as in a longer one the text's own words would soon
+        serve as the dictionary; the sizes of all blocks are added up."""
+        total = dict.fromkeys(self.langs, 0)
+        blocks = self.blocks(pieces)
+        for data in blocks:
+            for k, v in self.sizes(data).items():
+                total[k] += v
+        return self.pick(total, sum(map(len, blocks)))
 
     @staticmethod
     def pick(sizes: dict[str, int], n: int, margin: float = 0.02) -> tuple[str | None, float]:
@@ -116,17 +134,17 @@ class Classifier:
         return (lang if lead >= margin and b - a >= 3 else None), round(confidence, 6)
 
 
-def lines_of(text: str | None) -> list[tuple[int, bytes, int]]:
-    """(line number from 1, what is compressed, letters) of the lines that have words and are no notices."""
+def lines_of(text: str | None, seen: Seen | None = None) -> list[tuple[int, bytes, int]]:
+    """(line number from 1, what is compressed, letters) of the lines that have words and are no notices; ``seen`` where
+    it is at hand, as it knows the notices."""
     if not text:
         return []
-    text = clean(text)
-    low = text.lower()
-    plain = (low.translate(_PLAIN) if low.isascii() else _NOT_LETTERS.sub(" ", low)).split("\n")
+    text, low = (clean(text), None) if seen is None else (seen.text, seen.low)
+    plain = _plain(text.lower() if low is None else low).split("\n")
     out = []
     for no, (raw, line) in enumerate(zip(text.split("\n"), plain), 1):
         line = " ".join(line.split())
-        if line and not notice(raw.strip().lower()):
+        if line and not (notice(raw.strip().lower()) if seen is None else no in seen.notices):
             out.append((no, f" {line} ".encode(), len(line) - line.count(" ")))
     return out
 
@@ -177,6 +195,33 @@ def classify_page(record_id: str, text: str | None, c: Classifier, ratios: dict[
     return [{"record_id": record_id, "line_no": 0, "lang": lang, "confidence": confidence, "chars": total}, *out]
 
 
+def wrong_of(batch: list[tuple[str, str | None, list[tuple[int, bytes, int]]]], c: Classifier, ratios: dict[str, float]) -> list[list[dict]]:
+    """What is wrong on each page of a batch of (record_id, label, lines): the rows of ``classify_page`` that its label
+    does not have. The verdicts are those of the pages one by one; what they need is packed for all together."""
+    c.forget()
+    by: dict[str | None, list[int]] = {}
+    for i, (_, given, _) in enumerate(batch):
+        by.setdefault(given if given in c.packers else None, []).append(i)
+    left = by.pop(None, [])
+    for given, at in by.items():
+        left += [i for i in at if not confirmed(batch[i][2], given, c, ratios)]
+    c.fill([b for i in left for b in c.blocks([d for _, d, _ in batch[i][2]])])
+    leant: dict[str | None, list[int]] = {}
+    for i in left:
+        if len(batch[i][2]) > 1:
+            leant.setdefault(c.best_of([d for _, d, _ in batch[i][2]])[0], []).append(i)
+    # the lines that classify_page will try under all dictionaries
+    tried = [d for i in leant.pop(None, []) for _, d, _ in batch[i][2]]
+    for lang, at in leant.items():
+        tried += [d for i in at for _, d, _ in batch[i][2] if c.size(d, lang) > ratios.get(lang, 0.5) * len(d) + 8]
+    c.fill(tried)
+    out: list[list[dict]] = [[] for _ in batch]
+    for i in left:
+        record_id, given, lines = batch[i]
+        out[i] = [x for x in classify_page(record_id, None, c, ratios, lines) if x["lang"] is not None and (x["line_no"] > 0 or x["lang"] != given)]
+    return out
+
+
 def samples(lang_samples: DataFrame, most: int = 5000) -> list[tuple[str, str]]:
     """The labelled texts on the driver, at most ``most`` of them: the bounded sample that the model is fitted on."""
     rows = lang_samples.where("lang is not null and text is not null").orderBy("sample_id").limit(most).collect()
@@ -234,34 +279,39 @@ def _model(lang_samples: DataFrame):
     return dicts, own_ratios(dicts, texts)
 
 
-def wrong_labels(corpus: DataFrame, lang_samples: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def wrong_labels(corpus: DataFrame, lang_samples: DataFrame, keep: tuple[str, ...] = (), words_table: DataFrame | None = None) -> DataFrame:
     """A row a page whose label is missing or wrong or that has lines in another language: record_id, the columns
     named by ``keep``, and found, an array of (line_no, lang, confidence) with line_no 0 for the label.
 
     A page whose every line its label's dictionary packs as well as text of that language is right as it is and needs no other dictionary.
+
+    With ``words_table``, common_words, every page has a row, right or not, which has the columns of its profile besides,
+    so that one pass over the texts makes both; found and what is kept are null where nothing is wrong.
     """
     dicts, ratios = _model(lang_samples)
+    words = Lexicon(common_words(words_table)) if words_table is not None else None
     spark_types = {f.name: f.dataType.simpleString() for f in corpus.schema}
     arrow = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
     found = pa.list_(pa.struct([("line_no", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64())]))
-    schema = pa.schema([("record_id", pa.string()), *((k, arrow[spark_types[k]]) for k in keep), ("found", found)])
+    schema = pa.schema([*(ARROW if words else [ARROW.field("record_id")]), *((k, arrow[spark_types[k]]) for k in keep), ("found", found)])
     cache: dict = {}
 
     def run(batch: list[dict]) -> list[dict]:
         if "c" not in cache:
             cache["c"] = Classifier(dicts)
-        c, out = cache["c"], []
-        for r in batch:
-            c.forget()
-            given, lines = r["_given"], lines_of(r["text"])
-            if given in dicts and confirmed(lines, given, c, ratios):
-                continue
-            rows = classify_page(r["record_id"], None, c, ratios, lines)
-            wrong = [x for x in rows if x["lang"] is not None and (x["line_no"] > 0 or x["lang"] != given)]
+        seen = [Seen(r["text"], words) if words else None for r in batch]
+        wrongs = wrong_of([(r["record_id"], r["_given"], lines_of(r["text"], s)) for r, s in zip(batch, seen)], cache["c"], ratios)
+        out = []
+        for r, s, wrong in zip(batch, seen, wrongs):
+            row = profile(r["record_id"], None, words, s) if s else {"record_id": r["record_id"]}
             if wrong:
-                out.append({"record_id": r["record_id"], **{k: r[k] for k in keep}, "found": [{k: x[k] for k in ("line_no", "lang", "confidence")} for x in wrong]})
+                row |= {k: r[k] for k in keep}
+                row["found"] = [{k: x[k] for k in ("line_no", "lang", "confidence")} for x in wrong]
+            if wrong or s:
+                out.append(row)
         return out
 
     rows = corpus.where("record_id is not null").select("record_id", *(k for k in dict.fromkeys((*keep, "text"))), label(F.col("language")).alias("_given"))
     columns = "".join(f", `{k}` {spark_types[k]}" for k in keep)
-    return rows.mapInArrow(batches(run, schema), f"record_id string{columns}, found array<struct<line_no:int,lang:string,confidence:double>>")
+    first = PROFILE if words else "record_id string"
+    return rows.mapInArrow(batches(run, schema), f"{first}{columns}, found array<struct<line_no:int,lang:string,confidence:double>>")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.textkit import JUNK, LINK, LIST, NOTE, PROSE, TABLE, TAGS, WORD, Lexicon, batches, clean, common_words, notice, parts
+from corpusmill.llm.textkit import JUNK, LINK, LIST, NOTE, PROSE, TABLE, TAGS, Lexicon, batches, clean, common_words, notice, parts, words_of
 
 SCHEMA = (
     "record_id string, lang string, n_words int, n_types int, curve array<struct<f:int,m:int>>, top_word double, top_pair double, common double, "
@@ -23,6 +23,14 @@ SCHEMA = (
     "slots int, said int, filler int, said_lines int"
 )
 
+ARROW = pa.schema(
+    [("record_id", pa.string()), ("lang", pa.string()), ("n_words", pa.int32()), ("n_types", pa.int32()), ("curve", pa.list_(pa.struct([("f", pa.int32()), ("m", pa.int32())])))]
+    + [(k, pa.float64()) for k in ("top_word", "top_pair", "common")]
+    + [(k, pa.int32()) for k in ("chars", "note", "link", "tags", "list", "table", "junk", "prose")]
+    + [(k, pa.float64()) for k in ("word_len", "symbols", "closed", "digits", "upper")]
+    + [(k, pa.int32()) for k in ("slots", "said", "filler", "said_lines")]
+)
+
 # --- evidence of problem 6 -------------------------------------------------------------------------------------------
 
 _NAME = r"[A-Za-z][A-Za-z0-9_]*(?:[._ -][A-Za-z0-9_]+){0,3}"
@@ -33,10 +41,7 @@ SLOT = re.compile(
     r"|(?<![\w.])label\.\w+(?:\.\w+)+|(?<=\s)&[a-z]+_?[a-z]+;(?=[\s.,]|$)|(?<=\s)<[A-Z][A-Z_ ]+>(?=[\s.,]|$)|(?<!\w)undefined(?! behavio)(?!\w)"
 )
 _ESCAPED = re.compile("%[0-9A-Fa-f]{2}%[0-9A-Fa-f]{2}")
-_SLOT_HINT = ahocorasick.Automaton()
-for _x in ("{{", "{%", "<%", "${", "#{", "[[", "@@", "##", "%", "$", "__", "!!", "???", "[insert", "[YOUR", "[object", "label.", "&", "<", "undefined"):
-    _SLOT_HINT.add_word(_x, 1)
-_SLOT_HINT.make_automaton()
+_SLOT_HINTS = ("{{", "{%", "${", "#{", "[[", "@@", "##", "%", "$", "__", "!!", "???", "[insert", "[YOUR", "[object", "label.", "&", "<", "undefined")
 #: Words of sentences that write about slots rather than leave one unfilled.
 ABOUT = re.compile(r"\b(?:slots?|placeholders?|handbook|manual|template language|syntax|variables?|platzhalter|handbuch|marcador|plantilla|manuale?l?|segnaposto|plaatshouder|sjabloon|handleiding|podręcznik|symbol zastępczy|шаблон\w*|руководств\w*|gabarit|modèle|espace réservé|marque-page)\b", re.I)
 
@@ -83,7 +88,7 @@ _phrases.make_automaton()
 
 def slots(line: str) -> int:
     """Unfilled template slots of a line; a sentence that explains slots has none."""
-    if next(_SLOT_HINT.iter(line), None) is None:
+    if not any(x in line for x in _SLOT_HINTS):
         return 0
     n = 0
     for m in SLOT.finditer(line):
@@ -144,10 +149,12 @@ _hints.make_automaton()
 _EDGES = re.compile(r"\n\s+")
 
 
-def hinted(text: str) -> bool:
+def hinted(text: str, low: str | None = None) -> bool:
     """Whether any line of a text, cleaned of invisible characters, can be evidence or have a slot; those without need no
-    look at single lines."""
-    return next(_hints.iter(_EDGES.sub("\n", f"\n{text.lower()}")), None) is not None or next(_SLOT_HINT.iter(text), None) is not None
+    look at single lines. ``low`` is the text in lower case where it is at hand."""
+    if any(x in text for x in _SLOT_HINTS):
+        return True
+    return next(_hints.iter(_EDGES.sub("\n", f"\n{text.lower() if low is None else low}")), None) is not None
 
 
 def monotone(counts: Counter, total: int) -> bool:
@@ -173,9 +180,14 @@ class Seen:
         self.lines: list[tuple[int, int, str, int, int]] = []
         body: list[str] = []
         closed = told = self.said = self.filler = self.slots = self.said_lines = 0
-        text = clean(text) if text else text
-        look = text is not None and hinted(text)
+        #: the cleaned text, also in lower case, and the numbers of its notices
+        self.text = text = clean(text) if text else text
+        self.low = text.lower() if text else text
+        self.notices: set[int] = set()
+        look = text is not None and hinted(text, self.low)
         for no, line, kind in parts(text):
+            if kind == NOTE:
+                self.notices.add(no)
             n, what, here, holes = len(line), None, 0, 0
             if look:
                 # whether messages make up most of the page is judged once its host's recurrent lines are known, not here
@@ -199,7 +211,7 @@ class Seen:
             closed += line[-1] in _CLOSING
             body.append(line)
         self.size, self.whole = size, "\n".join(body)
-        tokens = WORD.findall(self.whole.lower())
+        tokens = words_of(self.whole.lower())
         counts = Counter(tokens)
         n, lines = len(tokens), len(body)
         lang, hits, top = words.of(tokens, counts)
@@ -226,7 +238,7 @@ def unsuspicious(text: str, words: Lexicon) -> bool:
         return False
     body = [low for x in text.lower().split("\n") if (low := x.strip()) and not notice(low)]
     whole = "\n".join(body)
-    tokens = WORD.findall(whole)
+    tokens = words_of(whole)
     n = len(tokens)
     if n < 8:
         return True
@@ -235,14 +247,22 @@ def unsuspicious(text: str, words: Lexicon) -> bool:
     return len(set(tokens)) > 2 + 0.15 * n and (foreign or words.share(tokens) >= 0.25)
 
 
-def profile(record_id: str, text: str | None, words: Lexicon) -> dict:
-    p = Seen(text, words)
+_BLANK_BYTES, _DIGIT_BYTES, _UPPER_BYTES = bytes(range(33)), bytes(range(48, 58)), bytes(range(65, 91))
+
+
+def profile(record_id: str, text: str | None, words: Lexicon, seen: Seen | None = None) -> dict:
+    """The profile of a text; ``seen`` where it is at hand."""
+    p = Seen(text, words) if seen is None else seen
     n, whole, size = p.n, p.whole, p.size
     letters = sum(map(len, p.tokens))
-    codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
-    solid = max(1, int((codes > 32).sum()))
-    digits = int(((codes >= 48) & (codes <= 57)).sum())
-    upper = int(((codes >= 65) & (codes <= 90)).sum() + ((codes >= 0x410) & (codes <= 0x42F)).sum())
+    # a byte of UTF-8 below 128 is always a character of its own
+    raw = whole.encode("utf-8", "surrogatepass")
+    solid = max(1, len(whole) - len(raw) + len(raw.translate(None, _BLANK_BYTES)))
+    digits = len(raw) - len(raw.translate(None, _DIGIT_BYTES))
+    upper = len(raw) - len(raw.translate(None, _UPPER_BYTES))
+    if b"\xd0" in raw:
+        codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        upper += int(((codes >= 0x410) & (codes <= 0x42F)).sum())
     return {
         "record_id": record_id,
         "lang": p.lang,
@@ -266,12 +286,5 @@ def profile(record_id: str, text: str | None, words: Lexicon) -> dict:
 def page_profiles(corpus: DataFrame, words_table: DataFrame, text: str = "text", record: str = "record_id") -> DataFrame:
     """The profile of each record; see SCHEMA. One Arrow pass, no shuffle."""
     words = Lexicon(common_words(words_table))
-    schema = pa.schema(
-        [("record_id", pa.string()), ("lang", pa.string()), ("n_words", pa.int32()), ("n_types", pa.int32()), ("curve", pa.list_(pa.struct([("f", pa.int32()), ("m", pa.int32())])))]
-        + [(k, pa.float64()) for k in ("top_word", "top_pair", "common")]
-        + [(k, pa.int32()) for k in ("chars", "note", "link", "tags", "list", "table", "junk", "prose")]
-        + [(k, pa.float64()) for k in ("word_len", "symbols", "closed", "digits", "upper")]
-        + [(k, pa.int32()) for k in ("slots", "said", "filler", "said_lines")]
-    )
     rows = corpus.where(F.col(record).isNotNull()).select(F.col(record).alias("record_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(batches(lambda batch: [profile(r["record_id"], r["text"], words) for r in batch], schema), SCHEMA)
+    return rows.mapInArrow(batches(lambda batch: [profile(r["record_id"], r["text"], words) for r in batch], ARROW), SCHEMA)

@@ -73,12 +73,14 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """The other problems' cases are left out: their operators judge the pages that have something to correct, no others,
     by the references of the whole corpus, as p2_found and p5_found do."""
     corpus = _corpus(spark, sf, "record_id", "target_uri", "source_path", "text", "language")
-    wrong = langlabel.wrong_labels(corpus, table(spark, sf, "lang_samples"), keep=("target_uri", "source_path", "text"))
-    theirs = materialize(materialize(wrong, "labels").dropDuplicates(["record_id"]), "wrong-labels")
-    every = materialize(spam.curves(_profiles(spark, sf)), "curves")
+    keep = ("target_uri", "source_path", "text")
+    seen = materialize(langlabel.wrong_labels(corpus, table(spark, sf, "lang_samples"), keep, table(spark, sf, "common_words")), "labels")
+    theirs = materialize(seen.where("found is not null").select("record_id", *keep, "found").dropDuplicates(["record_id"]), "wrong-labels")
+    profiles = materialize(seen.drop(*keep, "found").dropDuplicates(["record_id"]), "profiles")
+    every = materialize(spam.curves(profiles), "curves")
     profiles = every.join(theirs.select("record_id"), "record_id", "left_semi")
     other = _not_prose(profiles, every)
-    other = other.unionByName(residue.residue(corpus, table(spark, sf, "common_words"), theirs).select("record_id"))
+    other = other.unionByName(residue.residue_among(corpus, table(spark, sf, "common_words"), theirs))
     other = other.unionByName(charset.find_damaged(theirs, charset.bigram_counts(table(spark, sf, "lang_samples"))).select("record_id"))
     found = theirs.select("record_id", F.explode("found").alias("f")).select("record_id", "f.line_no", "f.lang")
     return found.join(other, "record_id", "left_anti").distinct()

@@ -7,19 +7,41 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 
 from corpusmill.llm.lines import BLANKS, INVISIBLE
 
 _HIDDEN = re.compile(f"[{INVISIBLE}]")
-_BLANK = re.compile(f"[{BLANKS.replace(chr(9), '')}]")
+_ODD = BLANKS.replace("\t", "")
+_BLANK = re.compile(f"[{_ODD}]")
 
 
 def clean(text: str) -> str:
     """Without invisible characters; every odd blank but the tab is a space."""
     if text.isascii():
         return text.replace("\r", " ") if "\r" in text else text
-    return _BLANK.sub(" ", _HIDDEN.sub("", text))
+    # to look for each character alone takes far less than a pattern over the text
+    if any(c in text for c in INVISIBLE):
+        text = _HIDDEN.sub("", text)
+    return _BLANK.sub(" ", text) if any(c in text for c in _ODD) else text
+
+
+def blanked(off: re.Pattern, usual: int = 0x3000) -> Callable[[str], str]:
+    """A function that makes blanks of the characters that ``off`` matches one by one; line breaks stay. Characters below
+    ``usual`` are looked up, and texts that have others go through the pattern."""
+    table = np.array([32 if i != 10 and off.fullmatch(chr(i)) else i for i in range(usual)], np.uint32)
+    ascii_only = {i: " " for i in range(128) if table[i] != i}
+
+    def run(text: str) -> str:
+        if text.isascii():
+            return text.translate(ascii_only)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        if int(codes.max()) >= usual:
+            return "\n".join(off.sub(" ", x) for x in text.split("\n"))
+        return table[codes].tobytes().decode("utf-32-le", "surrogatepass")
+
+    return run
 
 #: Wording of site notices and share prompts in nine languages, as lower-case text; anywhere in a line, and at its start.
 NOTICE_IN = (
@@ -68,6 +90,7 @@ def notice(low: str, told: Callable[[str], bool] = _told) -> bool:
 
 
 WORD = re.compile(r"[^\W\d_]+")
+_worded = blanked(re.compile(r"[\W\d_]"))
 _SHAPED = frozenset("\t|{}=<>#[]@%;•»+*^~_")
 _URL = re.compile(r"^\W*(?:https?://|www\.)\S+\W*$")
 _LINKED = re.compile(r"\[[^\]\n]{1,80}\]\([^)\s]{1,200}\)")
@@ -82,6 +105,13 @@ _TIMES = re.compile(r"\b\d{1,2}:\d\d\b")
 _NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
 _SENTENCE = re.compile(r"[^\W\d][.!?…] [^\W\da-zа-я]|[.!?…] \(\d")
 _VOWEL = re.compile(r"[aeiouyáéíóúàèìòùâêîôûäëïöüãõåæœøąęóаеёиоуыэюяіAEIOUYАЕЁИОУЫЭЮЯ]", re.I)
+
+
+def words_of(text: str) -> list[str]:
+    """All that WORD finds in a text."""
+    return _worded(text).split()
+
+
 LINK, TAGS, LIST, TABLE, JUNK, PROSE, NOTE = "link", "tags", "list", "table", "junk", "prose", "note"
 
 
@@ -177,9 +207,9 @@ class Lexicon:
         self.at = {w: at[langs] for w, langs in words.items()}
         self.words = self.at.keys()
 
-    def _hits(self, tokens: list[str]) -> dict[str, int]:
+    def _hits(self, sums: dict[int | None, int]) -> dict[str, int]:
         hits: dict[str, int] = {}
-        for i, n in Counter(map(self.at.get, tokens)).items():
+        for i, n in sums.items():
             if i is not None:
                 for lang in self.sets[i]:
                     hits[lang] = hits.get(lang, 0) + n
@@ -187,13 +217,19 @@ class Lexicon:
 
     def share(self, tokens: list[str]) -> float:
         """The share of the common words of the language that has most of them."""
-        return max(self._hits(tokens).values(), default=0) / max(1, len(tokens))
+        return max(self._hits(Counter(map(self.at.get, tokens))).values(), default=0) / max(1, len(tokens))
 
     def of(self, tokens: list[str], counts: Counter) -> tuple[str | None, int, int]:
         """The language with the most common words among the tokens, how many of them are its common words, and how
         often the most frequent word of three letters or more comes that is common in no language."""
-        hits = self._hits(tokens)
-        top = max((counts[w] for w in counts.keys() - self.words if len(w) > 2), default=0)
+        at, sums, top = self.at.get, {}, 0
+        for w, n in counts.items():
+            i = at(w)
+            if i is not None:
+                sums[i] = sums.get(i, 0) + n
+            elif n > top and len(w) > 2:
+                top = n
+        hits = self._hits(sums)
         if not hits:
             return None, 0, top
         best = max(hits.items(), key=lambda x: (x[1], x[0]))
