@@ -116,22 +116,46 @@ def greedy_selection(clusters: list[list[tuple[int, str]]]) -> tuple[set[str], s
     return kept, deleted
 
 
-def connected(prints: DataFrame, pairs: DataFrame, rounds: int = 30) -> DataFrame:
-    """(simhash, component): components of near fingerprints, by spreading the smallest one until nothing changes.
+def connected(prints: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(simhash, component): the smallest fingerprint of each component of near fingerprints, by contraction.
 
-    Each round's labels are written to the shared folder, so the lineage stays short and survives lost executors.
+    Each fingerprint points at its smallest neighbour, whatever its own value. Such pointers form trees but for one pair a tree
+    that point at each other, of which the smaller is the least of the tree and becomes its root. Trees become single
+    fingerprints, edges run between roots, until none is left. A tree has two fingerprints at least, so each level has
+    at most half of those of the level before: there is no limit to the length of a component, and no round per step of its way.
+
+    Each level is written to the shared folder, so the lineage stays short and survives lost executors.
     """
     from corpusmill.plans.shared import materialize
 
-    edges = materialize(pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(pairs.select(F.col("b").alias("x"), F.col("a").alias("y"))), "edges")
-    labels = materialize(prints.select("simhash", F.col("simhash").alias("component")), "labels")
-    for _ in range(rounds):
-        spread = edges.join(labels, F.col("y") == F.col("simhash")).groupBy("x").agg(F.min("component").alias("least"))
-        new = labels.join(spread, F.col("simhash") == F.col("x"), "left").select("simhash", F.least("component", F.coalesce("least", "component")).alias("next"), "component")
-        # pointer jumping: the label of one's label
-        hop = new.select(F.col("simhash").alias("s"), F.col("next").alias("hop"))
-        new = materialize(new.join(hop, F.col("next") == F.col("s"), "left").select("simhash", F.least("next", F.coalesce("hop", "next")).alias("next"), "component"), "labels")
-        if new.where("next <> component").isEmpty():
-            return new.select("simhash", "component")
-        labels = new.select("simhash", F.col("next").alias("component"))
-    raise RuntimeError("the components are longer than the rounds allow; raise rounds")
+    edges = materialize(pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).where("x <> y"), "edges")
+    levels = []
+    while not edges.isEmpty():
+        levels.append(_trees(edges))
+        x, y = (levels[-1].select(F.col("simhash").alias(c), F.col("root").alias(f"{c}_root")) for c in "xy")
+        ends = edges.join(x, "x").join(y, "y").where("x_root <> y_root")
+        edges = materialize(ends.select(F.least("x_root", "y_root").alias("x"), F.greatest("x_root", "y_root").alias("y")).distinct(), "edges")
+    if not levels:
+        return prints.select("simhash", F.col("simhash").alias("component"))
+    roots = levels.pop()
+    for level in reversed(levels):
+        higher = roots.select(F.col("simhash").alias("lower"), F.col("root").alias("higher"))
+        roots = level.join(higher, F.col("root") == F.col("lower"), "left").select("simhash", F.coalesce("higher", "root").alias("root"))
+    return prints.join(roots, "simhash", "left").select("simhash", F.coalesce("root", "simhash").alias("component"))
+
+
+def _trees(edges: DataFrame) -> DataFrame:
+    """(simhash, root, moved): each end of an edge with the root of its tree of smallest neighbours; ways are halved until all are at it."""
+    from corpusmill.plans.shared import materialize
+
+    def of(trees: DataFrame) -> DataFrame:
+        return trees.join(trees.select(F.col("simhash").alias("s"), F.col("root").alias("hop")), F.col("root") == F.col("s"))
+
+    both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    least = materialize(both.groupBy(F.col("x").alias("simhash")).agg(F.min("y").alias("root")), "least")
+    # of two that point at each other, the smaller comes to point at itself; for others, either is on the way to the root
+    trees = materialize(of(least).select("simhash", F.least("root", "hop").alias("root")), "trees")
+    while True:
+        trees = materialize(of(trees).select("simhash", F.col("hop").alias("root"), (F.col("hop") != F.col("root")).alias("moved")), "trees")
+        if trees.where("moved").isEmpty():
+            return trees

@@ -58,6 +58,28 @@ def test_components(spark, prints):
     assert all(got[c] == c for c in set(got.values()))
 
 
+def test_components_of_any_length(spark):
+    """A chain of one bit more each time: the smallest fingerprint, -1, is at its end, a step of 32 away from 0."""
+    chain = [doubled((1 << k) - 1) for k in range(33)]
+    alone = doubled(0b10101)
+    df = spark.createDataFrame([(p,) for p in [*chain, alone]], "simhash bigint")
+    got = {r.simhash: r.component for r in dedup.connected(df, dedup.near_fingerprints(df)).collect()}
+    assert got == dict.fromkeys(chain, -1) | {alone: alone}
+
+
+def test_components_of_paths_stars_and_random_edges(spark):
+    rng = random.Random(7)
+    names = rng.sample(range(-500, 500), 300)
+    edges = list(itertools.pairwise(names[:100])) + [(names[100], n) for n in names[101:140]] + [tuple(rng.sample(names[140:], 2)) for _ in range(75)] + [(names[0], names[0])]
+    want = {n: n for n in names}
+    for _ in names:  # the smaller goes to the larger until nothing does
+        for a, b in edges:
+            want[a] = want[b] = min(want[a], want[b])
+    prints, pairs = spark.createDataFrame([(n,) for n in names], "simhash bigint"), spark.createDataFrame(edges, "a bigint, b bigint")
+    rows = [(r.simhash, r.component) for r in dedup.connected(prints, pairs).collect()]
+    assert sorted(rows) == sorted(want.items())
+
+
 def test_near_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id string, doc_len int, simhash bigint")
     assert dedup.ids_to_delete(empty).count() == dedup.link_counts(empty).count() == 0
